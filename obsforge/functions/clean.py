@@ -33,23 +33,20 @@ def _value(value: FieldValue | Column) -> FieldValue:
 
 def clean_string(value: FieldValue | Column) -> Column:
     """Trimmed text, numbers as text; empty and other types become NULL."""
-    v = _value(value)
-    return F.when(v.is_number, v.shown).when(v.is_text, blank_to_null(strip(v.text)))
+    return blank_to_null(_value(value).stripped)
 
 
 def clean_numeric(value: FieldValue | Column) -> Column:
     """Double, after dropping thousands commas and dollar signs."""
     v = _value(value)
-    return F.when(v.is_number, v.number).when(
-        v.is_text, parse_float(F.translate(v.text, ",$", ""))
-    )
+    plain = parse_float(F.translate(v.scalar, ",$", ""))
+    return F.when(v.is_number, v.number).when(v.is_text, plain)
 
 
 def clean_date(value: FieldValue | Column, date_format: str = ISO) -> Column:
     """Date in ``date_format`` or one of the fallback formats."""
     v = _value(value)
-    text = strip(v.text)
-    readings = [parse_date(text, f) for f in (date_format, *FALLBACK_FORMATS)]
+    readings = [parse_date(v.stripped, f) for f in (date_format, *FALLBACK_FORMATS)]
     return F.when(v.is_date, v.date).when(v.is_text, F.coalesce(*readings))
 
 
@@ -59,20 +56,19 @@ def clean_state_code(value: FieldValue | Column, strict: bool = False) -> Column
     Longer texts give their first two letters (``TEXAS`` -> ``TE``); with
     ``strict`` they give NULL.
     """
-    text = F.upper(clean_string(value))
-    whole = F.when(text.rlike(r"\A\p{L}{2}\z"), text)
-    if strict:
-        return whole
-    return F.coalesce(whole, blank_to_null(F.regexp_extract(text, r"\A([A-Z]{2})", 1)))
+    upper = F.upper(_value(value).stripped)
+    code = r"\p{L}{2}\z" if strict else r"\p{L}{2}\z|[A-Z]{2}"
+    return blank_to_null(F.regexp_extract(upper, rf"\A({code})", 1))
+
+
+# Behind two zeros, 1 or 2 digits end in a code of 2, and 3 to 5 digits in one of 5.
+_PADDED_FIPS = r"\A(?:0{1,2}(?=\d{2}\z)|0{0,2}(?=\d{5}\z))(\d+)\z"
 
 
 def clean_fips_code(value: FieldValue | Column) -> Column:
     """Digits only, padded to 2 (state) or 5 (county); more than 5 gives NULL."""
-    digits = F.regexp_replace(clean_string(value), "[^0-9]", "")
-    size = F.length(digits)
-    return F.when(size.between(1, 2), F.lpad(digits, 2, "0")).when(
-        size.between(3, 5), F.lpad(digits, 5, "0")
-    )
+    digits = F.regexp_replace(_value(value).stripped, "[^0-9]", "")
+    return blank_to_null(F.regexp_extract(F.concat(F.lit("00"), digits), _PADDED_FIPS, 1))
 
 
 def title_case(text: Column) -> Column:
@@ -99,7 +95,7 @@ def clean_county(value: FieldValue | Column) -> Column:
 def clean_boolean(value: FieldValue | Column) -> Column:
     """True or false from flags, numbers and the usual words, else NULL."""
     v = _value(value)
-    word = F.lower(strip(v.text))
+    word = F.lower(v.stripped)
     return (
         F.when(v.is_number, v.number != 0)
         .when(v.is_text & word.isin(*TRUE_TEXTS), F.lit(True))

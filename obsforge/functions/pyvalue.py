@@ -2,13 +2,14 @@
 
 Source records are loosely typed: a field may hold text, a number, a flag, a
 date, a nested value or nothing, and rules and cleaners decide by that type.
-``FieldValue`` answers those questions with Columns. For a typed column the
-answers are constants which Catalyst folds away; for a VARIANT they are
-dispatched on the JSON type of each row.
+``FieldValue`` answers those questions with Columns. For text columns most answers are
+constants which Catalyst folds away; other values are taken apart into kind,
+text form, number and date.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -43,17 +44,17 @@ def blank_to_null(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 
 
-def parse_float(text: Column) -> Column:
+def parse_float(text: Column, stripped: bool = False) -> Column:
     """Double written by ``text``, or NULL; accepts nan, inf and ``1_000``."""
-    bare = strip(text)
+    bare = text if stripped else strip(text)
     number = F.replace(bare, F.lit("_"), F.lit("")).try_cast("double")
     # past the pattern only a signed nan still fails to cast
     return F.when(bare.rlike(FLOAT_TEXT), F.coalesce(number, F.lit(float("nan"))))
 
 
-def parse_int(text: Column) -> Column:
+def parse_int(text: Column, stripped: bool = False) -> Column:
     """Integer written by ``text``, or NULL."""
-    bare = strip(text)
+    bare = text if stripped else strip(text)
     return F.when(bare.rlike(INTEGER_TEXT), F.replace(bare, F.lit("_"), F.lit("")).try_cast("bigint"))
 
 
@@ -81,7 +82,11 @@ def float_text(number: Column) -> Column:
 
 @dataclass(frozen=True)
 class FieldValue:
-    """One field of a record, with its dynamic type."""
+    """One field of a record, with its dynamic type.
+
+    ``scalar`` is the text form of a text, number or flag; ``stripped`` the same
+    without surrounding whitespace.
+    """
 
     raw: Column
     none: Column
@@ -89,16 +94,22 @@ class FieldValue:
     is_number: Column
     is_date: Column
     is_timestamp: Column
-    text: Column
+    scalar: Column
+    stripped: Column
     number: Column
     date: Column
     shown: Column
     type_name: Column
 
+    @property
+    def text(self) -> Column:
+        """The text itself; meaningful only where ``is_text`` holds."""
+        return self.scalar
+
     @property
     def missing(self) -> Column:
         """Nothing there: no value, or an empty text."""
-        return self.none | (self.is_text & (self.text == ""))
+        return self.none | (self.is_text & (self.scalar == ""))
 
     @property
     def falsy(self) -> Column:
@@ -106,11 +117,15 @@ class FieldValue:
 
     def as_float(self) -> Column:
         """The value as a double, NULL where it does not read as one."""
-        return F.when(self.is_number, self.number).otherwise(parse_float(self.text))
+        return F.when(self.is_number, self.number).when(
+            self.is_text, parse_float(self.stripped, stripped=True)
+        )
 
     def as_int(self) -> Column:
         """The value as an integer; fractions of numbers are cut off."""
-        return F.when(self.is_number, self.number.try_cast("bigint")).otherwise(parse_int(self.text))
+        return F.when(self.is_number, self.number.try_cast("bigint")).when(
+            self.is_text, parse_int(self.stripped, stripped=True)
+        )
 
     def as_text(self) -> Column:
         """Text form, NULL when there is no value."""
@@ -120,93 +135,109 @@ class FieldValue:
         return F.when(~self.falsy, self.shown)
 
 
-def _typed(raw, none, *, text=None, number=None, date=None, timestamp=False, shown, type_name):
-    yes, no = F.lit(True), F.lit(False)
-    return FieldValue(
-        raw=raw,
-        none=none,
-        is_text=~none if text is not None else no,
-        is_number=~none if number is not None else no,
-        is_date=~none if date is not None else no,
-        is_timestamp=yes if timestamp else no,
-        text=text if text is not None else _absent("string"),
-        number=number if number is not None else _absent("double"),
-        date=date if date is not None else _absent("date"),
-        shown=shown,
-        type_name=F.lit(type_name),
-    )
+# Kinds of value, and the columns a value of mixed or non-text type is taken apart into.
+_NUMBERS = ("int", "float", "bool")
+PARTS = ("kind", "scalar", "number", "date")
 
 
-def _variant(raw: Column) -> FieldValue:
-    tag = F.schema_of_variant(raw)
-    none = F.coalesce(tag == "VOID", F.lit(True))
-    is_text = F.coalesce(tag == "STRING", F.lit(False))
-    is_flag = F.coalesce(tag == "BOOLEAN", F.lit(False))
-    is_int = F.coalesce(tag == "BIGINT", F.lit(False))
-    is_float = F.coalesce(tag.startswith("DECIMAL") | tag.isin("DOUBLE", "FLOAT"), F.lit(False))
-    is_number = is_flag | is_int | is_float
-    string = F.try_variant_get(raw, "$", "string")
-    number = F.when(is_number, F.try_variant_get(raw, "$", "double"))
-    shown = (
-        F.when(is_flag, F.initcap(string))
-        .when(is_float, float_text(number))
-        .when(none, F.lit("None"))
-        .otherwise(string)
-    )
-    type_name = (
-        F.when(is_text, F.lit("str"))
-        .when(is_flag, F.lit("bool"))
-        .when(is_int, F.lit("int"))
-        .when(is_float, F.lit("float"))
-        .when(none, F.lit("NoneType"))
-        .when(tag.startswith("OBJECT"), F.lit("dict"))
-        .otherwise(F.lit("list"))
-    )
-    no = F.lit(False)
+def text_value(text: Column, stripped: Column | None = None) -> FieldValue:
+    """A value known to be text or nothing."""
+    none, no = text.isNull(), F.lit(False)
     return FieldValue(
-        raw=raw,
+        raw=text,
         none=none,
-        is_text=is_text,
-        is_number=is_number,
+        is_text=~none,
+        is_number=no,
         is_date=no,
         is_timestamp=no,
-        text=F.when(is_text, string),
-        number=number,
+        scalar=text,
+        stripped=strip(text) if stripped is None else stripped,
+        number=_absent("double"),
         date=_absent("date"),
-        shown=shown,
-        type_name=type_name,
+        shown=F.coalesce(text, F.lit("None")),
+        type_name=F.lit("str"),
     )
 
 
-def field_value(column: Column, dtype: T.DataType) -> FieldValue:
-    """View ``column`` of Spark type ``dtype`` as a dynamically typed value."""
-    none = column.isNull()
-    if isinstance(dtype, T.VariantType):
-        return _variant(column)
-    if isinstance(dtype, (T.StringType, T.NullType)):
-        text = column.cast("string")
-        return _typed(column, none, text=text, shown=F.coalesce(text, F.lit("None")), type_name="str")
+def value_of_parts(raw: Column, parts: Callable[[str], Column]) -> FieldValue:
+    """A value whose parts were computed beforehand, as columns."""
+    kind, scalar = parts("kind"), parts("scalar")
+    return FieldValue(
+        raw=raw,
+        none=kind == "NoneType",
+        is_text=kind == "str",
+        is_number=kind.isin(*_NUMBERS),
+        is_date=kind.isin("date", "datetime"),
+        is_timestamp=kind == "datetime",
+        scalar=F.when(kind.isin("str", *_NUMBERS), scalar),
+        stripped=F.when(kind.isin("str", *_NUMBERS), strip(scalar)),
+        number=parts("number"),
+        date=parts("date"),
+        shown=F.coalesce(scalar, F.lit("None")),
+        type_name=kind,
+    )
+
+
+def variant_kind(value: Column) -> Column:
+    """Kind of a VARIANT by its JSON type; an absent key counts as nothing."""
+    tag = F.regexp_extract(F.schema_of_variant(value), r"\A[A-Z]+", 0)
+    kinds = {
+        "STRING": "str", "BIGINT": "int", "DECIMAL": "float", "DOUBLE": "float", "FLOAT": "float",
+        "BOOLEAN": "bool", "VOID": "NoneType", "OBJECT": "dict", "ARRAY": "list",
+    }
+    names = F.create_map(*(F.lit(x) for pair in kinds.items() for x in pair))
+    return F.coalesce(F.try_element_at(names, tag), F.lit("NoneType"))
+
+
+def variant_parts(value: Column, kind: Column) -> dict[str, Column]:
+    """Parts of a VARIANT whose kind is already a column."""
+    number = F.when(kind.isin(*_NUMBERS), F.try_variant_get(value, "$", "double"))
+    plain = F.try_variant_get(value, "$", "string")
+    scalar = (
+        F.when(kind == "float", float_text(F.try_variant_get(value, "$", "double")))
+        .when(kind == "bool", F.initcap(plain))
+        .otherwise(plain)
+    )
+    return {"kind": kind, "scalar": scalar, "number": number, "date": _absent("date")}
+
+
+def typed_parts(column: Column, dtype: T.DataType) -> dict[str, Column]:
+    """Parts of a column of any type but VARIANT."""
+    number, day, shown = _absent("double"), _absent("date"), column.cast("string")
     if isinstance(dtype, T.BooleanType):
-        shown = F.when(column, F.lit("True")).otherwise(F.lit("False"))
-        return _typed(column, none, number=column.cast("double"), shown=shown, type_name="bool")
-    if isinstance(dtype, T.IntegralType):
-        return _typed(
-            column, none, number=column.cast("double"), shown=column.cast("string"), type_name="int"
-        )
-    if isinstance(dtype, (T.FractionalType, T.DecimalType)):
-        number = column.cast("double")
-        return _typed(column, none, number=number, shown=float_text(number), type_name="float")
-    if isinstance(dtype, T.DateType):
-        return _typed(column, none, date=column, shown=column.cast("string"), type_name="date")
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return _typed(
-            column, none, date=column.cast("date"), timestamp=True,
-            shown=column.cast("string"), type_name="datetime",
-        )
-    shown = F.to_json(column) if isinstance(dtype, (T.StructType, T.MapType, T.ArrayType)) else column
-    kind = "list" if isinstance(dtype, T.ArrayType) else "dict"
-    return _typed(column, none, shown=shown.cast("string"), type_name=kind)
+        kind, number, shown = "bool", column.cast("double"), F.initcap(column.cast("string"))
+    elif isinstance(dtype, T.IntegralType):
+        kind, number = "int", column.cast("double")
+    elif isinstance(dtype, (T.FractionalType, T.DecimalType)):
+        kind, number = "float", column.cast("double")
+        shown = float_text(column.cast("double"))
+    elif isinstance(dtype, T.DateType):
+        kind, day = "date", column
+    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        kind, day = "datetime", column.cast("date")
+    elif isinstance(dtype, (T.StructType, T.MapType, T.ArrayType)):
+        kind = "list" if isinstance(dtype, T.ArrayType) else "dict"
+        shown = F.to_json(column)
+    else:
+        kind = "str"
+    named = F.when(column.isNull(), F.lit("NoneType")).otherwise(F.lit(kind))
+    return {"kind": named, "scalar": shown, "number": number, "date": day}
+
+
+def is_text_type(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.StringType, T.NullType))
 
 
-def text_value(column: Column) -> FieldValue:
-    return field_value(column, T.StringType())
+def field_value(column: Column, dtype: T.DataType) -> FieldValue:
+    """View ``column`` of Spark type ``dtype`` as a dynamically typed value.
+
+    Handy for single expressions. Operators which use a value many times take
+    it apart into columns first (``operators.records``).
+    """
+    if is_text_type(dtype):
+        return text_value(column.cast("string"))
+    if isinstance(dtype, T.VariantType):
+        parts = variant_parts(column, variant_kind(column))
+    else:
+        parts = typed_parts(column, dtype)
+    return value_of_parts(column, parts.__getitem__)

@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from obsforge.functions.dates import ISO, parse_date
-from obsforge.functions.pyvalue import INTEGER_TEXT, FieldValue, float_text, strip
+from obsforge.functions.pyvalue import INTEGER_TEXT, FieldValue, float_text
 
 Check = Callable[[FieldValue], Column]
 
@@ -28,7 +28,7 @@ def _message(*parts: str | Column) -> Column:
 
 
 def not_empty(v: FieldValue) -> Column:
-    blank = v.none | (v.is_text & (strip(v.text) == ""))
+    blank = v.none | (v.is_text & (v.stripped == ""))
     return F.when(blank, F.lit("Value cannot be empty"))
 
 
@@ -148,7 +148,7 @@ def fips_code(v: FieldValue) -> Column:
     return (
         F.when(~v.is_text, F.lit("FIPS code must be a string"))
         .when(
-            ~strip(v.text).rlike(INTEGER_TEXT),
+            ~v.stripped.rlike(INTEGER_TEXT),
             _message("FIPS code must be numeric, got '", v.text, "'"),
         )
         .when(

@@ -19,8 +19,8 @@ from obsforge.functions.clean import (
     clean_numeric,
     clean_state_code,
 )
-from obsforge.functions.pyvalue import FieldValue, blank_to_null, text_value
-from obsforge.operators.records import LINEAGE, Records, records_of
+from obsforge.functions.pyvalue import FieldValue, blank_to_null
+from obsforge.operators.records import LINEAGE, BoundFields, Records, records_of
 from obsforge.schema import CANONICAL
 
 Aliases = Mapping[str, Sequence[str]]
@@ -97,32 +97,33 @@ class MappedRecord:
         self._sources = {name for names in aliases.values() for name in names}
 
     def candidates(self, target: str) -> list[str]:
-        """Record keys that may supply ``target``, strongest first."""
+        """Record keys that may supply ``target``, strongest first.
+
+        A name that is a source of another target is not copied under its own.
+        """
         own = [] if target in self._sources else [target]
         return [*own, *reversed(tuple(self._aliases.get(target, ())))]
 
-    def value(self, target: str) -> FieldValue:
-        names = self.candidates(target)
-        if not names:  # a source of something else is not copied under its own name
-            return text_value(F.lit(None).cast("string"))
-        return self._fields.first_present(names)
+    def bind(self, targets: Sequence[str]) -> BoundFields:
+        return self._fields.bind({t: self.candidates(t) for t in targets})
 
-    def residual(self) -> Column:
-        """Mapped fields without a place of their own, as a map of texts."""
-        kept = {t: names for t, names in self._aliases.items() if t not in PLACED_FIELDS}
-        dropped = [
-            *PLACED_FIELDS, LINEAGE,
-            *(s for s in sorted(self._sources) if s not in kept or s not in kept[s]),
+    def unplaced(self) -> list[str]:
+        """Targets without a place of their own that are fed by other names."""
+        return [
+            t for t, names in self._aliases.items()
+            if t not in PLACED_FIELDS and tuple(names) != (t,)
         ]
-        rest = F.map_filter(self._fields.entries(), lambda name, _: ~name.isin(*dropped))
-        renamed = [t for t, names in kept.items() if tuple(names) != (t,)]
-        if not renamed:
+
+    def residual(self, bound: BoundFields) -> Column:
+        """Mapped fields without a place of their own, as a map of texts."""
+        fed = self.unplaced()
+        kept = {t for t in self._aliases if t not in PLACED_FIELDS and t not in fed}
+        dropped = sorted({*PLACED_FIELDS, LINEAGE, *fed, *self._sources} - kept)
+        rest = self._fields.entries(dropped)
+        if not fed:
             return rest
-        # targets fed by other names join the map under the target's name
-        rest = F.map_filter(rest, lambda name, _: ~name.isin(*renamed))
-        pairs = [c for t in renamed for c in (F.lit(t), self.value(t).as_text())]
-        extra = F.map_filter(F.create_map(*pairs), lambda _, text: text.isNotNull())
-        return F.map_concat(rest, extra)
+        pairs = [c for t in fed for c in (F.lit(t), bound[t].as_text())]
+        return F.map_concat(rest, F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull()))
 
 
 def map_fields(
@@ -138,19 +139,18 @@ def map_fields(
     Columns in ``keep`` (and lineage) stay; unmapped tabular columns are copied.
     """
     fields = records_of(df, record, keep)
-    mapped = MappedRecord(fields, aliases)
     names = list(targets if targets is not None else aliases)
     if targets is None and record is None:
         sources = {s for group in aliases.values() for s in group}
         names += [f for f in fields.fields if f not in sources and f not in names]
+    bound = MappedRecord(fields, aliases).bind(names)
 
     def column(name: str) -> Column:
-        value = mapped.value(name)
         transform = transforms.get(name)
-        return transform(value) if transform else value.as_text()
+        return transform(bound[name]) if transform else bound[name].as_text()
 
     kept = [c for c in df.columns if c == LINEAGE or c in keep]
-    return df.select(*kept, *(column(n).alias(n) for n in names))
+    return bound.df.select(*kept, *(column(n).alias(n) for n in names))
 
 
 def derive_period(
@@ -188,6 +188,15 @@ def _whole_number_text(v: FieldValue) -> Column:
     return F.when(v.is_number, F.coalesce(rounded, v.shown)).otherwise(v.as_text())
 
 
+_OBSERVATION_INPUTS = (
+    "state", "state_name", "county", "fips_code", "date", "period_start", "period_end", "year",
+    "value", "value_lower_bound", "value_upper_bound", "sample_size", "value_notes",
+    "measureid", "indicator_code", "measure", "indicator_name", "unit", "data_value_unit",
+    "description", "short_question_text", "category", "age_group", "gender", "race", "ethnicity",
+    "data_source", "data_source_id",
+)
+
+
 def to_observation(
     df: DataFrame,
     indicator_code: str | None = None,
@@ -201,16 +210,15 @@ def to_observation(
 
     Total: every input row gives one output row. ``keep`` columns come first.
     """
-    fields = records_of(df, record, keep)
-    mapped = MappedRecord(fields, aliases)
+    mapped = MappedRecord(records_of(df, record, keep), aliases)
+    bound = mapped.bind(dict.fromkeys([*_OBSERVATION_INPUTS, *mapped.unplaced()]))
 
     def pick(name: str) -> Column:
         transform = transforms.get(name)
-        value = mapped.value(name)
-        return transform(value) if transform else value.as_text()
+        return transform(bound[name]) if transform else bound[name].as_text()
 
     def either(given: str | None, *names: str) -> Column:
-        known = [F.lit(given)] if given else [mapped.value(n).truthy_text() for n in names]
+        known = [F.lit(given)] if given else [bound[n].truthy_text() for n in names]
         return F.coalesce(*known)
 
     has_lineage = LINEAGE in df.columns
@@ -224,7 +232,7 @@ def to_observation(
         "value": pick("value"),
         "value_lower_bound": pick("value_lower_bound"),
         "value_upper_bound": pick("value_upper_bound"),
-        "sample_size": _whole_number_text(mapped.value("sample_size")),
+        "sample_size": _whole_number_text(bound["sample_size"]),
         "value_notes": pick("value_notes"),
         "indicator_code": either(indicator_code, "measureid", "indicator_code"),
         "indicator_name": either(indicator_name, "measure", "indicator_name"),
@@ -237,19 +245,19 @@ def to_observation(
         "ethnicity": pick("ethnicity"),
         "data_source": F.coalesce(
             blank_to_null(lineage("dataset_name").cast("string")),
-            mapped.value("data_source").as_text(),
+            bound["data_source"].as_text(),
         ),
         "data_source_id": F.coalesce(
             blank_to_null(lineage("dataset_id").cast("string")),
-            mapped.value("data_source_id").as_text(),
+            bound["data_source_id"].as_text(),
         ),
         "record_id": lineage("record_index").cast("bigint"),
-        "metadata": mapped.residual(),
+        "metadata": mapped.residual(bound),
     }
-    cleaned = df.select(
+    cleaned = bound.df.select(
         *(F.col(c).alias(f"_keep_{c}") for c in carried),
         *(pick(n).alias(n) for n in cleaned_names),
-        year_number(mapped.value("year")).alias("_year"),
+        year_number(bound["year"]).alias("_year"),
         *(c.alias(n) for n, c in direct.items()),
     )
     begun, ended = derive_period(*(F.col(c) for c in ("period_start", "period_end", "date", "_year")))

@@ -2,87 +2,157 @@
 
 Tabular: one typed column per field. Ragged: one VARIANT (or MAP) column that
 holds the whole record, so a key may be absent, null or of any type.
+
+``bind`` takes the wanted fields out of the records once, as narrow columns.
+Everything built on the bound values refers to those columns, which keeps the
+generated code small no matter how often a rule or cleaner looks at a value.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obsforge.functions.pyvalue import FieldValue, field_value
+from obsforge.functions.pyvalue import (
+    PARTS,
+    FieldValue,
+    field_value,
+    is_text_type,
+    strip,
+    text_value,
+    typed_parts,
+    value_of_parts,
+    variant_kind,
+    variant_parts,
+)
 
 LINEAGE = "_meta"
 
 
+class BoundFields:
+    """Fields taken out of the records of ``df``, under names of the caller's choice."""
+
+    def __init__(self, df: DataFrame, values: Mapping[str, FieldValue]):
+        self.df = df
+        self._values = values
+
+    def __getitem__(self, name: str) -> FieldValue:
+        return self._values[name]
+
+
+def _bound_texts(df: DataFrame, raws: Mapping[str, Column]) -> BoundFields:
+    """Bind text columns: the text and its stripped form."""
+    plain = df.withColumns({f"_raw_{n}": c.cast("string") for n, c in raws.items()})
+    bound = plain.withColumns({f"_bare_{n}": strip(F.col(f"_raw_{n}")) for n in raws})
+    return BoundFields(
+        bound, {n: text_value(F.col(f"_raw_{n}"), F.col(f"_bare_{n}")) for n in raws}
+    )
+
+
+def _value_of_columns(name: str) -> FieldValue:
+    return value_of_parts(F.col(f"_raw_{name}"), lambda part: F.col(f"_{part}_{name}"))
+
+
 class TabularRecords:
     """Fields are the columns of a DataFrame."""
 
     def __init__(self, df: DataFrame, reserved: tuple[str, ...] = (LINEAGE,)):
+        self._df = df
         self._types = {f.name: f.dataType for f in df.schema.fields if f.name not in reserved}
 
     @property
     def fields(self) -> list[str]:
         return list(self._types)
 
-    def value(self, field: str) -> FieldValue:
-        if field not in self._types:
-            return field_value(F.lit(None).cast("string"), T.StringType())
-        return field_value(F.col(f"`{field}`"), self._types[field])
-
-    def first_present(self, fields: list[str]) -> FieldValue:
-        """The first of ``fields`` that exists; columns exist for all rows alike."""
-        return self.value(next((f for f in fields if f in self._types), fields[0]))
+    def bind(self, wanted: Mapping[str, Sequence[str]]) -> BoundFields:
+        """Bind each name to the first of its fields that is a column, else to NULL."""
+        texts, parts, others = {}, {}, {}
+        for name, fields in wanted.items():
+            field = next((f for f in fields if f in self._types), None)
+            if field is None:
+                others[name] = text_value(F.lit(None).cast("string"))
+            elif is_text_type(self._types[field]):
+                texts[name] = F.col(f"`{field}`")
+            else:
+                column = F.col(f"`{field}`")
+                parts[f"_raw_{name}"] = column
+                for part, taken in typed_parts(column, self._types[field]).items():
+                    parts[f"_{part}_{name}"] = taken
+                others[name] = _value_of_columns(name)
+        bound = _bound_texts(self._df, texts)
+        values = {n: bound[n] for n in texts} | others
+        return BoundFields(bound.df.withColumns(parts) if parts else bound.df, values)
 
     def non_empty(self) -> Column:
         return F.lit(bool(self._types))
 
-    def entries(self) -> Column:
-        pairs = [c for f in self._types for c in (F.lit(f), self.value(f).as_text())]
-        return F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
+    def entries(self, dropped: Sequence[str] = ()) -> Column:
+        """Fields as a map of texts, without the dropped ones."""
+        kept = [f for f in self._types if f not in dropped]
+        values = {f: field_value(F.col(f"`{f}`"), self._types[f]).as_text() for f in kept}
+        pairs = [c for f, v in values.items() for c in (F.lit(f), v)]
+        return F.create_map(*pairs).cast("map<string,string>")
 
 
 class RaggedRecords:
     """Fields are the keys of one VARIANT or MAP<STRING, STRING> column."""
 
     def __init__(self, df: DataFrame, column: str):
+        self._df = df
         self._column = F.col(column)
         self._dtype = df.schema[column].dataType
         if not isinstance(self._dtype, (T.VariantType, T.MapType)):
             raise TypeError(f"{column} must be VARIANT or MAP, not {self._dtype.simpleString()}")
         self._variant = isinstance(self._dtype, T.VariantType)
 
-    def _raw(self, field: str) -> Column:
+    def raw(self, field: str) -> Column:
         if self._variant:
             return F.try_variant_get(self._column, f'$["{field}"]', "variant")
         return self._column.getItem(field)
 
-    def _value(self, raw: Column) -> FieldValue:
-        return field_value(raw, T.VariantType() if self._variant else self._dtype.valueType)
-
-    def value(self, field: str) -> FieldValue:
-        return self._value(self._raw(field))
-
-    def first_present(self, fields: list[str]) -> FieldValue:
-        """The first of ``fields`` whose key is there, even if its value is null."""
+    def _first_present(self, fields: Sequence[str]) -> Column:
+        """The first of the keys that is there, even if its value is null."""
         if self._variant:
             # an explicit JSON null is a VARIANT value, so only absent keys are skipped
-            return self._value(F.coalesce(*(self._raw(f) for f in fields)))
+            return F.coalesce(*(self.raw(f) for f in fields))
         chain = F
         for field in fields:
-            chain = chain.when(F.map_contains_key(self._column, field), self._raw(field))
-        return self._value(chain)
+            chain = chain.when(F.map_contains_key(self._column, field), self.raw(field))
+        return chain
+
+    def bind(self, wanted: Mapping[str, Sequence[str]]) -> BoundFields:
+        """Bind each name to the first of its keys present in the record."""
+        found = {n: self._first_present(fields) for n, fields in wanted.items() if fields}
+        absent = {n: text_value(F.lit(None).cast("string")) for n, f in wanted.items() if not f}
+        if not self._variant:
+            bound = _bound_texts(self._df, found)
+            return BoundFields(bound.df, {n: bound[n] for n in found} | absent)
+        raw = self._df.withColumns({f"_raw_{n}": c for n, c in found.items()})
+        kinds = raw.withColumns({f"_kind_{n}": variant_kind(F.col(f"_raw_{n}")) for n in found})
+        parts = {}
+        for name in found:
+            taken = variant_parts(F.col(f"_raw_{name}"), F.col(f"_kind_{name}"))
+            parts |= {f"_{part}_{name}": taken[part] for part in PARTS if part != "kind"}
+        return BoundFields(
+            kinds.withColumns(parts), {n: _value_of_columns(n) for n in found} | absent
+        )
 
     def non_empty(self) -> Column:
-        return F.size(self.entries()) > 0
-
-    def entries(self) -> Column:
         if self._variant:
-            keyed = F.try_variant_get(self._column, "$", "map<string,variant>")
-            return F.transform_values(
-                keyed, lambda _, item: field_value(item, T.VariantType()).as_text()
-            )
-        return self._column.cast("map<string,string>")
+            return F.schema_of_variant(self._column) != "OBJECT<>"
+        return F.size(self._column) > 0
+
+    def entries(self, dropped: Sequence[str] = ()) -> Column:
+        """Entries as a map of texts, without the dropped keys."""
+        if not self._variant:
+            texts = self._column.cast("map<string,string>")
+            return F.map_filter(texts, lambda name, _: ~name.isin(*dropped)) if dropped else texts
+        keyed = F.try_variant_get(self._column, "$", "map<string,variant>")
+        kept = F.map_filter(keyed, lambda name, _: ~name.isin(*dropped)) if dropped else keyed
+        return F.transform_values(kept, lambda _, v: field_value(v, T.VariantType()).as_text())
 
 
 Records = TabularRecords | RaggedRecords

@@ -45,11 +45,11 @@ def validate(
     Messages read ``field: text`` in rule order; a field checked by several
     rules keeps the result of its last one. One narrow projection, no shuffle.
     """
-    fields = records_of(df, record, keep)
-    checks = [rule.failure(fields.value(rule.field)) for rule in rules]
-    # materialise each message once; the later columns only refer to it
+    bound = records_of(df, record, keep).bind({rule.field: [rule.field] for rule in rules})
+    checks = [rule.failure(bound[rule.field]) for rule in rules]
+    # each message is computed once; the later columns only refer to it
     named = [f"_rule_{i}" for i in range(len(checks))]
-    checked = df.select("*", *(c.alias(n) for c, n in zip(checks, named)))
+    checked = bound.df.select(*df.columns, *(c.alias(n) for c, n in zip(checks, named)))
     failed = [F.col(n) for n in named]
     errors = _messages(rules, failed, warning=False)
     warnings = _messages(rules, failed, warning=True)
@@ -161,12 +161,12 @@ def check_schema(
     ``date`` and ``value`` are read strictly; ``schema_error`` is NULL for a
     record that fits.
     """
-    fields = records_of(df, keep=keep)
-    value, day = fields.value("value"), fields.value("date")
+    bound = records_of(df, keep=keep).bind({"value": ["value"], "date": ["date"]})
+    value, day = bound["value"], bound["date"]
     number = value.as_float()
     parsed = F.coalesce(day.date, parse_date(day.text))
     future = not_future(as_of)
-    return df.select(
+    return bound.df.select(
         *(c for c in df.columns if c not in ("date", "value")),
         parsed.alias("date"),
         number.alias("value"),

@@ -13,8 +13,8 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from obsforge.functions.predicates import filter_condition
 from obsforge.functions.pyvalue import field_value
 from obsforge.operators.records import LINEAGE, RaggedRecords
 from obsforge.schema import DATASET_METADATA
@@ -173,7 +173,7 @@ def record_filter(filters: Mapping[str, Any] | None, records: DataFrame) -> Colu
     fields = RaggedRecords(records, "record")
     total: Column | None = None
     for name, wanted in (filters or {}).items():
-        value = fields.value(name)
+        value = field_value(fields.raw(name), T.VariantType())
         if isinstance(wanted, (bool, int, float)):
             test = value.as_float() == float(wanted)
         elif isinstance(wanted, str):
