@@ -60,23 +60,18 @@ def parse_int(text: Column, stripped: bool = False) -> Column:
 
 def float_text(number: Column) -> Column:
     """Shortest decimal text of a double: ``123456789.0``, ``1e+16``, ``nan``."""
-    scientific = number.cast("string")
+    spelled = number.cast("string")
+    usual = F.replace(F.lower(spelled), F.lit("infinity"), F.lit("inf"))
     size = F.abs(number)
     plain = F.regexp_replace(
         number.try_cast("decimal(38,16)").cast("string"), r"(\.\d+?)0+$", "$1"
     )
-    mantissa = F.regexp_replace(F.substring_index(scientific, "E", 1), r"\.0$", "")
-    exponent = F.substring_index(scientific, "E", -1)
-    sign = F.when(exponent.startswith("-"), F.lit("-")).otherwise(F.lit("+"))
-    power = F.regexp_replace(exponent, "-", "")
-    padded = F.when(F.length(power) < 2, F.lpad(power, 2, "0")).otherwise(power)
+    short = F.regexp_replace(usual, r"\.0e", "e")
+    signed = F.regexp_replace(F.regexp_replace(short, r"e(\d)", "e+$1"), r"e-(\d)$", "e-0$1")
     return (
-        F.when(F.isnan(number), F.lit("nan"))
-        .when(number == float("inf"), F.lit("inf"))
-        .when(number == float("-inf"), F.lit("-inf"))
-        .when(size == 0, scientific)
+        F.when(~spelled.contains("E"), usual)
         .when((size >= 1e-4) & (size < 1e16), plain)
-        .otherwise(F.concat(mantissa, F.lit("e"), sign, padded))
+        .otherwise(signed)
     )
 
 
@@ -137,7 +132,6 @@ class FieldValue:
 
 # Kinds of value, and the columns a value of mixed or non-text type is taken apart into.
 _NUMBERS = ("int", "float", "bool")
-PARTS = ("kind", "scalar", "number", "date")
 
 
 def text_value(text: Column, stripped: Column | None = None) -> FieldValue:
@@ -164,41 +158,66 @@ def value_of_parts(raw: Column, parts: Callable[[str], Column]) -> FieldValue:
     kind, scalar = parts("kind"), parts("scalar")
     return FieldValue(
         raw=raw,
-        none=kind == "NoneType",
-        is_text=kind == "str",
-        is_number=kind.isin(*_NUMBERS),
-        is_date=kind.isin("date", "datetime"),
-        is_timestamp=kind == "datetime",
-        scalar=F.when(kind.isin("str", *_NUMBERS), scalar),
-        stripped=F.when(kind.isin("str", *_NUMBERS), strip(scalar)),
+        none=kind.isNull() | (kind == "NoneType"),
+        is_text=_sure(kind == "str"),
+        is_number=_sure(kind.isin(*_NUMBERS)),
+        is_date=_sure(kind.isin("date", "datetime")),
+        is_timestamp=_sure(kind == "datetime"),
+        scalar=scalar,
+        stripped=parts("bare"),
         number=parts("number"),
         date=parts("date"),
         shown=F.coalesce(scalar, F.lit("None")),
-        type_name=kind,
+        type_name=F.coalesce(kind, F.lit("NoneType")),
     )
 
 
-def variant_kind(value: Column) -> Column:
-    """Kind of a VARIANT by its JSON type; an absent key counts as nothing."""
-    tag = F.regexp_extract(F.schema_of_variant(value), r"\A[A-Z]+", 0)
-    kinds = {
-        "STRING": "str", "BIGINT": "int", "DECIMAL": "float", "DOUBLE": "float", "FLOAT": "float",
-        "BOOLEAN": "bool", "VOID": "NoneType", "OBJECT": "dict", "ARRAY": "list",
-    }
-    names = F.create_map(*(F.lit(x) for pair in kinds.items() for x in pair))
-    return F.coalesce(F.try_element_at(names, tag), F.lit("NoneType"))
+def _sure(test: Column) -> Column:
+    return F.coalesce(test, F.lit(False))
 
 
-def variant_parts(value: Column, kind: Column) -> dict[str, Column]:
-    """Parts of a VARIANT whose kind is already a column."""
-    number = F.when(kind.isin(*_NUMBERS), F.try_variant_get(value, "$", "double"))
+# Kind of a value by its JSON type.
+_KINDS = {
+    "STRING": "str", "BIGINT": "int", "DECIMAL": "float", "DOUBLE": "float", "FLOAT": "float",
+    "BOOLEAN": "bool", "VOID": "NoneType", "OBJECT": "dict", "ARRAY": "list",
+}
+
+
+def _read_variant(_: Column, value: Column) -> Column:
+    """Kind and plain text of a VARIANT, each from a single look at it."""
+    tag = F.schema_of_variant(value)
+    head = F.substring_index(F.substring_index(tag, "(", 1), "<", 1)
+    names = F.create_map(*(F.lit(x) for pair in _KINDS.items() for x in pair))
     plain = F.try_variant_get(value, "$", "string")
+    return F.struct(F.try_element_at(names, head).alias("kind"), plain.alias("plain"))
+
+
+def _shape_parts(_: Column, known: Column) -> Column:
+    kind, plain = known["kind"], known["plain"]
+    # the usual decimals already read right; only tiny, huge and scientific ones do not
+    unusual = plain.contains("E") | (F.length(plain) > 16) | plain.rlike(r"\A-?0\.0000")
+    decimal = F.when(unusual, float_text(plain.try_cast("double"))).otherwise(
+        F.when(plain.contains("."), plain).otherwise(F.concat(plain, F.lit(".0")))
+    )
     scalar = (
-        F.when(kind == "float", float_text(F.try_variant_get(value, "$", "double")))
-        .when(kind == "bool", F.initcap(plain))
-        .otherwise(plain)
+        F.when(kind == "float", decimal).when(kind == "bool", F.initcap(plain)).otherwise(plain)
+    )
+    number = F.when(kind.isin("int", "float"), plain.try_cast("double")).when(
+        kind == "bool", (plain == "true").cast("double")
+    )
+    bare = F.when(kind == "str", strip(plain)).when(kind.isin(*_NUMBERS), scalar)
+    return F.struct(
+        kind.alias("kind"), scalar.alias("scalar"), number.alias("number"), bare.alias("bare")
     )
-    return {"kind": kind, "scalar": scalar, "number": number, "date": _absent("date")}
+
+
+def variant_parts(values: Column) -> Column:
+    """Parts of every VARIANT in a map, as a map of structs.
+
+    All values share one expression, so plans stay small for any number of
+    fields, and only entries that exist cost anything.
+    """
+    return F.transform_values(F.transform_values(values, _read_variant), _shape_parts)
 
 
 def typed_parts(column: Column, dtype: T.DataType) -> dict[str, Column]:
@@ -221,7 +240,8 @@ def typed_parts(column: Column, dtype: T.DataType) -> dict[str, Column]:
     else:
         kind = "str"
     named = F.when(column.isNull(), F.lit("NoneType")).otherwise(F.lit(kind))
-    return {"kind": named, "scalar": shown, "number": number, "date": day}
+    bare = strip(shown) if kind in ("str", *_NUMBERS) else _absent("string")
+    return {"kind": named, "scalar": shown, "number": number, "date": day, "bare": bare}
 
 
 def is_text_type(dtype: T.DataType) -> bool:
@@ -237,7 +257,10 @@ def field_value(column: Column, dtype: T.DataType) -> FieldValue:
     if is_text_type(dtype):
         return text_value(column.cast("string"))
     if isinstance(dtype, T.VariantType):
-        parts = variant_parts(column, variant_kind(column))
-    else:
-        parts = typed_parts(column, dtype)
-    return value_of_parts(column, parts.__getitem__)
+        return variant_value(column, variant_parts(F.create_map(F.lit(0), column))[0])
+    return value_of_parts(column, typed_parts(column, dtype).__getitem__)
+
+
+def variant_value(raw: Column, parts: Column) -> FieldValue:
+    """A VARIANT whose parts are at hand as a struct."""
+    return value_of_parts(raw, lambda part: _absent("date") if part == "date" else parts[part])

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obsforge.functions.pyvalue import (
-    PARTS,
     FieldValue,
     field_value,
     is_text_type,
@@ -25,8 +24,8 @@ from obsforge.functions.pyvalue import (
     text_value,
     typed_parts,
     value_of_parts,
-    variant_kind,
     variant_parts,
+    variant_value,
 )
 
 LINEAGE = "_meta"
@@ -108,37 +107,41 @@ class RaggedRecords:
             raise TypeError(f"{column} must be VARIANT or MAP, not {self._dtype.simpleString()}")
         self._variant = isinstance(self._dtype, T.VariantType)
 
-    def raw(self, field: str) -> Column:
+    def value(self, field: str) -> FieldValue:
+        """One field on its own, for a filter."""
         if self._variant:
-            return F.try_variant_get(self._column, f'$["{field}"]', "variant")
-        return self._column.getItem(field)
-
-    def _first_present(self, fields: Sequence[str]) -> Column:
-        """The first of the keys that is there, even if its value is null."""
-        if self._variant:
-            # an explicit JSON null is a VARIANT value, so only absent keys are skipped
-            return F.coalesce(*(self.raw(f) for f in fields))
-        chain = F
-        for field in fields:
-            chain = chain.when(F.map_contains_key(self._column, field), self.raw(field))
-        return chain
+            raw = F.try_variant_get(self._column, f'$["{field}"]', "variant")
+            return field_value(raw, T.VariantType())
+        return text_value(F.try_element_at(self._column, F.lit(field)).cast("string"))
 
     def bind(self, wanted: Mapping[str, Sequence[str]]) -> BoundFields:
-        """Bind each name to the first of its keys present in the record."""
-        found = {n: self._first_present(fields) for n, fields in wanted.items() if fields}
+        """Bind each name to the first of its keys present in the record.
+
+        A key with a null value is present. The record is opened once into a map
+        of the entries it has; every name is a lookup in that map.
+        """
         absent = {n: text_value(F.lit(None).cast("string")) for n, f in wanted.items() if not f}
+        present = {n: fields for n, fields in wanted.items() if fields}
         if not self._variant:
-            bound = _bound_texts(self._df, found)
-            return BoundFields(bound.df, {n: bound[n] for n in found} | absent)
-        raw = self._df.withColumns({f"_raw_{n}": c for n, c in found.items()})
-        kinds = raw.withColumns({f"_kind_{n}": variant_kind(F.col(f"_raw_{n}")) for n in found})
-        parts = {}
-        for name in found:
-            taken = variant_parts(F.col(f"_raw_{name}"), F.col(f"_kind_{name}"))
-            parts |= {f"_{part}_{name}": taken[part] for part in PARTS if part != "kind"}
-        return BoundFields(
-            kinds.withColumns(parts), {n: _value_of_columns(n) for n in found} | absent
+            chains = {n: self._first_key(fields) for n, fields in present.items()}
+            bound = _bound_texts(self._df, chains)
+            return BoundFields(bound.df, {n: bound[n] for n in present} | absent)
+        opened = self._df.withColumn(
+            "_entries", variant_parts(F.try_variant_get(self._column, "$", "map<string,variant>"))
         )
+        entry = lambda field: F.try_element_at("_entries", F.lit(field))
+        taken = opened.withColumns(
+            {f"_field_{n}": F.coalesce(*map(entry, fields)) for n, fields in present.items()}
+        )
+        values = {n: variant_value(F.col(f"_field_{n}.scalar"), F.col(f"_field_{n}")) for n in present}
+        return BoundFields(taken, values | absent)
+
+    def _first_key(self, fields: Sequence[str]) -> Column:
+        chain = F
+        for field in fields:
+            found = F.try_element_at(self._column, F.lit(field))
+            chain = chain.when(F.map_contains_key(self._column, field), found)
+        return chain
 
     def non_empty(self) -> Column:
         if self._variant:
@@ -146,13 +149,10 @@ class RaggedRecords:
         return F.size(self._column) > 0
 
     def entries(self, dropped: Sequence[str] = ()) -> Column:
-        """Entries as a map of texts, without the dropped keys."""
-        if not self._variant:
-            texts = self._column.cast("map<string,string>")
-            return F.map_filter(texts, lambda name, _: ~name.isin(*dropped)) if dropped else texts
-        keyed = F.try_variant_get(self._column, "$", "map<string,variant>")
-        kept = F.map_filter(keyed, lambda name, _: ~name.isin(*dropped)) if dropped else keyed
-        return F.transform_values(kept, lambda _, v: field_value(v, T.VariantType()).as_text())
+        """Entries of a bound record as a map of texts, without the dropped keys."""
+        whole = F.col("_entries") if self._variant else self._column.cast("map<string,string>")
+        kept = F.map_filter(whole, lambda name, _: ~name.isin(*dropped)) if dropped else whole
+        return F.transform_values(kept, lambda _, v: v["scalar"]) if self._variant else kept
 
 
 Records = TabularRecords | RaggedRecords

@@ -10,7 +10,6 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from obsforge.functions.rules import Rule, basic_rules
 from obsforge.operators.mapping import (
@@ -28,12 +27,13 @@ from obsforge.operators.validation import (
     validation_summary,
 )
 from obsforge.plans.loading import load_batch
+from obsforge.schema import struct
 from obsforge.session import prepare, staged
 from obsforge.sources.pages import BATCH_SIZE, extract
 from obsforge.sources.warehouse import Warehouse
 
 POSITION = "record_index"
-_STAGES = T.StructType.fromDDL(
+_STAGES = struct(
     "position INT, stage STRING, status STRING, records_in BIGINT, records_out BIGINT, "
     "records_failed BIGINT, records_with_warnings BIGINT, duration_seconds DOUBLE, run_id STRING"
 )

@@ -7,7 +7,6 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from obsforge.operators.constraints import INDICATOR_CODE
 from obsforge.operators.dimensions import new_indicators, new_stratifiers
@@ -22,11 +21,12 @@ from obsforge.operators.facts import (
 )
 from obsforge.operators.geography import geography_lookup, new_geographies, requests_of
 from obsforge.operators.runlog import complete_runs, run_outcome, start_runs
+from obsforge.schema import struct
 from obsforge.session import staged
 from obsforge.sources.warehouse import Warehouse
 
-_START = T.StructType.fromDDL("run_id STRING, data_source STRING, started_at TIMESTAMP, position BIGINT")
-_OUTCOME = T.StructType.fromDDL(
+_START = struct("run_id STRING, data_source STRING, started_at TIMESTAMP, position BIGINT")
+_OUTCOME = struct(
     "status STRING, records_processed BIGINT, records_inserted BIGINT, records_failed BIGINT, "
     "error_message STRING, metadata STRING"
 )
