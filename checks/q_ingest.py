@@ -150,7 +150,10 @@ def dataset_columns(data: Data) -> DataFrame:
         F.lit("parts").alias("description"), described.alias("columns")
     )
     path = scratch_path(data.spark, "metadata")
-    documents.write.json(path)
+    # one file per document, as an endpoint would deliver it
+    documents.select(
+        F.col("name").alias("document"), F.to_json(F.struct("name", "description", "columns")).alias("value")
+    ).write.partitionBy("document").text(path)
     return pages.dataset_columns(pages.read_dataset_metadata(data.spark, path))
 
 
