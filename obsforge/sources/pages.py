@@ -8,6 +8,7 @@ whole extraction without sorting them.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 from datetime import datetime
 from typing import Any
 
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from obsforge.operators.records import LINEAGE, RaggedRecords
 from obsforge.schema import DATASET_METADATA
+from obsforge.session import staged
 
 BATCH_SIZE = 5000
 # Fixed value: the origin written into every lineage struct.
@@ -74,31 +76,39 @@ def parse_pages(pages: DataFrame) -> DataFrame:
 
 
 def page_records(parsed: DataFrame) -> DataFrame:
-    """(page_no, pos, record) for every element; unwrapped elements without ``row`` are empty."""
-    exploded = parsed.select("page_no", "shape", F.posexplode("items").alias("pos", "item"))
+    """(page_no, shape, n, pos, record) for every element, in one pass.
+
+    Unwrapped elements without ``row`` are empty records. A page without
+    records keeps one line with a NULL position, so that it can be counted.
+    """
+    exploded = parsed.select("page_no", "shape", "n", F.posexplode_outer("items").alias("pos", "item"))
     inner = F.coalesce(
         F.try_variant_get("item", "$.row", "variant"), F.parse_json(F.lit("{}"))
     )
     record = F.when(F.col("shape") == "rows", inner).otherwise(F.col("item"))
-    return exploded.select("page_no", F.col("pos").cast("bigint").alias("pos"), record.alias("record"))
+    return exploded.select(
+        "page_no", "shape", "n", F.col("pos").cast("bigint").alias("pos"), record.alias("record")
+    )
 
 
 def normalize_pages(pages: DataFrame) -> DataFrame:
     """Records of all pages in the common shape."""
-    return page_records(parse_pages(pages))
+    records = page_records(parse_pages(pages)).where(F.col("pos").isNotNull())
+    return records.select("page_no", "pos", "record")
 
 
-def fetched_pages(parsed: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
-    """Pages a sequential reader would have asked for, with their record offset.
+def _page_counts(opened: DataFrame) -> DataFrame:
+    """One row per page, picked from its first line without a shuffle."""
+    return opened.where(F.coalesce("pos", F.lit(0)) == 0).select("page_no", "shape", "n")
 
-    Reading ends with the first page that holds fewer than ``batch_size``
-    records. Offsets are running sums over one row per page, taken in two
-    levels so that no task sees all pages.
+
+def page_offsets(counts: DataFrame) -> DataFrame:
+    """Records before each page: running sums over one row per page.
+
+    Taken in two levels, within blocks of pages and over the blocks, so that no
+    task sees all pages.
     """
-    counts = parsed.select("page_no", "shape", "n")
-    end = counts.where(F.col("n") < batch_size).agg(F.min("page_no").alias("e")).select("e").scalar()
-    kept = counts.where(end.isNull() | (F.col("page_no") <= end))
-    blocked = kept.withColumn("block", F.floor(F.col("page_no") / _BLOCK))
+    blocked = counts.withColumn("block", F.floor(F.col("page_no") / _BLOCK))
     sums = blocked.groupBy("block").agg(F.sum("n").alias("block_n"))
     before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select("block", F.coalesce(F.sum("block_n").over(before), F.lit(0)).alias("start"))
@@ -107,16 +117,63 @@ def fetched_pages(parsed: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
     )
     inside = blocked.withColumn("inside", F.coalesce(F.sum("n").over(within), F.lit(0)))
     return inside.join(starts, "block").select(
-        "page_no", "shape", "n", (F.col("start") + F.col("inside")).alias("offset")
+        "page_no", (F.col("start") + F.col("inside")).alias("offset")
     )
 
 
+@dataclass(frozen=True)
+class Scan:
+    """Records of the fetched pages, and whether any of them was broken."""
+
+    records: DataFrame
+    broken: bool
+
+
+def scan_dataset(pages: DataFrame, batch_size: int = BATCH_SIZE) -> Scan:
+    """All records a sequential reader would have fetched, numbered from 0.
+
+    Reading ends with the first page that holds fewer than ``batch_size``
+    records. The pages are parsed once into a staged table; everything else
+    reads narrow columns of it. Full pages without gaps, the normal case, give
+    the numbers by arithmetic; other layouts join the running page offsets.
+    """
+    opened = staged(page_records(parse_pages(pages)), "page-records")
+    counts = _page_counts(opened)
+    last = counts.where(F.col("n") < batch_size).agg(F.min("page_no")).first()[0]
+    fetched, kept = (
+        (opened, counts)
+        if last is None
+        else (opened.where(F.col("page_no") <= last), counts.where(F.col("page_no") <= last))
+    )
+    whole = F.schema_of_variant("record").startswith("OBJECT")
+    broken = not fetched.where(
+        (F.col("shape") == "malformed") | (F.col("pos").isNotNull() & ~whole)
+    ).isEmpty()
+    layout = kept.agg(
+        F.min("page_no").alias("first"),
+        F.max("page_no").alias("last"),
+        F.count(F.lit(1)).alias("pages"),
+        F.count_if(F.col("n") != batch_size).alias("odd"),
+        F.max_by(F.col("n") != batch_size, "page_no").cast("int").alias("odd_end"),
+    ).first()
+    lines = fetched.where(F.col("pos").isNotNull())
+    regular = (
+        layout["pages"] > 0
+        and layout["last"] - layout["first"] + 1 == layout["pages"]
+        and layout["odd"] == layout["odd_end"]
+    )
+    if regular:
+        start = (F.col("page_no") - F.lit(layout["first"])) * F.lit(batch_size)
+        numbered = lines.withColumn("offset", start)
+    else:
+        numbered = lines.join(page_offsets(kept), "page_no")
+    index = (F.col("offset") + F.col("pos")).cast("bigint")
+    return Scan(numbered.select(index.alias("record_index"), "record"), broken)
+
+
 def paged_scan(pages: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
     """(record_index, record) of a whole dataset, numbered from 0 in page order."""
-    parsed = parse_pages(pages)
-    offsets = fetched_pages(parsed, batch_size).select("page_no", "offset")
-    numbered = page_records(parsed).join(offsets, "page_no")
-    return numbered.select((F.col("offset") + F.col("pos")).alias("record_index"), "record")
+    return scan_dataset(pages, batch_size).records
 
 
 def scan(
@@ -203,18 +260,10 @@ def extract(
     """
     name = dataset_name or dataset_id
     pages = read_pages(spark, page_folder(root, dataset_id, use_resource_endpoint))
-    parsed = parse_pages(pages)
-    records = paged_scan(pages, batch_size)
-    broken_pages = (
-        fetched_pages(parsed, batch_size)
-        .agg(F.count_if(F.col("shape") == "malformed").alias("b"))
-        .select("b").scalar()
-    )
-    whole = F.schema_of_variant("record").startswith("OBJECT")
-    broken_records = records.agg(F.count_if(~whole).alias("b")).select("b").scalar()
-    failed = (broken_pages + broken_records) > 0
+    fetched = scan_dataset(pages, batch_size)
+    records = fetched.records
     found = scan(
-        records.where(~failed),
+        records.where(F.lit(not fetched.broken)),
         record_filter(filters, records),
         [F.col("record_index")] if limit else None,
         limit,
@@ -225,6 +274,6 @@ def extract(
         F.lit(dataset_id).alias("dataset_id"),
         F.lit(name).alias("dataset_name"),
         "records_extracted",
-        F.when(failed, F.lit("failed")).otherwise(F.lit("success")).alias("status"),
+        F.lit("failed" if fetched.broken else "success").alias("status"),
     )
     return enriched, info
