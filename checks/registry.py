@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from checks.sql import DIRTY, FLAGS, NUMBERS, RAGGED
-from obsforge.session import prepare
+from obsforge.session import prepare, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,7 +28,7 @@ class Data:
 
     def dirty(self) -> DataFrame:
         text = DIRTY.replace("FROM orders o JOIN customer c", "FROM {orders} o JOIN {customer} c")
-        return self._sql(text, "orders", "customer")
+        return spread(self._sql(text, "orders", "customer"))
 
     def numbers(self) -> DataFrame:
         return self._sql(NUMBERS.replace("FROM orders", "FROM {orders}"), "orders")
@@ -39,7 +39,7 @@ class Data:
     def ragged(self) -> DataFrame:
         # braces of the JSON texts are not placeholders
         text = RAGGED.replace("{", "{{").replace("}", "}}").replace("FROM orders", "FROM {orders}")
-        return self._sql(text, "orders")
+        return spread(self._sql(text, "orders"))
 
 
 def query(name: str, sql: str | None = None):

@@ -10,7 +10,7 @@ text form, number and date.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -75,12 +75,11 @@ def float_text(number: Column) -> Column:
     )
 
 
-@dataclass(frozen=True)
 class FieldValue:
     """One field of a record, with its dynamic type.
 
     ``scalar`` is the text form of a text, number or flag; ``stripped`` the same
-    without surrounding whitespace.
+    without surrounding whitespace. Columns are built when first asked for.
     """
 
     raw: Column
@@ -101,12 +100,12 @@ class FieldValue:
         """The text itself; meaningful only where ``is_text`` holds."""
         return self.scalar
 
-    @property
+    @cached_property
     def missing(self) -> Column:
         """Nothing there: no value, or an empty text."""
         return self.none | (self.is_text & (self.scalar == ""))
 
-    @property
+    @cached_property
     def falsy(self) -> Column:
         return self.missing | (self.is_number & (self.number == 0))
 
@@ -130,50 +129,74 @@ class FieldValue:
         return F.when(~self.falsy, self.shown)
 
 
-# Kinds of value, and the columns a value of mixed or non-text type is taken apart into.
+class TextValue(FieldValue):
+    """A value known to be text or nothing."""
+
+    def __init__(self, text: Column, stripped: Column | None = None):
+        self.raw = self.scalar = text
+        self._stripped = stripped
+
+    none = cached_property(lambda self: self.scalar.isNull())
+    is_text = cached_property(lambda self: self.scalar.isNotNull())
+    is_number = is_date = is_timestamp = property(lambda self: F.lit(False))
+    number = property(lambda self: _absent("double"))
+    date = property(lambda self: _absent("date"))
+    shown = cached_property(lambda self: F.coalesce(self.scalar, F.lit("None")))
+    type_name = property(lambda self: F.lit("str"))
+    missing = cached_property(lambda self: self.none | (self.scalar == ""))
+    falsy = property(lambda self: self.missing)
+
+    @cached_property
+    def stripped(self) -> Column:
+        return strip(self.scalar) if self._stripped is None else self._stripped
+
+    def as_float(self) -> Column:
+        return parse_float(self.stripped, stripped=True)
+
+    def as_int(self) -> Column:
+        return parse_int(self.stripped, stripped=True)
+
+    def as_text(self) -> Column:
+        return self.scalar
+
+    def truthy_text(self) -> Column:
+        return blank_to_null(self.scalar)
+
+
+# Kinds of numbers, flags included.
 _NUMBERS = ("int", "float", "bool")
 
 
-def text_value(text: Column, stripped: Column | None = None) -> FieldValue:
-    """A value known to be text or nothing."""
-    none, no = text.isNull(), F.lit(False)
-    return FieldValue(
-        raw=text,
-        none=none,
-        is_text=~none,
-        is_number=no,
-        is_date=no,
-        is_timestamp=no,
-        scalar=text,
-        stripped=strip(text) if stripped is None else stripped,
-        number=_absent("double"),
-        date=_absent("date"),
-        shown=F.coalesce(text, F.lit("None")),
-        type_name=F.lit("str"),
-    )
+class PartsValue(FieldValue):
+    """A value taken apart beforehand into kind, text form, number, date and bare text."""
 
+    def __init__(self, raw: Column, part: Callable[[str], Column]):
+        self.raw = raw
+        self._part = part
 
-def value_of_parts(raw: Column, parts: Callable[[str], Column]) -> FieldValue:
-    """A value whose parts were computed beforehand, as columns."""
-    kind, scalar = parts("kind"), parts("scalar")
-    return FieldValue(
-        raw=raw,
-        none=kind.isNull() | (kind == "NoneType"),
-        is_text=_sure(kind == "str"),
-        is_number=_sure(kind.isin(*_NUMBERS)),
-        is_date=_sure(kind.isin("date", "datetime")),
-        is_timestamp=_sure(kind == "datetime"),
-        scalar=scalar,
-        stripped=parts("bare"),
-        number=parts("number"),
-        date=parts("date"),
-        shown=F.coalesce(scalar, F.lit("None")),
-        type_name=F.coalesce(kind, F.lit("NoneType")),
-    )
+    kind = cached_property(lambda self: self._part("kind"))
+    scalar = cached_property(lambda self: self._part("scalar"))
+    stripped = cached_property(lambda self: self._part("bare"))
+    number = cached_property(lambda self: self._part("number"))
+    date = cached_property(lambda self: self._part("date"))
+    type_name = cached_property(lambda self: F.coalesce(self.kind, F.lit("NoneType")))
+    none = cached_property(lambda self: self.type_name == "NoneType")
+    is_text = cached_property(lambda self: self.type_name == "str")
+    is_number = cached_property(lambda self: self.type_name.isin(*_NUMBERS))
+    is_date = cached_property(lambda self: self.type_name.isin("date", "datetime"))
+    is_timestamp = cached_property(lambda self: self.type_name == "datetime")
+    shown = cached_property(lambda self: F.coalesce(self.scalar, F.lit("None")))
 
+    def as_text(self) -> Column:
+        return self.scalar
 
-def _sure(test: Column) -> Column:
-    return F.coalesce(test, F.lit(False))
+
+def text_value(text: Column, stripped: Column | None = None) -> FieldValue:
+    return TextValue(text, stripped)
+
+
+def value_of_parts(raw: Column, parts: Callable[[str], Column]) -> FieldValue:
+    return PartsValue(raw, parts)
 
 
 # Kind of a value by its JSON type.
