@@ -13,6 +13,7 @@ from checks.registry import Data, query
 from checks.sql import OBSERVED, OBSERVED_YEARLY
 from obsforge.operators import constraints, dimensions, facts, geography, runlog
 from obsforge.schema import GEOGRAPHY, INDICATOR, INGESTION_LOG, OBSERVATION, STRATIFIER
+from obsforge.session import staged
 
 IDX = "record_index"
 
@@ -98,7 +99,7 @@ def placed(data: Data) -> tuple[DataFrame, DataFrame]:
     requests = geography.requests_of(observed(data), IDX)
     known = existing_geography(data)
     made = geography.new_geographies(requests, known, now())
-    return requests, geography.geography_lookup(known, made)
+    return requests, staged(geography.geography_lookup(known, made), "lookup")
 
 
 @query("resolve_geography", _geo_ctes() + "SELECT record_index, geography_id FROM placed")
@@ -218,7 +219,7 @@ def _resolved(data: Data, observations: DataFrame) -> DataFrame:
         ),
         empty(data, INDICATOR), IDX, now(),
     )
-    lookup = geography.geography_lookup(known, made)
+    lookup = staged(geography.geography_lookup(known, made), "lookup")
     return facts.resolve_keys(observations, IDX, indicator, lookup, strata, "ORDER_VALUE")
 
 
@@ -292,8 +293,6 @@ _OLD = (
     "AND n.stratifier_key = o.stratifier_key AND n.period_start = o.period_start AND n.period_end = o.period_end, past",
 )
 def upsert_observations(data: Data) -> DataFrame:
-    from obsforge.session import staged
-
     good = _checked(data).where(F.col("reason").isNull())
     once = staged(
         facts.dedupe_batch(good, IDX).withColumn("data_source", F.lit("new")), "deduplicated"
@@ -328,8 +327,6 @@ def upsert_observations(data: Data) -> DataFrame:
     "'{\"total_errors\":' || count(*) FILTER (reason IS NOT NULL) || '}' AS metadata FROM checked",
 )
 def load_batch_stats(data: Data) -> DataFrame:
-    from obsforge.session import staged
-
     return runlog.run_outcome(staged(_checked(data), "checked"), IDX)
 
 

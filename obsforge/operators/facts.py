@@ -24,13 +24,8 @@ def stratifier_key(stratifier_id: Column) -> Column:
 def place(observations: DataFrame, order_by: str, lookup: DataFrame) -> DataFrame:
     """Add ``geography_id``; the place columns stay, with empty texts as NULL."""
     texts = ("state", "county", "fips_code")
-    wide = observations.select(
-        *(c for c in observations.columns if c not in texts),
-        F.col(order_by).alias("idx"),
-        F.col("geography_level").alias("level"),
-        *(F.nullif(F.col(c), F.lit("")).alias(c) for c in texts),
-    )
-    return resolve_geography(wide, lookup).drop("idx", "level")
+    known = observations.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in texts})
+    return resolve_geography(known, lookup, order_by, "geography_level")
 
 
 def with_stratum(observations: DataFrame) -> DataFrame:

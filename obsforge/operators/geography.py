@@ -49,12 +49,13 @@ def requests_of(observations: DataFrame, order_by: str) -> DataFrame:
     )
 
 
-def _well_formed() -> Column:
+def _well_formed(level: str = "level") -> Column:
+    at = F.col(level)
     short = F.col("fips_code").isNull() | (F.length("fips_code") == 2)
     return F.coalesce(
-        ((F.col("level") == "county") & F.coalesce("state", "county", "fips_code").isNotNull())
-        | ((F.col("level") == "state") & F.col("state").isNotNull() & F.col("county").isNull() & short)
-        | ((F.col("level") == "nation") & F.col("state").isNull() & F.col("county").isNull() & short),
+        ((at == "county") & F.coalesce("state", "county", "fips_code").isNotNull())
+        | ((at == "state") & F.col("state").isNotNull() & F.col("county").isNull() & short)
+        | ((at == "nation") & F.col("state").isNull() & F.col("county").isNull() & short),
         F.lit(False),
     )
 
@@ -165,12 +166,12 @@ def _lookup_key(kind: str, first: Column | None = None, second: Column | None =
     )
 
 
-def request_key() -> Column:
+def request_key(level_name: str = "level") -> Column:
     """Lookup key of a request; NULL when it specifies nothing to look for."""
-    level, state = F.col("level"), F.col("state")
+    level, state = F.col(level_name), F.col("state")
     county, code = F.col("county"), F.col("fips_code")
     return F.when(
-        _well_formed(),
+        _well_formed(level_name),
         F.when(level == "nation", _lookup_key("nation"))
         .when(code.isNotNull(), _lookup_key("code", code))
         .when(level == "state", _lookup_key("state", state))
@@ -207,27 +208,29 @@ def geography_lookup(existing: DataFrame, created: DataFrame) -> DataFrame:
     )
 
 
-def resolve_geography(requests: DataFrame, lookup: DataFrame) -> DataFrame:
+def resolve_geography(
+    requests: DataFrame, lookup: DataFrame, order_by: str = "idx", level: str = "level"
+) -> DataFrame:
     """Add ``geography_id`` to every request; NULL where no member can serve it.
 
     One equi-join. Spark broadcasts the lookup when it measures it small and
     else shuffles both sides, splitting hot keys.
     """
-    key = request_key()
+    key = request_key(level)
     keyed = requests.select(
         "*",
         F.coalesce(key["kind"], F.lit("none")).alias("geo_kind"),
         # requests without a key match nothing: spread them instead of piling them up
-        F.coalesce(key["first"], F.col("idx").cast("string")).alias("geo_first"),
+        F.coalesce(key["first"], F.col(order_by).cast("string")).alias("geo_first"),
         F.coalesce(key["second"], F.lit("")).alias("geo_second"),
     )
     joined = keyed.join(lookup, ["geo_kind", "geo_first", "geo_second"], "left")
     member = F.col("geo_member")
     by_code = F.col("geo_kind") == "code"
-    level_fits = (F.col("level") != "state") | (member["level"] == "state")
+    level_fits = (F.col(level) != "state") | (member["level"] == "state")
     state_fits = F.col("state").isNull() | (F.col("state") == member["state"])
     county_fits = F.col("county").isNull() | (F.col("county") == member["county"])
-    serves = (~by_code | (level_fits & state_fits & county_fits)) & (member["born"] <= F.col("idx"))
+    serves = (~by_code | (level_fits & state_fits & county_fits)) & (member["born"] <= F.col(order_by))
     return joined.select(
         *requests.columns, F.when(serves, member["id"]).alias("geography_id")
     )

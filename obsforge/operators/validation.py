@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from obsforge.functions.dates import parse_date
 from obsforge.functions.rules import Rule, non_negative, not_future
 from obsforge.operators.records import records_of
+from obsforge.session import staged
 
 VALID, WARNING, INVALID = "valid", "warning", "invalid"
 _RESULT_COLUMNS = ("status", "errors", "warnings", "field_results")
@@ -142,12 +143,14 @@ def flag_not_in_table(
 ) -> DataFrame:
     """Membership in an allowed list too large for a literal.
 
-    ``allowed`` has one column. The join is broadcast only if Spark finds that
-    side below its size threshold; NULLs are spread and never match.
+    ``allowed`` has one column. Its distinct values are staged: Spark then knows
+    their size, broadcasts them only below its threshold, and else can split a
+    value that most rows hold.
     """
     (name,) = allowed.columns
-    known = allowed.where(F.col(name).isNotNull()).distinct().select(
-        F.col(name).alias("_member"), F.lit(True).alias(flag)
+    distinct = allowed.where(F.col(name).isNotNull()).distinct()
+    known = staged(
+        distinct.select(F.col(name).alias("_member"), F.lit(True).alias(flag)), "allowed"
     )
     joined = df.join(known, F.col(field) == F.col("_member"), "left")
     return joined.select(*df.columns, F.coalesce(F.col(flag), F.lit(False)).alias(flag))

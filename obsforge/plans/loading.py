@@ -92,7 +92,8 @@ def load_batch(
     requests = requests_of(batch, order_by)
     geographies = warehouse.table("geography")
     created = staged(new_geographies(requests, geographies, now), "new-geographies")
-    lookup = geography_lookup(geographies, created)
+    # staged, so that Spark knows its size and can split hot keys of the join
+    lookup = staged(geography_lookup(geographies, created), "geography-lookup")
     placed = staged(place(with_stratum(batch), order_by, lookup), "placed")
     warehouse.append("geography", created)
 

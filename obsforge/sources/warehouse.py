@@ -13,6 +13,8 @@ from obsforge.session import staged
 # queries on an indicator or a period skip the rest.
 FACT_PARTITIONS = ("part_indicator", "part_year")
 
+_PRUNED_PARTITIONS = 2000
+
 
 def _partitioned(df: DataFrame) -> DataFrame:
     return df.withColumns(
@@ -71,10 +73,17 @@ class Warehouse:
     def touched_facts(self, batch: DataFrame) -> DataFrame:
         """Facts in the partitions that hold keys of ``batch``.
 
-        A semi join on the partition columns, which prunes the scan at run time.
+        The semi join is exact. The partition values of the batch, of which
+        there are never more than partitions, also prune the scan beforehand;
+        a batch that touches very many is left to the join alone.
         """
         touched = _partitioned(batch).select(*FACT_PARTITIONS).distinct()
-        near = self.observations().join(touched, list(FACT_PARTITIONS), "left_semi")
+        facts = self.observations()
+        values = touched.limit(_PRUNED_PARTITIONS + 1).collect()
+        if len(values) <= _PRUNED_PARTITIONS:
+            for i, column in enumerate(FACT_PARTITIONS):
+                facts = facts.where(F.col(column).isin(sorted({v[i] for v in values})))
+        near = facts.join(touched, list(FACT_PARTITIONS), "left_semi")
         return near.select(*WAREHOUSE_TABLES["observation"].names)
 
     def publish_facts(self, merged: DataFrame) -> None:
@@ -95,9 +104,7 @@ class Warehouse:
         )
 
     def replace_log(self, log: DataFrame) -> None:
-        staged(log, "ingestion_log").coalesce(1).write.mode("overwrite").parquet(
-            self.path("ingestion_log")
-        )
+        staged(log, "ingestion_log").write.mode("overwrite").parquet(self.path("ingestion_log"))
 
     def register(self) -> None:
         """Temporary views of all tables, for SQL."""
