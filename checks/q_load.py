@@ -37,6 +37,15 @@ _GEO = (
 )
 
 
+def requested(data: Data) -> DataFrame:
+    """Geography requests of the observations, staged as a load stages its batch.
+
+    Checks on derived columns then read them, where on a lazy frame each check
+    would be pushed below the mapping and repeat it.
+    """
+    return geography.requests_of(staged(observed(data), "observations"), IDX)
+
+
 def existing_geography(data: Data) -> DataFrame:
     rows = data._sql(_GEO.replace("FROM nation", "FROM {nation}"), "nation")
     return rows.withColumns(
@@ -90,13 +99,13 @@ placed AS (SELECT r.idx AS record_index, h.geography_id FROM req r LEFT JOIN (
 
 @query("dim_geography", _geo_ctes() + "SELECT id, level, state, county, fips_code FROM new")
 def dim_geography(data: Data) -> DataFrame:
-    requests = geography.requests_of(observed(data), IDX)
+    requests = requested(data)
     made = geography.new_geographies(requests, existing_geography(data), now())
     return made.select("id", "level", "state", "county", "fips_code")
 
 
 def placed(data: Data) -> tuple[DataFrame, DataFrame]:
-    requests = geography.requests_of(observed(data), IDX)
+    requests = requested(data)
     known = existing_geography(data)
     made = geography.new_geographies(requests, known, now())
     return requests, staged(geography.geography_lookup(known, made), "lookup")
@@ -126,7 +135,7 @@ FROM (SELECT * FROM coded UNION ALL SELECT * FROM named UNION ALL SELECT * FROM
 
 @query("dim_geography_strict", _STRICT)
 def dim_geography_strict(data: Data) -> DataFrame:
-    requests = geography.requests_of(observed(data), IDX)
+    requests = requested(data)
     made = geography.new_geographies_strict(requests, existing_geography(data), now())
     return made.select("id", "level", "state", "county", "fips_code")
 
@@ -202,7 +211,7 @@ def yearly(data: Data) -> DataFrame:
     rows = data.dirty().drop("date").withColumn(
         "year", (F.lit(1990) + F.col(IDX) % 10).cast("string")
     )
-    return to_observation(rows, "ORDER_VALUE", "Order value", keep=(IDX,))
+    return staged(to_observation(rows, "ORDER_VALUE", "Order value", keep=(IDX,)), "observations")
 
 
 def _resolved(data: Data, observations: DataFrame) -> DataFrame:

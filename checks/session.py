@@ -14,6 +14,8 @@ def local_session(cpus: str | None = None, partitions: int = 8) -> SparkSession:
         SparkSession.builder.master(f"local[{cpus or os.environ.get('BENCH_CPUS', '8')}]")
         .appName("obsforge")
         .config("spark.ui.enabled", "false")
+        # skips the call-site capture of every column operation
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.driver.bindAddress", "127.0.0.1")
