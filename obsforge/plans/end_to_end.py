@@ -9,7 +9,6 @@ from datetime import datetime, timezone
 from typing import Any
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from obsforge.functions.rules import Rule, basic_rules
 from obsforge.operators.mapping import (
