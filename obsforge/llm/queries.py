@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsforge.llm import sql
+from obsforge.llm.jaccard_join import similar_groups
 from obsforge.llm.line_dedup import dedup_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +34,8 @@ def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_lines(table(spark, folder, "documents")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query("op10_jaccard_join", sql.JACCARD_JOIN)
+def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return similar_groups(table(spark, folder, "documents"), shingle=3, percent=90)
