@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from obsforge.llm import sql
 from obsforge.llm.jaccard_join import similar_groups
 from obsforge.llm.line_dedup import dedup_lines
+from obsforge.llm.mixing import mix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,3 +40,14 @@ def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_jaccard_join", sql.JACCARD_JOIN)
 def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return similar_groups(table(spark, folder, "documents"), shingle=3, percent=90)
+
+
+@query("op2_mixing", sql.MIXING)
+def mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mix(table(spark, folder, "documents"), F.array("source")).select(
+        "doc_id",
+        "size",
+        F.col("routes")[0]["source_size"].alias("source_size"),
+        F.col("routes")[0]["target"].alias("target"),
+        "taken",
+    )

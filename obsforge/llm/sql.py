@@ -40,3 +40,30 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
 FROM documents d LEFT JOIN n USING (doc_id)
 JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
 """
+
+MIXING = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, md5('0:' || doc_id) AS place
+  FROM documents),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w
+  FROM d GROUP BY source),
+ranked AS (
+  SELECT *, sum(w) OVER (ORDER BY 3.0::DOUBLE * source_size / w DESC, source DESC NULLS FIRST) AS w_left,
+         sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (
+           ORDER BY 3.0::DOUBLE * source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS words_left
+  FROM s),
+shares AS (SELECT *, words_left::DOUBLE / w_left::DOUBLE AS share FROM ranked),
+lowest AS (SELECT share FROM shares WHERE share * w <= 3 * source_size ORDER BY words_left DESC LIMIT 1),
+t AS (
+  SELECT s.source, s.source_size,
+         CASE WHEN l.share * w > 3 * source_size THEN (3 * source_size)::DOUBLE ELSE l.share * w END AS target
+  FROM s, lowest l),
+p AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY place, doc_id
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM d)
+SELECT p.doc_id, p.size, t.source_size, t.target,
+       (p.size * len(list_filter([0, 1, 2], lambda k: 2 * (k * t.source_size + p.start) + p.size < 2 * floor(t.target + 0.5))))::BIGINT AS taken
+FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source
+"""
