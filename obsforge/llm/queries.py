@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsforge.llm import sql
+from obsforge.llm.decontaminate import contaminated
 from obsforge.llm.jaccard_join import similar_groups
 from obsforge.llm.line_dedup import dedup_lines
 from obsforge.llm.mixing import mix
@@ -51,3 +52,8 @@ def mixing(spark: SparkSession, folder: str) -> DataFrame:
         F.col("routes")[0]["target"].alias("target"),
         "taken",
     )
+
+
+@query("op3_decontaminate")
+def decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("version")
