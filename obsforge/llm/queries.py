@@ -12,6 +12,7 @@ from obsforge.llm.decontaminate import contaminated
 from obsforge.llm.jaccard_join import similar_groups
 from obsforge.llm.line_dedup import dedup_lines
 from obsforge.llm.mixing import mix
+from obsforge.llm.quality import score_quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,3 +58,8 @@ def mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_decontaminate")
 def decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("version")
+
+
+@query("op1_quality")
+def quality(spark: SparkSession, folder: str) -> DataFrame:
+    return score_quality(table(spark, folder, "documents"), table(spark, folder, "labels")).drop("row")
