@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from obsforge.llm import sql
 from obsforge.llm.decontaminate import contaminated
+from obsforge.llm.embedding_dedup import near_groups
 from obsforge.llm.jaccard_join import similar_groups
 from obsforge.llm.line_dedup import dedup_lines
 from obsforge.llm.mixing import mix
@@ -63,3 +64,8 @@ def decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 @query("op1_quality")
 def quality(spark: SparkSession, folder: str) -> DataFrame:
     return score_quality(table(spark, folder, "documents"), table(spark, folder, "labels")).drop("row")
+
+
+@query("op5_embedding_dedup", sql.EMBEDDING_DEDUP)
+def embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_groups(table(spark, folder, "embeddings"))

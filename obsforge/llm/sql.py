@@ -67,3 +67,20 @@ SELECT p.doc_id, p.size, t.source_size, t.target,
        (p.size * len(list_filter([0, 1, 2], lambda k: 2 * (k * t.source_size + p.start) + p.size < 2 * floor(t.target + 0.5))))::BIGINT AS taken
 FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source
 """
+
+EMBEDDING_DEDUP = r"""
+WITH RECURSIVE sound AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b
+    ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+FROM embeddings v
+LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) n USING (vec_id)
+JOIN (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a) c USING (vec_id)
+"""
