@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from obsforge.llm import sql
 from obsforge.llm.decontaminate import contaminated
 from obsforge.llm.embedding_dedup import near_groups
@@ -69,3 +70,8 @@ def quality(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_embedding_dedup", sql.EMBEDDING_DEDUP)
 def embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_groups(table(spark, folder, "embeddings"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
