@@ -15,6 +15,7 @@ from obsforge.llm.jaccard_join import similar_groups
 from obsforge.llm.line_dedup import dedup_lines
 from obsforge.llm.mixing import mix
 from obsforge.llm.quality import score_quality
+from obsforge.llm.span_dedup import drop_repeated_passages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -75,3 +76,10 @@ def embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
+
+
+@query("op6_span_dedup")
+def span_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return drop_repeated_passages(table(spark, folder, "documents")).select(
+        "doc_id", "n_sentences", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
