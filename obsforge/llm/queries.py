@@ -12,6 +12,7 @@ from obsforge.llm import sql
 from obsforge.llm.decontaminate import contaminated
 from obsforge.llm.embedding_dedup import near_groups
 from obsforge.llm.jaccard_join import similar_groups
+from obsforge.llm.language import identify_languages
 from obsforge.llm.line_dedup import dedup_lines
 from obsforge.llm.mixing import mix
 from obsforge.llm.quality import score_quality
@@ -83,3 +84,8 @@ def span_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return drop_repeated_passages(table(spark, folder, "documents")).select(
         "doc_id", "n_sentences", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query("op9_language")
+def language(spark: SparkSession, folder: str) -> DataFrame:
+    return identify_languages(table(spark, folder, "documents"))
