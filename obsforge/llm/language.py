@@ -112,7 +112,7 @@ class LanguageModel:
 
 
 def fit_languages(docs: DataFrame) -> LanguageModel:
-    sample = labelled_sample(docs, docs, "lang", FOLDS, HELD_OUT, PER_CLASS, MAX_BYTES)
+    sample, _ = labelled_sample(docs, docs, "lang", FOLDS, HELD_OUT, PER_CLASS, MAX_BYTES)
     languages = sorted({str(label) for _, label in sample})
     counts = np.full((len(languages), 1 << BITS), 0.5)
     for text, label in sample:

@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from obsforge.llm.text import crc_fold
 
 
+#: Classes that a model learns at most, the most frequent ones.
+MOST_CLASSES = 256
+
+
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     """True for the documents that no label may be learnt from; false for a null id."""
     return F.coalesce(crc_fold(doc_id, folds) == fold, F.lit(False))
@@ -18,8 +22,10 @@ def held_out(doc_id: Column, folds: int, fold: int) -> Column:
 
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int, per_class: int, max_bytes: int
-) -> list[tuple[bytes, object]]:
-    """Whole texts with their label, at most ``per_class`` of each class, outside the held-out fold.
+) -> tuple[list[tuple[bytes, object]], dict[object, int]]:
+    """Whole texts with their label, at most ``per_class`` of each class, and how many labels each class has.
+
+    All of them lie outside the held-out fold.
 
     Documents come in the order of a hash of their id, so a run repeats. Texts of more than ``max_bytes`` are left
     out, which bounds what the driver gets. Of several labels of a document the largest counts.
@@ -31,7 +37,8 @@ def labelled_sample(
         .groupBy("doc_id")
         .agg(F.max("label").alias("label"))
     )
-    classes = [r.label for r in known.groupBy("label").count().orderBy(F.desc("count"), "label").limit(64).collect()]
+    sizes = known.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label").limit(MOST_CLASSES)
+    classes = {r.label: r.n for r in sizes.collect()}
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
     found = []
     for value in classes:
@@ -39,7 +46,7 @@ def labelled_sample(
         # per_class rows at most
         rows = texts.join(F.broadcast(drawn.select("doc_id")), "doc_id").where(F.octet_length("text").between(1, max_bytes))
         found += [(bytes(r.text), value) for r in sorted(rows.dropDuplicates(["doc_id"]).collect(), key=lambda r: r.doc_id)]
-    return found
+    return found, classes
 
 
 @dataclass

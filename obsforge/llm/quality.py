@@ -74,7 +74,7 @@ class QualityModel:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame) -> QualityModel:
-    sample = labelled_sample(docs, labels, "quality", FOLDS, HELD_OUT, PER_CLASS, MAX_BYTES)
+    sample, _ = labelled_sample(docs, labels, "quality", FOLDS, HELD_OUT, PER_CLASS, MAX_BYTES)
     texts = {value: [t for t, label in sample if label == value] for value in (1, 0)}
     model = QualityModel(*(build_dictionary(texts[value][::2]) for value in (1, 0)))
     unseen = [(t, value) for value in (1, 0) for t in texts[value][1::2]]

@@ -17,6 +17,7 @@ from obsforge.llm.line_dedup import dedup_lines
 from obsforge.llm.mixing import mix
 from obsforge.llm.quality import score_quality
 from obsforge.llm.span_dedup import drop_repeated_passages
+from obsforge.llm.toxicity import score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -89,3 +90,8 @@ def span_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_language")
 def language(spark: SparkSession, folder: str) -> DataFrame:
     return identify_languages(table(spark, folder, "documents"))
+
+
+@query("op8_toxicity")
+def toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
