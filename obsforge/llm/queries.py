@@ -17,6 +17,7 @@ from obsforge.llm.line_dedup import dedup_lines
 from obsforge.llm.mixing import mix
 from obsforge.llm.quality import score_quality
 from obsforge.llm.span_dedup import drop_repeated_passages
+from obsforge.llm.substring_dedup import drop_repeated_substrings
 from obsforge.llm.toxicity import score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +96,8 @@ def language(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_toxicity")
 def toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op7_substring_dedup", sql.SUBSTRING_DEDUP)
+def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return drop_repeated_substrings(table(spark, folder, "documents")).drop("spans")

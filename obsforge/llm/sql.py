@@ -84,3 +84,29 @@ FROM embeddings v
 LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) n USING (vec_id)
 JOIN (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a) c USING (vec_id)
 """
+
+SUBSTRING_DEDUP = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+s AS (
+  SELECT doc_id, unnest(generate_series(0, length(h) // 2 - 400)) AS p, h FROM d WHERE length(h) >= 800),
+w AS (SELECT doc_id, p, md5(substr(h, 2 * p + 1, 800)) AS w FROM s),
+r AS (SELECT doc_id, p FROM w WHERE w IN (SELECT w FROM w GROUP BY w HAVING count(*) > 1)),
+g AS (
+  SELECT *, CASE WHEN p > 400 + lag(p) OVER (PARTITION BY doc_id ORDER BY p) THEN 1 ELSE 0 END AS new_span FROM r),
+spans AS (
+  SELECT doc_id, n, min(p) AS a, max(p) + 400 AS b
+  FROM (SELECT *, sum(new_span) OVER (PARTITION BY doc_id ORDER BY p) AS n FROM g) GROUP BY doc_id, n),
+gaps AS (
+  SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS from_byte FROM spans),
+parts AS (
+  SELECT doc_id, from_byte, a AS to_byte FROM gaps
+  UNION ALL
+  SELECT d.doc_id, coalesce(max(s.b), 0), length(any_value(d.h)) // 2 FROM d LEFT JOIN spans s USING (doc_id) GROUP BY d.doc_id),
+kept AS (
+  SELECT p.doc_id, string_agg(substr(d.h, 2 * from_byte + 1, 2 * (to_byte - from_byte)), '' ORDER BY from_byte, to_byte) AS h
+  FROM parts p JOIN d USING (doc_id) GROUP BY p.doc_id)
+SELECT d.doc_id, length(d.h) // 2 AS n_bytes, coalesce(n.n_removed, 0)::BIGINT AS n_removed, coalesce(n.n_spans, 0) AS n_spans,
+       sha256(unhex(k.h)) AS kept_sha256
+FROM d JOIN kept k USING (doc_id)
+LEFT JOIN (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id) n USING (doc_id)
+"""
