@@ -1,17 +1,18 @@
 """Similarity join of documents on the Jaccard similarity of their word shingles, by a size-aware heavy-light join.
 
 Each document is the set of its distinct shingles; documents with equal sets form a class and only one of them is
-compared. The shingles of a set are ordered by how often they occur in the corpus, rare ones first, as counted in a
-fixed number of bins. Of two sets that are similar enough, a short head of each shares at least k shingles.
+compared. The shingles of a set are ordered rare ones first, by the product of their words' frequencies in the whole
+corpus. Of two sets that are similar enough, a short head of each shares at least k shingles.
 
 * Light sets are small: every subset of k = 2 shingles of the head is a key.
 * Heavy sets are large: every shingle of the head (k = 1) is an inverted list, which light sets join as far as
-  their size may match that of a heavy one.
+  their size may match that of a heavy one. Lists are scanned by counting, for each pair, the lists it shares: the
+  head of a large set must share many.
 
 The size that parts them is the one with the least cost: the number of subsets of all light sets against the list
 entries of all heavy sets, each weighed with ``LIST_COST``.
 
-Sets that share a key are candidates. A key that many sets share doesn't become all their pairs: first all are
+Sets that share enough keys are candidates. A key that many sets share doesn't become all their pairs: first all are
 compared with one pivot per key, then links join into components, and only sets of different components that share
 a key are compared. A pair inside a component is linked already, so no component is lost. Intersections are exact.
 
@@ -34,8 +35,9 @@ from obsforge.llm.components import components
 from obsforge.llm.hashing import mix, shingle_hashes, texts_of, word_hashes
 from obsforge.session import staged
 
-#: Bins in which all shingles of the corpus are counted.
-BINS = 1 << 16
+#: Bins in which all words of the corpus are counted.
+BIN_BITS = 17
+BINS = 1 << BIN_BITS
 #: What one entry of an inverted list costs, in subsets.
 LIST_COST = 4
 #: Sets above this size have so many subsets that no boundary above it is the cheapest.
@@ -55,33 +57,34 @@ def head_length(size: int, percent: int, k: int) -> int:
     return size - -(-percent * size // 100) + k
 
 
-def shingle_sets(batch: pa.RecordBatch, size: int) -> Iterator[np.ndarray]:
-    for words in word_hashes(texts_of(batch, "text")):
-        yield np.unique(shingle_hashes(words, size))
-
-
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
 
 
+def _bins(words: np.ndarray) -> np.ndarray:
+    return (words >> np.uint64(64 - BIN_BITS)).astype(np.int64)
+
+
 def corpus_statistics(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """How often shingles fall into each bin, and how many sets have each size up to MOST_LIGHT (larger: the last)."""
+    """How many words fall into each bin, and how many documents have each number of shingles (last: more)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = np.zeros(BINS, dtype=np.int64)
         sizes = np.zeros(MOST_LIGHT + 2, dtype=np.int64)
         for batch in batches:
-            sets = list(shingle_sets(batch, shingle))
-            bins += np.bincount((np.concatenate(sets) >> np.uint64(48)).astype(np.int64), minlength=BINS)
-            sizes += np.bincount([min(len(x), MOST_LIGHT + 1) for x in sets], minlength=MOST_LIGHT + 2)
+            words = [*word_hashes(texts_of(batch, "text")), np.zeros(0, dtype=np.uint64)]
+            bins += np.bincount(_bins(np.concatenate(words)), minlength=BINS)
+            length = np.array([len(w) for w in words[:-1]], dtype=np.int64)
+            size = np.where(length < shingle, np.minimum(length, 1), length - shingle + 1)
+            sizes += np.bincount(np.minimum(size, MOST_LIGHT + 1), minlength=MOST_LIGHT + 2)
         slots = np.concatenate((bins, sizes))
         at = np.flatnonzero(slots)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(slots[at])], names=["slot", "n"])
 
     counted = _texts(docs).select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    found = counted.toArrow()  # BINS + MOST_LIGHT + 2 rows at most
     slots = np.zeros(BINS + MOST_LIGHT + 2, dtype=np.int64)
-    for row in counted.collect():  # BINS + MOST_LIGHT + 2 rows at most
-        slots[row.slot] = row.n
+    slots[found.column("slot").to_numpy()] = found.column("n").to_numpy()
     return slots[:BINS], slots[BINS:]
 
 
@@ -99,22 +102,26 @@ def boundary(sizes: np.ndarray, percent: int) -> int:
     return at
 
 
-def signatures(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, two hashes of the whole set, and the set's keys."""
+def signatures(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, int]:
+    """doc_id, n_shingles, two hashes of the whole set, and the set's keys; and the size of the largest light sets.
+
+    A set of one shingle is similar to an equal set only and has no keys.
+    """
     bins, sizes = corpus_statistics(docs, shingle)
-    order = np.empty(BINS, dtype=np.uint16)
-    order[np.argsort(bins, kind="stable")] = np.arange(BINS, dtype=np.uint16)
     light = boundary(sizes, percent)
+    # whole numbers, so that a shingle has the same rank wherever it stands
+    bits = np.log2(bins + 1.0)
+    bits = np.round(bits * (65535 // shingle) / max(float(bits.max()), 1.0)).astype(np.int64)
 
-    def ranked(shingles: np.ndarray) -> np.ndarray:
-        """The set in the order of the corpus: bins by count, then hashes. A bijection of the hashes."""
-        rank = order[(shingles >> np.uint64(48)).astype(np.int64)].astype(np.uint64)
-        return np.sort((rank << np.uint64(48)) | (shingles & _LOW48))
+    def ranked(words: np.ndarray, shingles: np.ndarray) -> np.ndarray:
+        """Distinct shingles in the order of the corpus: expected frequency, then hash."""
+        run = min(shingle, len(words))
+        total = np.concatenate(([0], np.cumsum(bits[_bins(words)])))
+        rank = (total[run:] - total[:-run]).astype(np.uint64)
+        return np.unique((rank << np.uint64(48)) | (shingles & _LOW48))
 
     def keys(row: np.ndarray) -> np.ndarray:
         n = len(row)
-        if n < 2:  # similar to an equal set only
-            return row[:0]
         found = []
         if n <= light:
             head = row[: head_length(n, percent, 2)]
@@ -126,7 +133,10 @@ def signatures(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = list(shingle_sets(batch, shingle))
+            words = word_hashes(texts_of(batch, "text"))
+            runs = [shingle_hashes(w, shingle) for w in words]
+            sets = [np.unique(x) for x in runs]
+            heads = [keys(ranked(w, x)) if len(own) > 1 else own[:0] for w, x, own in zip(words, runs, sets, strict=True)]
             seeds = [(mix(x).sum(dtype=np.uint64), mix(x ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)) for x in sets]
             first, second = (pa.array(np.array([s[i] for s in seeds], dtype=np.uint64).view(np.int64)) for i in (0, 1))
             yield pa.RecordBatch.from_arrays(
@@ -135,36 +145,36 @@ def signatures(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
                     pa.array([len(x) for x in sets], pa.int64()),
                     first,
                     second,
-                    pa.array([keys(ranked(x)).view(np.int64) for x in sets], pa.list_(pa.int64())),
+                    pa.array([x.view(np.int64) for x in heads], pa.list_(pa.int64())),
                 ],
                 names=["doc_id", "n_shingles", "hash_a", "hash_b", "keys"],
             )
 
     schema = "doc_id long, n_shingles long, hash_a long, hash_b long, keys array<long>"
-    return staged(_texts(docs).mapInArrow(sign, schema), "signatures")
+    return staged(_texts(docs).mapInArrow(sign, schema), "signatures"), light
+
 
+def _links(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that are similar enough, verified on their whole texts. a: the side that occurs often."""
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    texts = staged(_texts(docs).join(staged(ids, "wanted"), "doc_id", "left_semi"), "texts")
+    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
 
-def _sets(docs: DataFrame, shingle: int) -> DataFrame:
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, own = None, None
         for batch in batches:
-            sets = pa.array([x.view(np.int64) for x in shingle_sets(batch, shingle)], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), sets], names=["doc_id", "shingles"])
-
-    return docs.mapInArrow(build, "doc_id long, shingles array<long>")
-
-
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that are similar enough, verified on whole sets."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
-    both = F.size(F.array_intersect("set_a", "set_b"))
-    return (
-        pairs.join(left, "a")
-        .join(right, "b")
-        .select("a", "b", (F.size("set_a") + F.size("set_b")).alias("sizes"), both.alias("both"))
-        .where(F.col("both") * 100 >= F.lit(percent) * (F.col("sizes") - F.col("both")))
-        .select("a", "b")
-    )
+            good = []
+            others = [np.unique(shingle_hashes(w, shingle)) for w in word_hashes(texts_of(batch, "text_b"))]
+            for a, text, other in zip(batch.column("a").to_pylist(), texts_of(batch, "text_a"), others, strict=True):
+                if (a, len(text)) != last:
+                    own = np.unique(shingle_hashes(word_hashes([text])[0], shingle))
+                    last = (a, len(text))
+                both = len(np.intersect1d(own, other, assume_unique=True))
+                good.append(100 * both >= percent * (len(own) + len(other) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(verify, "a long, b long")
 
 
 def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -172,7 +182,7 @@ def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Data
     if not 50 < percent <= 100:
         raise ValueError("percent must be over 50 and at most 100")
     small_batches(docs.sparkSession)
-    signed = signatures(docs, shingle, percent)
+    signed, light = signatures(docs, shingle, percent)
     same = ["n_shingles", "hash_a", "hash_b"]
     classes = signed.where("n_shingles > 0 and doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("rep"))
     classes = staged(classes, "classes")
@@ -182,22 +192,28 @@ def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Data
     counts = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     shared = staged(entries.join(counts, "key", "left_semi"), "entries")
 
-    wanted = shared.select(F.col("rep").alias("doc_id")).distinct()
-    sets = staged(_sets(_texts(docs).join(wanted, "doc_id", "left_semi"), shingle), "sets")
-
-    # the first comparison: each with the smallest of its key
     sizes_fit = F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+    # how many shingles of both heads two similar sets share at least, if one of them is heavy
+    both = f"ceil({percent} * (n_a + n_b) / {100 + percent})"
+    spare = " ,".join(f"({both} - ceil({percent} * {n} / 100) + 1)" for n in ("n_a", "n_b"))
+    shares = F.expr(f"CASE WHEN greatest(n_a, n_b) > {light} THEN least({spare}) ELSE 1 END")
+
+    # the first comparison: each with the smallest of its keys. A pair shares other keys as well, so half of the
+    # shared shingles will do here; what it misses, the second finds.
     pivots = shared.groupBy("key").agg(F.min(F.struct("rep", "n_shingles")).alias("pivot"))
     tested = staged(
         shared.join(pivots, "key")
         .select(F.col("pivot.rep").alias("a"), F.col("rep").alias("b"), F.col("pivot.n_shingles").alias("n_a"), F.col("n_shingles").alias("n_b"))
         .where(F.col("a") < F.col("b"))
         .where(sizes_fit)
+        .groupBy("a", "b", "n_a", "n_b")
+        .agg(F.count("*").alias("n"))
+        .where(2 * F.col("n") >= shares)
         .select("a", "b")
         .distinct(),
         "pairs",
     )
-    links = staged(_links(tested, sets, percent), "links")
+    links = staged(_links(tested, docs, shingle, percent), "links")
     roots = components(links, "a", "b")
 
     # the second: whatever shares a key and isn't in one component yet
@@ -209,8 +225,18 @@ def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Data
     rest = staged(placed.join(open_keys.select("key"), "key", "left_semi"), "rest")
     one = rest.select("key", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
     two = rest.select("key", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
-    open_pairs = one.join(two, "key").where("a < b and root_a <> root_b").where(sizes_fit).select("a", "b").distinct()
-    more = _links(open_pairs.join(tested, ["a", "b"], "left_anti"), sets, percent)
+    open_pairs = (
+        one.join(two, "key")
+        .where("a < b and root_a <> root_b")
+        .where(sizes_fit)
+        .groupBy("a", "b", "n_a", "n_b")
+        .agg(F.count("*").alias("n"))
+        .where(F.col("n") >= shares)
+        .select("a", "b")
+        .distinct()
+    )
+    untested = staged(open_pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+    more = _links(untested, docs, shingle, percent)
     roots = components(links.union(more), "a", "b")
 
     members = signed.join(classes, same, "left").select("doc_id", "n_shingles", "rep")
