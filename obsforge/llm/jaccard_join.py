@@ -13,8 +13,12 @@ The size that parts them is the one with the least cost: the number of subsets o
 entries of all heavy sets, each weighed with ``LIST_COST``.
 
 Sets that share enough keys are candidates. A key that many sets share doesn't become all their pairs: first all are
-compared with one pivot per key, then links join into components, and only sets of different components that share
-a key are compared. A pair inside a component is linked already, so no component is lost. Intersections are exact.
+compared with one pivot per key, then links join into components, and only sets of different components are compared
+further; a pair inside a component is linked already, so no component is lost. Sets that were compared with the same
+pivot, such as hundreds of edited copies of one text, are matched on what they differ in from it: A and B differ in
+exactly those shingles in which their differences from the pivot differ. These are small sets, with what was added
+first and what was removed after it, and similar sets must share an early shingle of them. All other pairs are those
+that share enough keys. Intersections are exact.
 
 Defined cases: without words a document has size 0 and links with nothing; with fewer words than a shingle needs,
 all its words are its one shingle. A null ``doc_id`` links with nothing. Rows that share a ``doc_id`` but not a text
@@ -28,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsforge.llm.components import components
@@ -154,27 +158,101 @@ def signatures(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame,
     return staged(_texts(docs).mapInArrow(sign, schema), "signatures"), light
 
 
-def _links(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that are similar enough, verified on their whole texts. a: the side that occurs often."""
+def _compared(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The pairs (a, b) with ``linked``, whether their whole texts are similar enough, and how b differs from a.
+
+    ``d`` is the number of shingles that one of them lacks. Of these, ``index`` and ``probe`` are the first in the
+    order of a's group: those that a lacks, then those that b lacks. a is the side that occurs often.
+    """
+    pairs = staged(pairs, "pairs")
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     texts = staged(_texts(docs).join(staged(ids, "wanted"), "doc_id", "left_semi"), "texts")
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, own = None, None
         for batch in batches:
-            good = []
+            rows = []
             others = [np.unique(shingle_hashes(w, shingle)) for w in word_hashes(texts_of(batch, "text_b"))]
-            for a, text, other in zip(batch.column("a").to_pylist(), texts_of(batch, "text_a"), others, strict=True):
-                if (a, len(text)) != last:
-                    own = np.unique(shingle_hashes(word_hashes([text])[0], shingle))
-                    last = (a, len(text))
+            for text, other in zip(texts_of(batch, "text_a"), others, strict=True):
+                if text != last:
+                    own, last = np.unique(shingle_hashes(word_hashes([text])[0], shingle)), text
                 both = len(np.intersect1d(own, other, assume_unique=True))
-                good.append(100 * both >= percent * (len(own) + len(other) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+                union = len(own) + len(other) - both
+                differ = np.concatenate(
+                    (np.setdiff1d(other, own, assume_unique=True), np.setdiff1d(own, other, assume_unique=True))
+                ).view(np.int64)
+                most = most_apart(len(other), percent)
+                rows.append((100 * both >= percent * union, union - both, len(other), differ[: most // 2 + 1], differ[: most + 1]))
+            linked, d, n, index, probe = zip(*rows, strict=True) if rows else ([],) * 5
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("a"),
+                    batch.column("b"),
+                    pa.array(linked, pa.bool_()),
+                    pa.array(d, pa.int64()),
+                    pa.array(n, pa.int64()),
+                    pa.array(index, pa.list_(pa.int64())),
+                    pa.array(probe, pa.list_(pa.int64())),
+                ],
+                names=["a", "b", "linked", "d", "n_b", "index", "probe"],
+            )
 
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(verify, "a long, b long")
+    schema = "a long, b long, linked boolean, d long, n_b long, index array<long>, probe array<long>"
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(compare, schema)
+
+
+def most_apart(size: int, percent: int) -> int:
+    """Most shingles that a set of this size and a similar one don't share."""
+    return (100 - percent) * size // percent
+
+
+#: Of two sets that are not linked through their pivot, but closer to it than they need be to each other, one differs
+#: from it in at most this many shingles: rounding of the bounds leaves no more room.
+_CLOSE = 3
+
+
+def _by_differences(tested: DataFrame, roots: DataFrame, percent: int, sizes_fit: Column) -> DataFrame:
+    """Pairs (a, b) of different components that were compared with the same pivot and may be similar.
+
+    Sets that differ from it in d_a and d_b shingles, and from each other in at most h, share (d_a + d_b - h) / 2 of
+    these. With d_a <= d_b one of the first h / 2 + 1 of a is one of the first h + 1 of b. If d_a + d_b <= h nothing
+    need be shared; then d_a is at most ``_CLOSE``, and such pairs meet under a key of their own.
+    """
+    placed = staged(
+        tested.join(roots, tested.b == roots.node, "left").select(
+            F.col("a").alias("pivot"), F.col("b").alias("x"), F.col("n_b").alias("n"), "d", "linked", "index", "probe",
+            F.coalesce("root", "b").alias("root"),
+        ),
+        "differences",
+    )
+    several = placed.groupBy("pivot").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    several = staged(several.select("pivot"), "pivots")
+    members = placed.join(several, "pivot", "left_semi")
+    close = F.array().cast("array<bigint>")
+    here = F.array(F.lit(None).cast("bigint"))
+    index = F.concat("index", F.when(F.col("d") <= _CLOSE, here).otherwise(close))
+    barely = ~F.col("linked") & (F.col("d") <= F.expr(f"(100 - {percent}) * n div {percent}"))
+    probe = F.concat("probe", F.when(barely, here).otherwise(close))
+    one = members.select(
+        "pivot", F.explode(index).alias("token"), F.col("x").alias("a"), F.col("n").alias("n_a"), F.col("d").alias("d_a"), F.col("root").alias("root_a")
+    )
+    two = members.select(
+        "pivot", F.explode(probe).alias("token"), F.col("x").alias("b"), F.col("n").alias("n_b"), F.col("d").alias("d_b"), F.col("root").alias("root_b")
+    )
+    # null is the key of close pairs
+    keyed = [
+        df.withColumns({"close": F.col("token").isNull(), "token": F.coalesce("token", F.lit(0).cast("bigint"))}) for df in (one, two)
+    ]
+    return (
+        keyed[0]
+        .join(keyed[1], ["pivot", "token", "close"])
+        .where("root_a <> root_b and (d_a < d_b or d_a = d_b and a < b)")
+        .where(sizes_fit)
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .distinct()
+    )
 
 
 def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -199,44 +277,52 @@ def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Data
     shares = F.expr(f"CASE WHEN greatest(n_a, n_b) > {light} THEN least({spare}) ELSE 1 END")
 
     # the first comparison: each with the smallest of its keys. A pair shares other keys as well, so half of the
-    # shared shingles will do here; what it misses, the second finds.
-    pivots = shared.groupBy("key").agg(F.min(F.struct("rep", "n_shingles")).alias("pivot"))
-    tested = staged(
-        shared.join(pivots, "key")
-        .select(F.col("pivot.rep").alias("a"), F.col("rep").alias("b"), F.col("pivot.n_shingles").alias("n_a"), F.col("n_shingles").alias("n_b"))
-        .where(F.col("a") < F.col("b"))
+    # shared shingles will do here; what it misses is compared as a pair that shares keys.
+    pivots = staged(shared.groupBy("key").agg(F.min(F.struct("rep", "n_shingles")).alias("pivot")), "pivots")
+    met = shared.join(pivots, "key").select(
+        "key", F.col("pivot.rep").alias("a"), F.col("rep").alias("b"), F.col("pivot.n_shingles").alias("n_a"), F.col("n_shingles").alias("n_b")
+    )
+    close = (
+        met.where("a <> b")
         .where(sizes_fit)
         .groupBy("a", "b", "n_a", "n_b")
         .agg(F.count("*").alias("n"))
         .where(2 * F.col("n") >= shares)
-        .select("a", "b")
-        .distinct(),
-        "pairs",
     )
-    links = staged(_links(tested, docs, shingle, percent), "links")
+    tested = staged(_compared(close.select("a", "b").distinct(), docs, shingle, percent), "tested")
+    links = tested.where("linked").select("a", "b")
     roots = components(links, "a", "b")
 
-    # the second: whatever shares a key and isn't in one component yet
+    # the second: sets of different components, by their differences from a common pivot, or else by their keys
+    with_pivot = staged(tested.select("a", "b").distinct(), "with_pivot").withColumn("known", F.lit(True))
     placed = (
-        shared.join(roots, shared.rep == roots.node, "left")
-        .select("key", "rep", F.col("n_shingles").alias("n"), F.coalesce("root", "rep").alias("root"))
+        met.join(with_pivot, ["a", "b"], "left")
+        .join(roots, met.b == roots.node, "left")
+        .select(
+            "key",
+            F.col("b").alias("rep"),
+            F.col("n_b").alias("n"),
+            F.coalesce("root", "b").alias("root"),
+            (F.coalesce("known", F.lit(False)) | (F.col("a") == F.col("b"))).alias("known"),
+        )
     )
-    open_keys = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    rest = staged(placed.join(open_keys.select("key"), "key", "left_semi"), "rest")
-    one = rest.select("key", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
-    two = rest.select("key", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
-    open_pairs = (
+    rest = staged(placed, "placed")
+    open_keys = rest.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.bool_and("known").alias("all_known"))
+    open_keys = staged(open_keys.where("low < high and not all_known").select("key"), "open_keys")
+    rest = staged(rest.join(open_keys, "key", "left_semi"), "rest")
+    one = rest.where("not known").select("key", F.col("rep").alias("x"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
+    two = rest.select("key", F.col("rep").alias("y"), F.col("n").alias("n_b"), F.col("root").alias("root_b"), "known")
+    by_keys = (
         one.join(two, "key")
-        .where("a < b and root_a <> root_b")
+        .where("root_a <> root_b and (known or x < y)")
         .where(sizes_fit)
-        .groupBy("a", "b", "n_a", "n_b")
+        .groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.least("n_a", "n_b").alias("n_a"), F.greatest("n_a", "n_b").alias("n_b"))
         .agg(F.count("*").alias("n"))
         .where(F.col("n") >= shares)
         .select("a", "b")
-        .distinct()
     )
-    untested = staged(open_pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-    more = _links(untested, docs, shingle, percent)
+    pairs = by_keys.union(_by_differences(tested, roots, percent, sizes_fit)).distinct()
+    more = staged(_compared(pairs, docs, shingle, percent).where("linked").select("a", "b"), "links")
     roots = components(links.union(more), "a", "b")
 
     members = signed.join(classes, same, "left").select("doc_id", "n_shingles", "rep")
