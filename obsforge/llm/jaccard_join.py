@@ -267,8 +267,8 @@ def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Data
 
     alone = signed.where("size(keys) > 0").alias("s").join(classes.alias("c"), same).where("doc_id = rep")
     entries = alone.select("rep", "n_shingles", F.explode("keys").alias("key"))
-    counts = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    shared = staged(entries.join(counts, "key", "left_semi"), "entries")
+    counts = staged(entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "keys")
+    shared = staged(entries.join(counts, "key"), "entries")
 
     sizes_fit = F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
     # how many shingles of both heads two similar sets share at least, if one of them is heavy
@@ -276,9 +276,12 @@ def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Data
     spare = " ,".join(f"({both} - ceil({percent} * {n} / 100) + 1)" for n in ("n_a", "n_b"))
     shares = F.expr(f"CASE WHEN greatest(n_a, n_b) > {light} THEN least({spare}) ELSE 1 END")
 
-    # the first comparison: each with the smallest of its keys. A pair shares other keys as well, so half of the
-    # shared shingles will do here; what it misses is compared as a pair that shares keys.
-    pivots = staged(shared.groupBy("key").agg(F.min(F.struct("rep", "n_shingles")).alias("pivot")), "pivots")
+    # the first comparison: each with the set of its keys that has most in common with all others, such as the text
+    # that others are copies of. A pair shares other keys as well, so half of the shared shingles will do here; what
+    # it misses is compared as a pair that shares keys.
+    common = staged(shared.groupBy("rep").agg(F.sum("n").alias("common")), "common")
+    leader = F.max(F.struct("common", (-F.col("rep")).alias("minus"), "rep", "n_shingles")).alias("pivot")
+    pivots = staged(shared.join(common, "rep").groupBy("key").agg(leader), "pivots")
     met = shared.join(pivots, "key").select(
         "key", F.col("pivot.rep").alias("a"), F.col("rep").alias("b"), F.col("pivot.n_shingles").alias("n_a"), F.col("n_shingles").alias("n_b")
     )
