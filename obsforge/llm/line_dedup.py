@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsforge.llm.text import BLANKS, lower_ascii, packed
+from obsforge.session import staged
 
 WORD_BITS = 64
 
@@ -43,7 +44,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     64 * w + i and is 1 where the line stays. Words that are not listed keep all their lines.
     """
     spark = docs.sparkSession
-    lines = (
+    lines = staged(
         docs.select(
             F.col("doc_id").cast("long").alias("doc_id"),
             text_version(F.col("text")).alias("version"),
@@ -52,15 +53,18 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 10) -> DataFrame:
         .where("doc_id is not null")
         .withColumn("key", line_key(F.col("line")))
         .where(F.length("key") >= min_chars)
-        .select(F.unhex(F.md5("key")).alias("hash"), "doc_id", "position", "version")
+        .select(F.unhex(F.md5("key")).alias("hash"), "doc_id", "position", "version"),
+        "lines",
     )
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = lines.repartitionByRange(parts, "hash", "doc_id", "position").sortWithinPartitions("hash", "doc_id", "position")
-    repeated = (
+    # staged, so that both sides of the join below are shuffled for it and a hot hash can be split
+    repeated = staged(
         ranged.groupBy("hash")
         .agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
         .where("first_doc < last_doc")
-        .select("hash", "first_doc")
+        .select("hash", "first_doc"),
+        "repeated",
     )
     bit = bit_of(F.col("position"))
     return (
