@@ -107,7 +107,12 @@ class FieldValue:
 
     @cached_property
     def falsy(self) -> Column:
-        return self.missing | (self.is_number & (self.number == 0))
+        return self.missing | self.hollow | (self.is_number & (self.number == 0))
+
+    @property
+    def hollow(self) -> Column:
+        """An empty list or object."""
+        return F.lit(False)
 
     def as_float(self) -> Column:
         """The value as a double, NULL where it does not read as one."""
@@ -185,6 +190,9 @@ class PartsValue(FieldValue):
     is_number = cached_property(lambda self: self.type_name.isin(*_NUMBERS))
     is_date = cached_property(lambda self: self.type_name.isin("date", "datetime"))
     is_timestamp = cached_property(lambda self: self.type_name == "datetime")
+    hollow = cached_property(
+        lambda self: self.type_name.isin("list", "dict") & F.coalesce(self.scalar.isin("[]", "{}"), F.lit(False))
+    )
     shown = cached_property(lambda self: F.coalesce(self.scalar, F.lit("None")))
 
     def as_text(self) -> Column:

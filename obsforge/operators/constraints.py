@@ -133,10 +133,6 @@ def run_log_reason() -> Column:
     )
 
 
-def with_reason(df: DataFrame, reason: Column, name: str = "reason") -> DataFrame:
-    return df.withColumn(name, reason)
-
-
 def duplicates(df: DataFrame, *keys: str) -> DataFrame:
     """Keys held by more than one row; a NULL key repeats nothing."""
     known = df

@@ -77,15 +77,26 @@ DEFAULT_TRANSFORMS: Mapping[str, Transform] = {
 }
 
 
-def with_alias(aliases: Aliases, source: str, target: str) -> dict[str, tuple[str, ...]]:
+class OrderedAliases(dict):
+    """Aliases that remember in which order their sources were registered."""
+
+    def __init__(self, aliases: Aliases, order: Sequence[str]):
+        super().__init__(aliases)
+        self.order = tuple(order)
+
+
+def with_alias(aliases: Aliases, source: str, target: str) -> OrderedAliases:
     """``aliases`` plus one more source name, registered last.
 
-    A source feeds one target: an earlier registration elsewhere is dropped.
+    A source feeds one target: an earlier registration elsewhere is dropped, but
+    its place in the order of registration stays, and so its strength.
     """
+    order = getattr(aliases, "order", [name for names in aliases.values() for name in names])
+    if source not in order:
+        order = [*order, source]
     moved = {t: tuple(s for s in names if s != source) for t, names in aliases.items()}
-    keeps_place = source in aliases.get(target, ())
-    moved[target] = tuple(aliases[target]) if keeps_place else (*moved.get(target, ()), source)
-    return moved
+    moved[target] = tuple(sorted((*moved.get(target, ()), source), key=order.index))
+    return OrderedAliases(moved, order)
 
 
 class MappedRecord:

@@ -138,6 +138,12 @@ def until_first_invalid(validated: DataFrame, order_by: str) -> DataFrame:
     return validated.where(cut.isNull() | (F.col(order_by) <= cut))
 
 
+def early_summary(validated: DataFrame, order_by: str) -> DataFrame:
+    """Counts of a validation that stops at the first invalid record; the total is of all records."""
+    total = validated.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
+    return validation_summary(until_first_invalid(validated, order_by)).withColumn("total_records", total)
+
+
 def flag_not_in_table(
     df: DataFrame, field: str, allowed: DataFrame, flag: str = "allowed"
 ) -> DataFrame:
@@ -157,14 +163,15 @@ def flag_not_in_table(
 
 
 def check_schema(
-    df: DataFrame, as_of: Column | None = None, keep: tuple[str, ...] = ()
+    df: DataFrame, as_of: Column | None = None, keep: tuple[str, ...] = (), record: str | None = None
 ) -> DataFrame:
     """Typed check of state, county, date and value; other columns pass untouched.
 
-    ``date`` and ``value`` are read strictly; ``schema_error`` is NULL for a
-    record that fits.
+    ``state`` and ``county`` must be text, ``date`` and ``value`` are read
+    strictly; ``schema_error`` is NULL for a record that fits.
     """
-    bound = records_of(df, keep=keep).bind({"value": ["value"], "date": ["date"]})
+    names = ("value", "date", "state", "county")
+    bound = records_of(df, record, keep).bind({n: [n] for n in names})
     value, day = bound["value"], bound["date"]
     number = value.as_float()
     parsed = F.coalesce(day.date, parse_date(day.text))
@@ -177,5 +184,7 @@ def check_schema(
         .when(~value.none & non_negative(value).isNotNull(), F.lit("value: Value cannot be negative"))
         .when(~day.none & parsed.isNull(), F.lit("date: not a date"))
         .when(~day.none & future(day).isNotNull(), F.lit("date: Date cannot be in the future"))
+        .when(~bound["state"].none & ~bound["state"].is_text, F.lit("state: not a text"))
+        .when(~bound["county"].none & ~bound["county"].is_text, F.lit("county: not a text"))
         .alias("schema_error"),
     )

@@ -155,6 +155,21 @@ def test_basic_rules(spark):
     assert validation.valid_records(then, keep=("i",)).count() == 3
     assert [r.i for r in validation.invalid_records(then).orderBy("i").collect()] == [2, 3]
     assert validation.until_first_invalid(then, "i").count() == 3
+    early = validation.early_summary(then, "i").first()
+    assert (early.total_records, early.valid_records, early.invalid_records, early.records_with_warnings) == (5, 1, 1, 1)
+
+
+def test_schema_wants_texts_for_state_and_county(spark):
+    bodies = ['{"state": 6, "value": 1}', '{"county": ["x"]}', '{"state": "CA", "county": "Kings", "value": "2"}', '{"value": "x"}']
+    df = spark.createDataFrame(list(enumerate(bodies)), "i INT, body STRING").select("i", F.parse_json("body").alias("record"))
+    rows = validation.check_schema(df, keep=("i",), record="record").orderBy("i").collect()
+    assert [r.schema_error for r in rows] == ["state: not a text", "county: not a text", None, "value: not a number"]
+
+
+def test_empty_lists_and_objects_pass_the_presets(spark):
+    body = '{"state": {}, "date": [], "fips_code": []}'
+    df = spark.createDataFrame([(body,)], "body STRING").select(F.parse_json("body").alias("record"))
+    assert validation.validate(df, rules.basic_rules(), record="record").first().status == "valid"
 
 
 def test_rules_on_json_types(spark):

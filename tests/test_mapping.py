@@ -78,6 +78,18 @@ def test_custom_alias_and_transform(spark):
     assert row.value == 7.0
 
 
+def test_repointed_source_keeps_its_place(spark):
+    aliases = mapping.with_alias(mapping.DEFAULT_ALIASES, "county", "value")
+    rows = records(spark, ['{"county": "7", "value": 5}', '{"county": "7"}'])
+    assert [r.value for r in mapping.to_observation(rows, aliases=aliases, record="record").collect()] == [5.0, 7.0]
+
+
+def test_empty_lists_and_objects_are_absent(spark):
+    df = records(spark, ['{"measureid": [], "indicator_code": "X", "state": {}, "date": [], "value": 1}'])
+    row = mapping.to_observation(df, record="record").first()
+    assert row.indicator_code == "X" and row.period_start is None
+
+
 def test_renamed_target_joins_the_residual(spark):
     aliases = mapping.with_alias(mapping.DEFAULT_ALIASES, "src", "topic")
     row = mapping.to_observation(records(spark, ['{"src": "a", "b": 1}']), aliases=aliases, record="record").first()
