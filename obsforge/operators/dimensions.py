@@ -26,16 +26,24 @@ def new_id(table: DataFrame, first: Column) -> Column:
     return highest_id(table) + first + F.lit(1).cast("bigint")
 
 
+def _given(requests: DataFrame, **kinds: str) -> DataFrame:
+    """``requests`` with the optional columns it lacks, as NULL."""
+    absent = {n: F.lit(None).cast(kind) for n, kind in kinds.items() if n not in requests.columns}
+    return requests.withColumns(absent) if absent else requests
+
+
 def new_indicators(requests: DataFrame, existing: DataFrame, order_by: str, at: Column) -> DataFrame:
     """Indicator rows to add for codes not yet known.
 
-    ``requests`` holds code, name, unit and description per record. The first
-    record of a code supplies the rest; rows breaking a constraint add nothing.
+    ``requests`` holds code, name, unit and description per record, and category
+    and metadata (a JSON text) if it likes. The first record of a code supplies
+    the rest; rows breaking a constraint add nothing.
     Aggregated before the anti join, so a code held by most rows stays cheap.
     """
-    wanted = requests.where(F.col("code").isNotNull() & (F.col("code") != ""))
+    known = _given(requests, category="string", metadata="string")
+    wanted = known.where(F.col("code").isNotNull() & (F.col("code") != ""))
     first = wanted.groupBy("code").agg(
-        F.min_by(F.struct("name", "unit", "description"), F.col(order_by)).alias("_row"),
+        F.min_by(F.struct("name", "unit", "description", "category", "metadata"), F.col(order_by)).alias("_row"),
         F.min(order_by).alias("_first"),
     )
     fresh = first.select("code", "_first", "_row.*").withColumn(
@@ -48,9 +56,9 @@ def new_indicators(requests: DataFrame, existing: DataFrame, order_by: str, at:
         "name",
         "description",
         "unit",
-        F.lit(None).cast("string").alias("category"),
+        "category",
         F.lit("numeric").alias("data_type"),
-        F.lit(None).cast("string").alias("metadata"),
+        "metadata",
         at.alias("created_at"),
         at.alias("updated_at"),
     ).to(INDICATOR)
@@ -67,16 +75,22 @@ def pick_stratifier(age_group: Column, gender: Column, race: Column) -> tuple[Co
 def new_stratifiers(
     requests: DataFrame, existing: DataFrame, order_by: str, at: Column
 ) -> DataFrame:
-    """Stratifier rows to add; ``requests`` holds dimension and value per record."""
-    wanted = requests.where((F.col("dimension") != "") & (F.col("value") != ""))
-    first = wanted.groupBy("dimension", "value").agg(F.min(order_by).alias("_first"))
+    """Stratifier rows to add; ``requests`` holds dimension and value per record.
+
+    It may hold display_order, parent_id and metadata (a JSON text) as well; the
+    first record of a member supplies them.
+    """
+    known = _given(requests, display_order="int", parent_id="bigint", metadata="string")
+    wanted = known.where((F.col("dimension") != "") & (F.col("value") != ""))
+    rest = F.min_by(F.struct("display_order", "parent_id", "metadata"), F.col(order_by)).alias("_row")
+    first = wanted.groupBy("dimension", "value").agg(F.min(order_by).alias("_first"), rest)
     missing = first.join(existing.select("dimension", "value"), ["dimension", "value"], "left_anti")
     return missing.where(stratifier_reason().isNull()).select(
         new_id(existing, F.col("_first")).alias("id"),
         "dimension",
         "value",
-        F.lit(None).cast("int").alias("display_order"),
-        F.lit(None).cast("bigint").alias("parent_id"),
-        F.lit(None).cast("string").alias("metadata"),
+        "_row.display_order",
+        "_row.parent_id",
+        "_row.metadata",
         at.alias("created_at"),
     ).to(STRATIFIER)

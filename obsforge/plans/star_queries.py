@@ -86,8 +86,13 @@ def recent_runs(log: DataFrame, limit: int = 10) -> DataFrame:
 
 
 def _of_indicator(observation: DataFrame, indicator: DataFrame, code: str) -> DataFrame:
-    chosen = indicator.where(F.col("code") == code).select(F.col("id").alias("indicator_id"))
-    return observation.join(chosen, "indicator_id")
+    """Facts of one indicator, by its id as a scalar.
+
+    On a fact table with partition columns the id prunes the scan.
+    """
+    chosen = indicator.where(F.col("code") == code).agg(F.max("id").alias("id")).select("id").scalar()
+    facts = observation.where(F.col("indicator_id") == chosen)
+    return facts.where(F.col("part_indicator") == chosen) if "part_indicator" in observation.columns else facts
 
 
 def indicator_series(
@@ -106,9 +111,10 @@ def state_series(
     observation: DataFrame, indicator: DataFrame, geography: DataFrame, code: str, since: date
 ) -> DataFrame:
     """One indicator by state from ``since`` on."""
-    facts = _of_indicator(
-        observation.where(F.col("period_start") >= F.lit(since)), indicator, code
-    )
+    recent = observation.where(F.col("period_start") >= F.lit(since))
+    if "part_year" in observation.columns:
+        recent = recent.where(F.col("part_year") >= F.lit(since.year))
+    facts = _of_indicator(recent, indicator, code)
     return (
         _placed(facts, geography.where(F.col("level") == "state"))
         .orderBy("state_name", "period_start", "id")

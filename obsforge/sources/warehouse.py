@@ -10,11 +10,9 @@ from obsforge.schema import WAREHOUSE_TABLES
 from obsforge.session import staged
 
 # The fact table's layout: a load rewrites only the partitions it touches, and
-# queries on an indicator or a period skip the rest.
+# queries on an indicator or a period over ``observations()`` skip the rest.
 FACT_PARTITIONS = ("part_indicator", "part_year")
 
-_PRUNED_PARTITIONS = 2000
-
 
 def _partitioned(df: DataFrame) -> DataFrame:
     return df.withColumns(
@@ -28,7 +26,8 @@ class Warehouse:
     Dimensions only ever grow, so they are appended to. The fact table and the
     log change in place: the new content is staged in the shared folder first,
     so a lost executor or a failed job never reads what it is overwriting, and a
-    publication that broke off can be repeated from the staged copy.
+    publication that broke off can be repeated from the staged copy. One load at a
+    time may write; two at once could lose each other's log entries.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -73,16 +72,16 @@ class Warehouse:
     def touched_facts(self, batch: DataFrame) -> DataFrame:
         """Facts in the partitions that hold keys of ``batch``.
 
-        The semi join is exact. The partition values of the batch, of which
-        there are never more than partitions, also prune the scan beforehand;
-        a batch that touches very many is left to the join alone.
+        The semi join is exact. The range of the batch's indicators and years,
+        four numbers, prunes the scan beforehand, however many partitions there are.
         """
         touched = _partitioned(batch).select(*FACT_PARTITIONS).distinct()
+        edges = touched.agg(
+            *(f(c).alias(f"{f.__name__}_{c}") for c in FACT_PARTITIONS for f in (F.min, F.max))
+        ).first()
         facts = self.observations()
-        values = touched.limit(_PRUNED_PARTITIONS + 1).collect()
-        if len(values) <= _PRUNED_PARTITIONS:
-            for i, column in enumerate(FACT_PARTITIONS):
-                facts = facts.where(F.col(column).isin(sorted({v[i] for v in values})))
+        for column in FACT_PARTITIONS:
+            facts = facts.where(F.col(column).between(edges[f"min_{column}"], edges[f"max_{column}"]))
         near = facts.join(touched, list(FACT_PARTITIONS), "left_semi")
         return near.select(*WAREHOUSE_TABLES["observation"].names)
 
