@@ -98,7 +98,41 @@ def scan_pages(data: Data) -> DataFrame:
     f"SELECT row_number() OVER (ORDER BY event_id) - 1 AS record_index, event_id, event_type AS kind, {_K} FROM events",
 )
 def paged_scan(data: Data) -> DataFrame:
-    return _fields(pages.paged_scan(event_pages(data), PAGE), "record_index")
+    return _fields(pages.paged_scan(event_pages(data)), "record_index")
+
+
+@query(
+    "paged_scan_uneven",
+    f"SELECT row_number() OVER (ORDER BY event_id) - 1 AS record_index, event_id, event_type AS kind, {_K} FROM events",
+)
+def paged_scan_uneven(data: Data) -> DataFrame:
+    """Pages of one record, then of many more, with gaps in their numbers."""
+    records = pages.normalize_pages(event_pages(data)).select(F.to_json("record").alias("item"))
+    numbered = records.select("item", F.get_json_object("item", "$.event_id").cast("bigint").alias("event_id"))
+    paged = numbered.withColumn("page_no", 3 * F.floor(F.sqrt(F.col("event_id"))))
+    listed = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("event_id", "item"))), lambda r: r["item"]), ",")
+    body = F.concat(F.lit("["), listed, F.lit("]")).alias("body")
+    return _fields(pages.paged_scan(paged.groupBy("page_no").agg(body)), "record_index")
+
+
+@query(
+    "extract_numbers",
+    "SELECT row_number() OVER (ORDER BY event_id) - 1 AS record_index, event_id FROM events WHERE event_id % 4 = 1",
+)
+def extract_numbers(data: Data) -> DataFrame:
+    """Whole numbers past 2^53, and a list of numbers against a number, a decimal number and a text."""
+    item = F.expr(
+        "concat('{\"event_id\":', event_id, ',\"big\":', 9007199254740992 + event_id % 4, ',\"y\":',"
+        " CASE event_id % 3 WHEN 0 THEN '2023' WHEN 1 THEN '2023.0' ELSE '\"2023\"' END, '}')"
+    )
+    rows = data.events.select("event_id", F.expr(f"event_id DIV {PAGE}").alias("page_no"), item.alias("item"))
+    listed = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("event_id", "item"))), lambda r: r["item"]), ",")
+    root = scratch_path(data.spark, "landing")
+    body = F.concat(F.lit("["), listed, F.lit("]")).alias("body")
+    pages.land_pages(rows.groupBy("page_no").agg(body), pages.page_folder(root, "numbers", True))
+    wanted = {"big": 9007199254740993, "y": [2023, 1999]}
+    records, _ = pages.extract(data.spark, root, "numbers", "run-1", AT, filters=wanted, use_resource_endpoint=True)
+    return records.select("record_index", F.try_variant_get("record", "$.event_id", "bigint").alias("event_id"))
 
 
 _LINEAGE = (
@@ -112,20 +146,20 @@ _LINEAGE = (
     f"SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS record_index, {_LINEAGE} FROM events",
 )
 def lineage(data: Data) -> DataFrame:
-    numbered = pages.paged_scan(event_pages(data), PAGE)
+    numbered = pages.paged_scan(event_pages(data))
     found = pages.with_lineage(numbered, "events", "Event log", "run-1", AT)
     return found.select(F.try_variant_get("record", "$.event_id", "bigint").alias("event_id"), "_meta.*")
 
 
 @query(
     "extract",
-    f"SELECT event_id AS record_index, event_id, event_type AS kind, {_K}, (SELECT count(*) FROM events WHERE event_type IN ('click', 'view')) AS records_extracted, "
+    f"SELECT row_number() OVER (ORDER BY event_id) - 1 AS record_index, event_id, event_type AS kind, {_K}, (SELECT count(*) FROM events WHERE event_type IN ('click', 'view')) AS records_extracted, "
     "'success' AS status FROM events WHERE event_type IN ('click', 'view')",
 )
 def extract(data: Data) -> DataFrame:
     records, info = pages.extract(
         data.spark, _landed(data, resource=False), "events", "run-1", AT, "Event log",
-        filters={"kind": ["click", "view"]}, batch_size=PAGE,
+        filters={"kind": ["click", "view"]},
     )
     return _fields(records, "record_index").withColumns(
         {
@@ -182,7 +216,7 @@ def loaded(data: Data, **options) -> tuple[Warehouse, RunResult]:
         **options,
     }
     result = run_dataset(
-        warehouse, root, "orders", "Orders", use_resource_endpoint=True, batch_size=PAGE,
+        warehouse, root, "orders", "Orders", use_resource_endpoint=True,
         run_id="run-1", at=AT, **settings,
     )
     return warehouse, result
@@ -262,9 +296,13 @@ def stage_stats(data: Data) -> DataFrame:
 
 @query(
     "latest_after_load",
-    _end_to_end_sql(_VALID) + "SELECT 'ORDER_VALUE' AS code, 'Order value' AS name, max(period_start) AS period_start FROM facts",
+    _end_to_end_sql(_VALID) + "SELECT 'ORDER_VALUE' AS code, 'Order value' AS name, max(period_start) AS period_start, "
+    # several facts may share the latest day, so the value is checked to be one of theirs
+    "true AS value_known FROM facts",
 )
 def latest_after_load(data: Data) -> DataFrame:
     warehouse, _ = loaded(data)
     latest = star.latest_per_indicator(warehouse.table("observation"), warehouse.table("indicator"))
-    return latest.select("code", "name", "period_start")
+    facts = _facts(warehouse).select("period_start", "value").distinct().withColumn("value_known", F.lit(True))
+    known = latest.join(facts, ["period_start", "value"], "left")
+    return known.select("code", "name", "period_start", F.coalesce("value_known", F.lit(False)).alias("value_known"))

@@ -7,12 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from checks.sql import DIRTY, FLAGS, NUMBERS, RAGGED
-from obsforge.session import prepare, spread
+from obsforge.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores of a small check machine on an input of one row group."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 class Data:
     """The given tables below one folder, and the records made from them."""
 

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import Any
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 
 from obsforge.functions.rules import Rule, basic_rules
@@ -28,7 +29,7 @@ from obsforge.operators.validation import (
 from obsforge.plans.loading import load_batch
 from obsforge.schema import struct
 from obsforge.session import prepare, staged
-from obsforge.sources.pages import BATCH_SIZE, extract
+from obsforge.sources.pages import extract
 from obsforge.sources.warehouse import Warehouse
 
 POSITION = "record_index"
@@ -80,7 +81,6 @@ def run_dataset(
     rules: Sequence[Rule] | None = None,
     aliases: Aliases = DEFAULT_ALIASES,
     transforms: Mapping[str, Transform] = DEFAULT_TRANSFORMS,
-    batch_size: int = BATCH_SIZE,
     run_id: str | None = None,
     at: datetime | None = None,
     indicator_from: str = "argument",
@@ -108,13 +108,13 @@ def run_dataset(
     began = datetime.now(timezone.utc)
     records, info = extract(
         spark, landing, dataset_id, run_id, at, name, limit, filters,
-        use_resource_endpoint, batch_size,
+        use_resource_endpoint,
     )
     extracted = info.first()
     total = extracted["records_extracted"]
     stage("ingestion", extracted["status"], total, total, 0, 0, began)
     if extracted["status"] != "success":
-        return finish("failed", message="Extraction failed")
+        return finish("failed", message=f"Extraction failed: {extracted['error']}")
     if not total:
         return finish("completed", message="No records to process")
 
@@ -151,10 +151,14 @@ def run_dataset(
         return finish("failed", message="Transformation produced no records", **frames)
 
     began = datetime.now(timezone.utc)
-    loaded = load_batch(
-        warehouse, observations, POSITION, name, run_id, at,
-        indicator_code, indicator_name, indicator_from,
-    ).first()
+    try:
+        loaded = load_batch(
+            warehouse, observations, POSITION, name, run_id, at,
+            indicator_code, indicator_name, indicator_from,
+        ).first()
+    except PySparkException as error:
+        stage("loading", "failed", transformed, 0, transformed, 0, began)
+        return finish("failed", message=str(error), **frames)
     inserted = loaded["records_inserted"]
     stage(
         "loading", loaded["status"], loaded["records_processed"], inserted,

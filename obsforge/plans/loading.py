@@ -56,16 +56,38 @@ def load_batch(
     """Resolve, check and upsert a batch; returns its one-row outcome.
 
     ``order_by`` names a unique, non-negative position of each observation:
-    later rows overwrite earlier ones. Members created for rows that fail later
-    stay. An indicator code the warehouse cannot hold fails the whole run.
+    later rows overwrite earlier ones. An observation without a geography level
+    is of a state. Members created for rows that fail later stay. An indicator
+    code the warehouse cannot hold fails the whole run; an error ends it as
+    ``failed`` in the log before it is raised. Observations are read several
+    times, so what is costly to make should be staged before.
     """
     spark = warehouse.spark
-    now = F.lit(at)
-    batch = staged(observations, "batch")
+    level = F.coalesce(F.nullif(F.col("geography_level"), F.lit("")), F.lit("state"))
+    batch = observations.withColumn("geography_level", level)
     if batch.isEmpty():
         return spark.createDataFrame([("completed", 0, 0, 0, None, None)], _OUTCOME)
     start_run(warehouse, run_id, data_source, at)
+    try:
+        return _load(warehouse, batch, order_by, run_id, at, indicator_code, indicator_name, indicator_from)
+    except Exception as error:
+        failed = spark.createDataFrame([("failed", 0, 0, 0, str(error)[:4000], None)], _OUTCOME)
+        complete_run(warehouse, run_id, failed, at)
+        raise
+
 
+def _load(
+    warehouse: Warehouse,
+    batch: DataFrame,
+    order_by: str,
+    run_id: str,
+    at: datetime,
+    indicator_code: str | None,
+    indicator_name: str | None,
+    indicator_from: str,
+) -> DataFrame:
+    spark = warehouse.spark
+    now = F.lit(at)
     unusable = indicator_code and (
         len(indicator_code) > 100 or not re.search(INDICATOR_CODE.replace(r"\z", r"\Z"), indicator_code)
     )

@@ -62,12 +62,3 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input that arrives in fewer partitions than there are.
-
-    A file of one row group is one task, however costly its rows are. Inputs
-    with enough partitions, and so all large ones, pass through unshuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

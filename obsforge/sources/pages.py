@@ -1,28 +1,33 @@
 """Records from landed JSON response pages.
 
-One file is one response page. The reader understands the response shapes of
-both endpoints, keeps every record as a VARIANT, and numbers records over the
-whole extraction without sorting them.
+Pages lie packed in parquet, many to a file, or as one file each. The reader
+understands the response shapes of both endpoints, keeps every record as a
+VARIANT, reads every landed page, and numbers the records that pass the filter
+without sorting them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
+from functools import reduce
 from typing import Any
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from obsforge.functions.pyvalue import INTEGER_TEXT, FieldValue
 from obsforge.operators.records import LINEAGE, RaggedRecords
-from obsforge.schema import DATASET_METADATA
+from obsforge.schema import DATASET_METADATA, struct
 from obsforge.session import staged
 
-BATCH_SIZE = 5000
 # Fixed value: the origin written into every lineage struct.
 SOURCE = "cdc_open_data_api"
 
+# subfolder of packed pages
+_PACKED = "packed"
 # pages per block of the two-level running sum
 _BLOCK = 4096
 
@@ -34,19 +39,30 @@ def page_folder(root: str, dataset_id: str, use_resource_endpoint: bool = False)
 
 
 def land_pages(pages: DataFrame, folder: str) -> None:
-    """Write (page_no, body) rows as one JSON file per page."""
-    one_line = pages.select("page_no", F.translate("body", "\r\n", "  ").alias("value"))
-    one_line.repartition("page_no").write.partitionBy("page_no").text(folder)
+    """Write (page_no, body) rows packed, many pages to a file."""
+    pages.select(F.col("page_no").cast("bigint").alias("page_no"), "body").write.parquet(f"{folder}/{_PACKED}")
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether any file system that Spark knows has ``path``."""
+    jvm = spark.sparkContext._jvm
+    found = jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)
 
 
 def read_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """(page_no, body) of every landed page; the number stands in the path.
+    """(page_no, body) of every landed page.
 
-    Files are packed into input splits, so many small pages share a task.
+    Packed pages are read as they are. Otherwise every file below the folder is
+    a page, with its number at the end of its name or of its folder's; files are
+    packed into input splits, so many small pages share a task. The number of a
+    file without one is NULL.
     """
+    if path_exists(spark, f"{folder}/{_PACKED}"):
+        return spark.read.schema("page_no BIGINT, body STRING").parquet(f"{folder}/{_PACKED}")
     files = spark.read.option("recursiveFileLookup", "true").text(folder, wholetext=True)
-    number = F.regexp_extract(F.col("_metadata.file_path"), r"page(?:_no=|-)(\d+)", 1)
-    return files.select(number.cast("bigint").alias("page_no"), F.col("value").alias("body"))
+    number = F.regexp_extract(F.col("_metadata.file_path"), r"page(?:_no=|-)(\d+)(?:\.[^/]*|/[^/]*)?$", 1)
+    return files.select(number.try_cast("bigint").alias("page_no"), F.col("value").alias("body"))
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
@@ -75,19 +91,19 @@ def parse_pages(pages: DataFrame) -> DataFrame:
     ).withColumn("n", F.greatest(F.col("n"), F.lit(0)).cast("bigint"))
 
 
-def page_records(parsed: DataFrame) -> DataFrame:
-    """(page_no, shape, n, pos, record) for every element, in one pass.
+def page_records(parsed: DataFrame, *keep: str) -> DataFrame:
+    """(page_no, shape, n, pos, record) and columns to keep for every element, in one pass.
 
     Unwrapped elements without ``row`` are empty records. A page without
     records keeps one line with a NULL position, so that it can be counted.
     """
-    exploded = parsed.select("page_no", "shape", "n", F.posexplode_outer("items").alias("pos", "item"))
+    exploded = parsed.select(*keep, "page_no", "shape", "n", F.posexplode_outer("items").alias("pos", "item"))
     inner = F.coalesce(
         F.try_variant_get("item", "$.row", "variant"), F.parse_json(F.lit("{}"))
     )
     record = F.when(F.col("shape") == "rows", inner).otherwise(F.col("item"))
     return exploded.select(
-        "page_no", "shape", "n", F.col("pos").cast("bigint").alias("pos"), record.alias("record")
+        *keep, "page_no", "shape", "n", F.col("pos").cast("bigint").alias("pos"), record.alias("record")
     )
 
 
@@ -97,83 +113,106 @@ def normalize_pages(pages: DataFrame) -> DataFrame:
     return records.select("page_no", "pos", "record")
 
 
-def _page_counts(opened: DataFrame) -> DataFrame:
-    """One row per page, picked from its first line without a shuffle."""
-    return opened.where(F.coalesce("pos", F.lit(0)) == 0).select("page_no", "shape", "n")
-
-
 def page_offsets(counts: DataFrame) -> DataFrame:
-    """Records before each page: running sums over one row per page.
+    """(page, offset): kept records before each page, from (page, page_no, n).
 
-    Taken in two levels, within blocks of pages and over the blocks, so that no
-    task sees all pages.
+    Pages are in the order of their number, repeated ones in the order they
+    were read. Running sums are taken in two levels, within blocks of pages and
+    over the blocks, so that no task sees all pages.
     """
     blocked = counts.withColumn("block", F.floor(F.col("page_no") / _BLOCK))
     sums = blocked.groupBy("block").agg(F.sum("n").alias("block_n"))
     before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select("block", F.coalesce(F.sum("block_n").over(before), F.lit(0)).alias("start"))
     within = (
-        Window.partitionBy("block").orderBy("page_no").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("block").orderBy("page_no", "page").rowsBetween(Window.unboundedPreceding, -1)
     )
     inside = blocked.withColumn("inside", F.coalesce(F.sum("n").over(within), F.lit(0)))
-    return inside.join(starts, "block").select(
-        "page_no", (F.col("start") + F.col("inside")).alias("offset")
-    )
+    return inside.join(starts, "block").select("page", (F.col("start") + F.col("inside")).alias("offset"))
+
+
+@dataclass(frozen=True)
+class PageReport:
+    """What the landed pages are like; nothing of it changes what is read."""
+
+    pages: int
+    missing: int
+    repeated: int
+    short: int
+    broken: int
+
+    def error(self) -> str | None:
+        return f"{self.broken} of {self.pages} pages are broken" if self.broken else None
 
 
 @dataclass(frozen=True)
 class Scan:
-    """Records of the fetched pages, and whether any of them was broken."""
+    """Kept records of all pages, numbered from 0, how many they are, and a report on the pages."""
 
     records: DataFrame
-    broken: bool
+    kept: int
+    report: PageReport
 
+    @property
+    def broken(self) -> bool:
+        return self.report.broken > 0
 
-def scan_dataset(pages: DataFrame, batch_size: int = BATCH_SIZE) -> Scan:
-    """All records a sequential reader would have fetched, numbered from 0.
 
-    Reading ends with the first page that holds fewer than ``batch_size``
-    records. The pages are parsed once into a staged table; everything else
-    reads narrow columns of it. Full pages without gaps, the normal case, give
-    the numbers by arithmetic; other layouts join the running page offsets.
+def scan_dataset(pages: DataFrame, filters: Mapping[str, Any] | None = None) -> Scan:
+    """All records of all landed pages that pass the filters, numbered in page order from 0.
+
+    Pages are parsed and filtered once into a staged table. One narrow
+    aggregate over it has a row for each page: how many records it keeps,
+    whether it is broken (no number, no JSON, or an element that is no object),
+    and whether it is shorter than the longest without being the last. Missing,
+    repeated and short pages are reported; repeated ones are read again.
     """
-    opened = staged(page_records(parse_pages(pages)), "page-records")
-    counts = _page_counts(opened)
-    last = counts.where(F.col("n") < batch_size).agg(F.min("page_no")).first()[0]
-    fetched, kept = (
-        (opened, counts)
-        if last is None
-        else (opened.where(F.col("page_no") <= last), counts.where(F.col("page_no") <= last))
-    )
+    numbered = parse_pages(pages).withColumn("page", F.monotonically_increasing_id())
+    lines = page_records(numbered, "page")
     whole = F.schema_of_variant("record").startswith("OBJECT")
-    broken = not fetched.where(
-        (F.col("shape") == "malformed") | (F.col("pos").isNotNull() & ~whole)
-    ).isEmpty()
-    layout = kept.agg(
-        F.min("page_no").alias("first"),
-        F.max("page_no").alias("last"),
+    wanted = record_filter(filters, lines)
+    hit = F.col("pos").isNotNull() if wanted is None else F.col("pos").isNotNull() & F.coalesce(wanted, F.lit(False))
+    bad = F.col("page_no").isNull() | (F.col("shape") == "malformed") | (F.col("pos").isNotNull() & ~whole)
+    marked = lines.withColumns({"hit": hit, "bad": F.coalesce(bad, F.lit(False))})
+    first = F.coalesce("pos", F.lit(0)) == 0
+    opened = staged(marked.where(F.col("hit") | F.col("bad") | first), "page-records")
+
+    by_page = staged(
+        opened.groupBy("page").agg(
+            F.first("page_no").alias("page_no"),
+            F.count_if("hit").alias("n"),
+            F.first("n").alias("size"),
+            F.bool_or("bad").alias("bad"),
+        ),
+        "pages",
+    )
+    facts = by_page.agg(
         F.count(F.lit(1)).alias("pages"),
-        F.count_if(F.col("n") != batch_size).alias("odd"),
-        F.max_by(F.col("n") != batch_size, "page_no").cast("int").alias("odd_end"),
+        F.coalesce(F.max("page_no") - F.min("page_no") + 1, F.lit(0)).alias("span"),
+        F.count_distinct("page_no").alias("numbers"),
+        F.count("page_no").alias("with_number"),
+        F.coalesce(F.max("size"), F.lit(0)).alias("longest"),
+        F.max("page_no").alias("last"),
+        F.count_if("bad").alias("broken"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("kept"),
     ).first()
-    lines = fetched.where(F.col("pos").isNotNull())
-    regular = (
-        layout["pages"] > 0
-        and layout["last"] - layout["first"] + 1 == layout["pages"]
-        and layout["odd"] == layout["odd_end"]
+    short = by_page.where((F.col("size") < facts["longest"]) & (F.col("page_no") != facts["last"])).count()
+    report = PageReport(
+        facts["pages"], facts["span"] - facts["numbers"], facts["with_number"] - facts["numbers"], short, facts["broken"]
     )
-    if regular:
-        start = (F.col("page_no") - F.lit(layout["first"])) * F.lit(batch_size)
-        numbered = lines.withColumn("offset", start)
+    kept = opened.where("hit").join(page_offsets(by_page.select("page", "page_no", "n")), "page")
+    if wanted is None:
+        place = F.col("pos")
     else:
-        numbered = lines.join(page_offsets(kept), "page_no")
-    index = (F.col("offset") + F.col("pos")).cast("bigint")
-    return Scan(numbered.select(index.alias("record_index"), "record"), broken)
+        # a page is one response, so its records are few
+        place = F.row_number().over(Window.partitionBy("page").orderBy("pos")) - 1
+    index = (F.col("offset") + place).cast("bigint")
+    return Scan(kept.select(index.alias("record_index"), "record"), facts["kept"], report)
 
 
-def paged_scan(pages: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
+def paged_scan(pages: DataFrame) -> DataFrame:
     """(record_index, record) of a whole dataset, numbered from 0 in page order."""
-    return scan_dataset(pages, batch_size).records
+    return scan_dataset(pages).records
 
 
 def scan(
@@ -223,24 +262,52 @@ def with_lineage(
     return records.withColumn(LINEAGE, lineage)
 
 
+def _equals(value: FieldValue, wanted: Any) -> Column | None:
+    """Whether a field is equal to a plain value; None for values of other types.
+
+    Numbers compare as numbers, also with texts that read as one; whole numbers exactly.
+    """
+    if isinstance(wanted, str):
+        return value.as_text() == wanted
+    if not isinstance(wanted, (bool, int, float)):
+        return None
+    near = value.as_float() == float(wanted)
+    if isinstance(wanted, float):
+        return near
+    digits = F.replace(value.stripped, F.lit("_"), F.lit(""))
+    exact = digits.try_cast("decimal(38,0)") == F.lit(int(wanted)).cast("decimal(38,0)")
+    return near & F.when(value.stripped.rlike(INTEGER_TEXT), exact).otherwise(F.lit(True))
+
+
 def record_filter(filters: Mapping[str, Any] | None, records: DataFrame) -> Column | None:
-    """The filter of plain values on the fields of VARIANT records."""
+    """The filter of plain values on the fields of VARIANT records.
+
+    A list asks for any of its elements, an empty one for the empty text.
+    """
     fields = RaggedRecords(records, "record")
     total: Column | None = None
     for name, wanted in (filters or {}).items():
         value = fields.value(name)
-        if isinstance(wanted, (bool, int, float)):
-            test = value.as_float() == float(wanted)
-        elif isinstance(wanted, str):
-            test = value.as_text() == wanted
-        elif isinstance(wanted, list):
-            test = value.as_text().isin([str(w) for w in wanted] or [""])
-        else:
-            continue
-        total = test if total is None else total & test
+        tests = [_equals(value, w) for w in ((wanted or [""]) if isinstance(wanted, list) else [wanted])]
+        tests = [t for t in tests if t is not None]
+        if tests:
+            test = reduce(Column.__or__, tests)
+            total = test if total is None else total & test
     return total
 
 
+def metadata_path(root: str, dataset_id: str) -> str:
+    """Where the metadata document of a dataset is landed."""
+    return f"{root.rstrip('/')}/metadata/{dataset_id}.json"
+
+
+_INFO = struct(
+    "run_id STRING, dataset_id STRING, dataset_name STRING, records_extracted BIGINT, status STRING, "
+    "error STRING, extraction_start TIMESTAMP, extraction_end TIMESTAMP, extraction_duration_seconds DOUBLE, "
+    "pages BIGINT, pages_missing BIGINT, pages_repeated BIGINT, pages_short BIGINT, metadata STRING"
+)
+
+
 def extract(
     spark: SparkSession,
     root: str,
@@ -251,29 +318,33 @@ def extract(
     limit: int | None = None,
     filters: Mapping[str, Any] | None = None,
     use_resource_endpoint: bool = False,
-    batch_size: int = BATCH_SIZE,
 ) -> tuple[DataFrame, DataFrame]:
     """Records with lineage, and one row of information about the extraction.
 
-    A fetched page that is not JSON, or an element that is not an object, fails
-    the extraction as a whole: status ``failed`` and no records.
+    The filters apply first; what passes is numbered densely from 0, and a
+    limit keeps the lowest numbers. Whatever goes wrong, such as a page that is
+    not JSON, an element that is not an object, or a folder that is not there,
+    fails the extraction as a whole: status ``failed``, the error, no records.
     """
     name = dataset_name or dataset_id
-    pages = read_pages(spark, page_folder(root, dataset_id, use_resource_endpoint))
-    fetched = scan_dataset(pages, batch_size)
-    records = fetched.records
-    found = scan(
-        records.where(F.lit(not fetched.broken)),
-        record_filter(filters, records),
-        [F.col("record_index")] if limit else None,
-        limit,
-    )
-    enriched = with_lineage(found, dataset_id, name, run_id, ingested_at)
-    info = enriched.agg(F.count(F.lit(1)).alias("records_extracted")).select(
-        F.lit(run_id).alias("run_id"),
-        F.lit(dataset_id).alias("dataset_id"),
-        F.lit(name).alias("dataset_name"),
-        "records_extracted",
-        F.lit("failed" if fetched.broken else "success").alias("status"),
-    )
-    return enriched, info
+    start = datetime.now(timezone.utc).replace(tzinfo=None)
+    records, kept, error, report, metadata = None, 0, None, PageReport(0, 0, 0, 0, 0), None
+    try:
+        described = metadata_path(root, dataset_id)
+        if path_exists(spark, described):
+            metadata = spark.read.text(described, wholetext=True).first()[0]
+        found = scan_dataset(read_pages(spark, page_folder(root, dataset_id, use_resource_endpoint)), filters)
+        report, error = found.report, found.report.error()
+        if error is None:
+            records = found.records.where(F.col("record_index") < limit) if limit else found.records
+            kept = min(found.kept, limit) if limit else found.kept
+    except PySparkException as failure:
+        error = str(failure)
+    if records is None:
+        records = spark.range(0).select(F.col("id").alias("record_index"), F.parse_json(F.lit("{}")).alias("record"))
+    end = datetime.now(timezone.utc).replace(tzinfo=None)
+    info = (
+        run_id, dataset_id, name, kept, "success" if error is None else "failed", error, start, end,
+        (end - start).total_seconds(), report.pages, report.missing, report.repeated, report.short, metadata,
+    )
+    return with_lineage(records, dataset_id, name, run_id, ingested_at), spark.createDataFrame([info], _INFO)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obsforge.operators.facts import dedupe_batch, upsert_observations
+from obsforge.plans import star_queries
 from obsforge.plans.end_to_end import run_dataset
 from obsforge.plans.loading import load_batch, start_run
 from obsforge.schema import CANONICAL
@@ -101,11 +102,41 @@ def test_untouched_partitions_stay(spark, warehouse):
     assert warehouse.table("observation").select("id").distinct().count() == 3
     touched = warehouse.touched_facts(warehouse.table("observation").where(F.year("period_start") == 2020))
     plan = touched._jdf.queryExecution().executedPlan().toString()
-    # the scan itself is limited to the partitions of the batch
-    assert re.search(r"PartitionFilters: \[[^]]*part_indicator#\d+L = \d+", plan)
+    # the scan itself is limited to the range of the batch
+    assert re.search(r"PartitionFilters: \[[^]]*part_indicator#\d+L >= \d+", plan)
     assert touched.count() == 1
 
 
+def test_star_queries_prune_partitions(spark, warehouse):
+    load(warehouse, BATCH)
+    load(warehouse, [row("CA", date(2020, 5, 5), 5.0)], "r2", LATER, code="OTHER")
+    facts, indicator, geography = (warehouse.observations(), warehouse.table("indicator"), warehouse.table("geography"))
+    for found, n in (
+        (star_queries.indicator_series(facts, indicator, geography, "OTHER"), 1),
+        (star_queries.state_series(facts, indicator, geography, "TEST_INDICATOR", date(2023, 1, 16)), 1),
+        (star_queries.count_for_indicator(facts, indicator, "TEST_INDICATOR"), 1),
+    ):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PartitionFilters: \[isnotnull\([^]]*part_indicator#", plan)
+        assert found.count() == n
+    assert star_queries.indicator_series(facts, indicator, geography, "NONE").count() == 0
+    assert star_queries.count_for_indicator(facts, indicator, "TEST_INDICATOR").first().n == 2
+
+
+def test_missing_level_is_a_state(spark, warehouse):
+    done = load(warehouse, [{**BATCH[0], "geography_level": None}, {**BATCH[1], "geography_level": ""}])
+    assert done.records_inserted == 2
+    assert {(r.level, r.state) for r in warehouse.table("geography").collect()} == {("state", "CA"), ("state", "NY")}
+
+
+def test_error_ends_the_run_as_failed(spark, warehouse):
+    broken = observations(spark, BATCH).withColumn("state", F.raise_error(F.lit("no state")).cast("string"))
+    with pytest.raises(Exception, match="no state"):
+        load_batch(warehouse, broken, "idx", "Test Dataset", "r1", AT, "TEST_INDICATOR")
+    run = warehouse.table("ingestion_log").first()
+    assert run.status == "failed" and "no state" in run.error_message
+
+
 def test_without_indicator_and_with_a_bad_one(spark, warehouse):
     nothing = load(warehouse, BATCH, code=None)
     assert (nothing.status, nothing.records_failed) == ("failed", 2)
@@ -141,10 +172,11 @@ def page_frame(spark, bodies):
     return spark.createDataFrame(list(enumerate(bodies)), "page_no BIGINT, body STRING")
 
 
-def scanned(spark, bodies, size):
-    found = pages.scan_dataset(page_frame(spark, bodies), size)
+def scanned(spark, bodies, filters=None):
+    found = pages.scan_dataset(page_frame(spark, bodies), filters)
     rows = found.records.select("record_index", F.to_json("record").alias("r")).orderBy("record_index").collect()
-    return [(r.record_index, r.r) for r in rows], found.broken
+    assert found.kept == len(rows)
+    return [(r.record_index, r.r) for r in rows], found.report
 
 
 def test_page_shapes(spark):
@@ -157,17 +189,43 @@ def test_page_shapes(spark):
     ]
 
 
-def test_paging_stops_at_the_first_short_page(spark):
+def test_every_landed_page_is_read(spark):
     full, short = '[{"a":1},{"a":2}]', '[{"a":3}]'
-    rows, broken = scanned(spark, [full, full, short, full, "broken"], 2)
-    assert [i for i, _ in rows] == [0, 1, 2, 3, 4] and not broken
-    rows, _ = scanned(spark, [full, "[]", full], 2)
-    assert [i for i, _ in rows] == [0, 1]
-    # pages longer than asked for are numbered by running offsets
-    rows, _ = scanned(spark, [full, '[{"a":5},{"a":6},{"a":7}]', full, short], 2)
-    assert [i for i, _ in rows] == list(range(8)) and rows[2][1] == '{"a":5}' and rows[7][1] == '{"a":3}'
-    assert scanned(spark, [full, "broken"], 2)[1] and scanned(spark, ['[{"a":1},2]'], 2)[1]
-    assert scanned(spark, ["[]"], 2) == ([], False)
+    rows, report = scanned(spark, [full, short, full, "[]", '[{"a":5},{"a":6},{"a":7}]', short])
+    assert [i for i, _ in rows] == list(range(9)) and rows[2][1] == '{"a":3}' and rows[5][1] == '{"a":5}'
+    assert (report.pages, report.missing, report.repeated, report.short, report.broken) == (6, 0, 0, 4, 0)
+    assert scanned(spark, [full, "broken"])[1].broken == 1 and scanned(spark, ['[{"a":1},2]'])[1].broken == 1
+    assert scanned(spark, ["[]"])[0] == []
+    assert scanned(spark, [full, full], {"a": 2})[0] == [(0, '{"a":2}'), (1, '{"a":2}')]
+
+
+def test_repeated_and_missing_pages_are_reported(spark):
+    twice = spark.createDataFrame([(1, '[{"a":1},{"a":2}]'), (4, '[{"a":3}]'), (1, '[{"a":1},{"a":2}]')], "page_no BIGINT, body STRING")
+    found = pages.scan_dataset(twice)
+    assert (found.report.missing, found.report.repeated, found.kept) == (2, 1, 5)
+    assert sorted(r.record_index for r in found.records.collect()) == list(range(5))
+
+
+def test_filters_compare_numbers_as_numbers(spark):
+    body = ['[{"y":2023},{"y":2023.0},{"y":"2023"},{"y":9007199254740993},{"y":9007199254740992},{"y":[]},{}]']
+    kept = lambda f: [r for _, r in scanned(spark, body, f)[0]]
+    assert len(kept({"y": 2023})) == len(kept({"y": [2023]})) == len(kept({"y": [2023, "x"]})) == 3
+    assert kept({"y": 9007199254740993}) == ['{"y":9007199254740993}']
+    assert kept({"y": "2023"}) == ['{"y":2023}', '{"y":"2023"}']
+
+
+def test_loose_files_and_broken_landings(spark, tmp_path):
+    folder = tmp_path / "views" / "d1"
+    folder.mkdir(parents=True)
+    (folder / "page-1.json").write_text('[{"a":2}]')
+    (folder / "page-0.json").write_text('[{"a":1}]')
+    records, info = pages.extract(spark, str(tmp_path), "d1", "r", AT)
+    assert sorted(r.record_index for r in records.collect()) == [0, 1] and info.first().status == "success"
+    (folder / "odd.json").write_text('[{"a":3}]')
+    records, info = pages.extract(spark, str(tmp_path), "d1", "r", AT)
+    assert records.count() == 0 and info.first().status == "failed" and "1 of 3 pages" in info.first().error
+    records, info = pages.extract(spark, str(tmp_path), "nowhere", "r", AT)
+    assert records.count() == 0 and info.first().status == "failed" and info.first().error
 
 
 def landed(spark, bodies):
