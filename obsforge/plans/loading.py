@@ -22,7 +22,7 @@ from obsforge.operators.facts import (
 from obsforge.operators.geography import geography_lookup, new_geographies, requests_of
 from obsforge.operators.runlog import complete_runs, run_outcome, start_runs
 from obsforge.schema import struct
-from obsforge.session import staged
+from obsforge.session import released, staged
 from obsforge.sources.warehouse import Warehouse
 
 _START = struct("run_id STRING, data_source STRING, started_at TIMESTAMP, position BIGINT")
@@ -34,12 +34,14 @@ _OUTCOME = struct(
 
 def start_run(warehouse: Warehouse, run_id: str, data_source: str, at: datetime) -> None:
     start = warehouse.spark.createDataFrame([(run_id, data_source, at, 0)], _START)
-    warehouse.replace_log(start_runs(warehouse.table("ingestion_log"), start))
+    with released(warehouse.spark):
+        warehouse.replace_log(start_runs(warehouse.table("ingestion_log"), start))
 
 
 def complete_run(warehouse: Warehouse, run_id: str, outcome: DataFrame, at: datetime) -> None:
     done = outcome.withColumns({"run_id": F.lit(run_id), "completed_at": F.lit(at)})
-    warehouse.replace_log(complete_runs(warehouse.table("ingestion_log"), done))
+    with released(warehouse.spark):
+        warehouse.replace_log(complete_runs(warehouse.table("ingestion_log"), done))
 
 
 def load_batch(
@@ -59,7 +61,7 @@ def load_batch(
     later rows overwrite earlier ones. An observation without a geography level
     is of a state. Members created for rows that fail later stay. An indicator
     code the warehouse cannot hold fails the whole run; an error ends it as
-    ``failed`` in the log before it is raised. Observations are read several
+    ``failed`` in the log before it is raised. What the load stages goes when it ends. Observations are read several
     times, so what is costly to make should be staged before.
     """
     spark = warehouse.spark
@@ -69,7 +71,9 @@ def load_batch(
         return spark.createDataFrame([("completed", 0, 0, 0, None, None)], _OUTCOME)
     start_run(warehouse, run_id, data_source, at)
     try:
-        return _load(warehouse, batch, order_by, run_id, at, indicator_code, indicator_name, indicator_from)
+        with released(spark):
+            outcome = _load(warehouse, batch, order_by, run_id, at, indicator_code, indicator_name, indicator_from)
+            return spark.createDataFrame([tuple(outcome.select(*_OUTCOME.names).first())], _OUTCOME)
     except Exception as error:
         failed = spark.createDataFrame([("failed", 0, 0, 0, str(error)[:4000], None)], _OUTCOME)
         complete_run(warehouse, run_id, failed, at)

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,6 +54,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_open: ContextVar[list[str] | None] = ContextVar("staged paths", default=None)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet to the shared folder and read it back.
 
@@ -59,6 +65,23 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    paths = _open.get()
+    if paths is not None:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged inside the block when it ends; nothing may read it after that."""
+    before, own = _open.get(), []
+    _open.set(own)
+    try:
+        yield
+    finally:
+        _open.set(before)
+        jvm, settings = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in own:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(settings).delete(folder, True)

@@ -3,6 +3,7 @@
 import re
 from datetime import date, datetime
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from obsforge.plans import star_queries
 from obsforge.plans.end_to_end import run_dataset
 from obsforge.plans.loading import load_batch, start_run
 from obsforge.schema import CANONICAL
-from obsforge.session import scratch_path
+from obsforge.session import scratch_path, scratch_root
 from obsforge.sources import pages
 from obsforge.sources.warehouse import Warehouse
 
@@ -129,6 +130,13 @@ def test_missing_level_is_a_state(spark, warehouse):
     assert {(r.level, r.state) for r in warehouse.table("geography").collect()} == {("state", "CA"), ("state", "NY")}
 
 
+def test_load_leaves_nothing_staged(spark, warehouse):
+    root = Path(scratch_root(spark))
+    before = set(root.iterdir())
+    assert load(warehouse, BATCH).records_inserted == 2
+    assert set(root.iterdir()) == before
+
+
 def test_error_ends_the_run_as_failed(spark, warehouse):
     broken = observations(spark, BATCH).withColumn("state", F.raise_error(F.lit("no state")).cast("string"))
     with pytest.raises(Exception, match="no state"):
