@@ -61,14 +61,12 @@ def clean_state_code(value: FieldValue | Column, strict: bool = False) -> Column
     return blank_to_null(F.regexp_extract(upper, rf"\A({code})", 1))
 
 
-# Behind two zeros, 1 or 2 digits end in a code of 2, and 3 to 5 digits in one of 5.
-_PADDED_FIPS = r"\A(?:0{1,2}(?=\d{2}\z)|0{0,2}(?=\d{5}\z))(\d+)\z"
-
-
 def clean_fips_code(value: FieldValue | Column) -> Column:
     """Digits only, padded to 2 (state) or 5 (county); more than 5 gives NULL."""
     digits = F.regexp_replace(_value(value).stripped, "[^0-9]", "")
-    return blank_to_null(F.regexp_extract(F.concat(F.lit("00"), digits), _PADDED_FIPS, 1))
+    size = F.length(digits)
+    state = F.when(size.between(1, 2), F.lpad(digits, 2, "0"))
+    return state.when(size.between(3, 5), F.lpad(digits, 5, "0"))
 
 
 def title_case(text: Column) -> Column:

@@ -23,6 +23,7 @@ STATE_CODES = (
 )
 
 
+# The texts of all messages below are those that users of the rules expect.
 def _message(*parts: str | Column) -> Column:
     return F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
 

@@ -33,6 +33,7 @@ from obsforge.sources.pages import extract
 from obsforge.sources.warehouse import Warehouse
 
 POSITION = "record_index"
+# Stage names, statuses and the messages of a run below are part of its result.
 _STAGES = struct(
     "position INT, stage STRING, status STRING, records_in BIGINT, records_out BIGINT, "
     "records_failed BIGINT, records_with_warnings BIGINT, duration_seconds DOUBLE, run_id STRING"

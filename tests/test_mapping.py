@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from obsforge.functions.predicates import filter_condition
 from obsforge.operators import mapping
 
+# Known inputs with known results.
 RAGGED = [
     '{"state":"CA","county":"Los Angeles","date":"2023-01-15","value":100.5,"fips_code":"06037"}',
     '{"state":"NY","date":"2023-02-01","cases":250,"fips":"36001"}',
