@@ -153,7 +153,9 @@ def mix(docs: DataFrame, members: Column, seed: int = 0, weights: tuple[int, ...
     before = Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = buckets.select("pattern", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("base"))
     inside = Window.partitionBy("pattern", "bucket").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    copies = f"size(filter(sequence(0, {MAX_COPIES - 1}), k -> 2 * (k * words_of_pattern + start) + size >= 2 * c.low and 2 * (k * words_of_pattern + start) + size < 2 * c.high))"
+    # twice the middle of the document in its k-th copy, against twice the ends of a stretch
+    middle = "2 * (k * words_of_pattern + start) + size"
+    turns = f"filter(sequence(0, {MAX_COPIES - 1}), k -> {middle} >= 2 * c.low and {middle} < 2 * c.high)"
     return (
         sized.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
         .join(bases.join(routes, "pattern"), ["pattern", "bucket"])
@@ -162,7 +164,7 @@ def mix(docs: DataFrame, members: Column, seed: int = 0, weights: tuple[int, ...
             "routes",
             F.expr(
                 "transform(cuts, c -> named_struct('source', c.source, 'source_size', c.size, 'target', c.target,"
-                f" 'copies', {copies}))"
+                f" 'copies', size({turns})))"
             ),
         )
         .withColumn("taken", F.expr("size * aggregate(routes, 0, (n, r) -> n + r.copies)").cast("long"))
