@@ -34,14 +34,14 @@ _OUTCOME = struct(
 
 def start_run(warehouse: Warehouse, run_id: str, data_source: str, at: datetime) -> None:
     start = warehouse.spark.createDataFrame([(run_id, data_source, at, 0)], _START)
-    with released(warehouse.spark):
-        warehouse.replace_log(start_runs(warehouse.table("ingestion_log"), start))
+    log = start_runs(warehouse.table("ingestion_log"), start)
+    warehouse.append_log(log.where(F.col("run_id") == run_id))
 
 
 def complete_run(warehouse: Warehouse, run_id: str, outcome: DataFrame, at: datetime) -> None:
     done = outcome.withColumns({"run_id": F.lit(run_id), "completed_at": F.lit(at)})
-    with released(warehouse.spark):
-        warehouse.replace_log(complete_runs(warehouse.table("ingestion_log"), done))
+    log = complete_runs(warehouse.table("ingestion_log"), done)
+    warehouse.append_log(log.where(F.col("run_id") == run_id))
 
 
 def load_batch(

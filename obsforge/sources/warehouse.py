@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +15,14 @@ from obsforge.session import staged
 # queries on an indicator or a period over ``observations()`` skip the rest.
 FACT_PARTITIONS = ("part_indicator", "part_year")
 
+# orders the states of a run in the log
+_VERSION = "version"
+
+
+def _with_version(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(_VERSION, T.LongType())])
+
+
 
 def _partitioned(df: DataFrame) -> DataFrame:
     return df.withColumns(
@@ -23,11 +33,12 @@ def _partitioned(df: DataFrame) -> DataFrame:
 class Warehouse:
     """Reads and writes the tables below one folder.
 
-    Dimensions only ever grow, so they are appended to. The fact table and the
-    log change in place: the new content is staged in the shared folder first,
-    so a lost executor or a failed job never reads what it is overwriting, and a
-    publication that broke off can be repeated from the staged copy. One load at a
-    time may write; two at once could lose each other's log entries.
+    Dimensions only ever grow, and the log has a row for each state of a run, so
+    they are appended to. The fact table changes in place: the new content is
+    staged in the shared folder first, so a lost executor or a failed job never
+    reads what it is overwriting, and a publication that broke off can be
+    repeated from the staged copy. One load at a time may write: two at once
+    could give ids twice and lose each other's facts.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -40,7 +51,7 @@ class Warehouse:
     def create(self) -> Warehouse:
         """Write the empty tables that do not exist yet."""
         for table, schema in WAREHOUSE_TABLES.items():
-            empty = self.spark.createDataFrame([], schema)
+            empty = self.spark.createDataFrame([], _with_version(schema) if table == "ingestion_log" else schema)
             if table == "observation":
                 writer = _partitioned(empty).write.partitionBy(*FACT_PARTITIONS)
             else:
@@ -52,6 +63,8 @@ class Warehouse:
         schema = WAREHOUSE_TABLES[table]
         if table == "observation":
             return self.observations().select(*schema.names)
+        if table == "ingestion_log":
+            return self._log()
         return self.spark.read.schema(schema).parquet(self.path(table))
 
     def observations(self) -> DataFrame:
@@ -102,8 +115,15 @@ class Warehouse:
             .parquet(self.path("observation"))
         )
 
-    def replace_log(self, log: DataFrame) -> None:
-        staged(log, "ingestion_log").write.mode("overwrite").parquet(self.path("ingestion_log"))
+    def append_log(self, rows: DataFrame) -> None:
+        """Add new states of runs; the last one of a run is what the log shows."""
+        rows.withColumn(_VERSION, F.lit(time.time_ns())).write.mode("append").parquet(self.path("ingestion_log"))
+
+    def _log(self) -> DataFrame:
+        schema = WAREHOUSE_TABLES["ingestion_log"]
+        states = self.spark.read.schema(_with_version(schema)).parquet(self.path("ingestion_log"))
+        last = states.groupBy("run_id").agg(F.max_by(F.struct(*schema.names), F.col(_VERSION)).alias("row"))
+        return last.select("row.*").select(*schema.names)
 
     def register(self) -> None:
         """Temporary views of all tables, for SQL."""
