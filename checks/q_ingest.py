@@ -13,6 +13,8 @@ from obsforge.functions.rules import Rule, basic_rules, in_list, numeric
 from obsforge.operators.mapping import DEFAULT_ALIASES, with_alias
 from obsforge.plans import star_queries as star
 from obsforge.plans.end_to_end import RunResult, run_dataset
+from obsforge.plans.loading import load_batch
+from obsforge.schema import CANONICAL
 from obsforge.session import scratch_path
 from obsforge.sources import pages
 from obsforge.sources.warehouse import Warehouse
@@ -306,3 +308,46 @@ def latest_after_load(data: Data) -> DataFrame:
     facts = _facts(warehouse).select("period_start", "value").distinct().withColumn("value_known", F.lit(True))
     known = latest.join(facts, ["period_start", "value"], "left")
     return known.select("code", "name", "period_start", F.coalesce("value_known", F.lit(False)).alias("value_known"))
+
+
+# Places of all levels, of none and of one that cannot be loaded; every third order has no county.
+_LEVELS = (
+    "SELECT o_orderkey AS k, CASE o_orderkey % 6 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'state' WHEN 3 THEN 'county' "
+    "WHEN 4 THEN 'nation' ELSE 'metro' END AS geography_level, "
+    "CASE WHEN o_orderkey % 6 = 4 THEN NULL ELSE substring('ALAKAZARCACOCTDEFLGA', CAST(2 * (o_custkey % 10) + 1 AS INT), 2) END AS state, "
+    "CASE WHEN o_orderkey % 6 = 3 AND o_custkey % 3 > 0 THEN concat('County ', CAST(o_custkey % 7 AS STRING)) ELSE NULL END AS county, "
+    "CAST(o_orderdate AS DATE) AS day, o_totalprice AS price FROM orders"
+)
+
+
+@query(
+    "load_levels",
+    f"WITH l AS ({_LEVELS}), n AS (SELECT count(*) AS total, count(*) FILTER (geography_level = 'metro') AS metro FROM l) "
+    "SELECT 'partial' AS status, total AS records_processed, total - metro AS records_inserted, metro AS records_failed, "
+    "(SELECT count(*) FROM (SELECT DISTINCT state FROM l WHERE coalesce(nullif(geography_level, ''), 'state') = 'state') s) AS states, "
+    "(SELECT count(*) FROM (SELECT DISTINCT state, county FROM l WHERE geography_level = 'county' AND county IS NOT NULL) c) AS counties, "
+    "(SELECT CAST(sign(count(*)) AS BIGINT) FROM l WHERE geography_level = 'nation') AS nations, metro AS named FROM n",
+)
+def load_levels(data: Data) -> DataFrame:
+    rows = data._sql(_LEVELS.replace("FROM orders", "FROM {orders}"), "orders")
+    given = {"geography_level": "geography_level", "state": "state", "county": "county", "period_start": "day", "period_end": "day"}
+    columns = [F.col(given[f.name]).cast(f.dataType).alias(f.name) if f.name in given
+               else F.col("price").cast("double").alias("value") if f.name == "value"
+               else F.lit("Orders").alias(f.name) if f.name == "data_source"
+               else F.lit(None).cast(f.dataType).alias(f.name) for f in CANONICAL.fields]
+    observations = rows.select("k", *columns)
+    warehouse = Warehouse(data.spark, scratch_path(data.spark, "warehouse")).create()
+    done = load_batch(warehouse, observations, "k", "Orders", "run-1", AT, "ORDER_VALUE")
+    level = F.col("level")
+    places = warehouse.table("geography").agg(
+        F.count_if(level == "state").alias("states"),
+        F.count_if((level == "county") & F.col("county").isNotNull()).alias("counties"),
+        F.count_if(level == "nation").alias("nations"),
+    )
+    named = F.regexp_count(F.col("error_message"), F.lit("level metro with this place cannot be loaded"))
+    return done.select(
+        "status", "records_processed", "records_inserted", "records_failed",
+        *(places.select(c).scalar().alias(c) for c in ("states", "counties", "nations")),
+        # the message tells of the first ten
+        F.when(named == F.least(F.lit(10), "records_failed"), F.col("records_failed")).otherwise(named).alias("named"),
+    )

@@ -49,7 +49,8 @@ def requests_of(observations: DataFrame, order_by: str) -> DataFrame:
     )
 
 
-def _well_formed(level: str = "level") -> Column:
+def well_formed(level: str = "level") -> Column:
+    """Whether a request is one that can be placed or inserted."""
     at = F.col(level)
     short = F.col("fips_code").isNull() | (F.length("fips_code") == 2)
     return F.coalesce(
@@ -69,7 +70,7 @@ def _known_members(existing: DataFrame) -> DataFrame:
 
 def _candidates(requests: DataFrame) -> DataFrame:
     """Distinct insertable requests with their first record."""
-    insertable = requests.where(_well_formed() & geography_reason().isNull())
+    insertable = requests.where(well_formed() & geography_reason().isNull())
     return insertable.groupBy(*_KEY).agg(
         F.min("idx").alias("born"), F.min_by("state_name", "idx").alias("state_name")
     )
@@ -171,7 +172,7 @@ def request_key(level_name: str = "level") -> Column:
     level, state = F.col(level_name), F.col("state")
     county, code = F.col("county"), F.col("fips_code")
     return F.when(
-        _well_formed(level_name),
+        well_formed(level_name),
         F.when(level == "nation", _lookup_key("nation"))
         .when(code.isNotNull(), _lookup_key("code", code))
         .when(level == "state", _lookup_key("state", state))
