@@ -12,13 +12,14 @@ corpus. Of two sets that are similar enough, a short head of each shares at leas
 The size that parts them is the one with the least cost: the number of subsets of all light sets against the list
 entries of all heavy sets, each weighed with ``LIST_COST``.
 
-Sets that share enough keys are candidates. A key that many sets share doesn't become all their pairs: first all are
+Sets that share enough keys are candidates. A key that several sets share doesn't become all their pairs: first all are
 compared with one pivot per key, then links join into components, and only sets of different components are compared
-further; a pair inside a component is linked already, so no component is lost. Sets that were compared with the same
-pivot, such as hundreds of edited copies of one text, are matched on what they differ in from it: A and B differ in
-exactly those shingles in which their differences from the pivot differ. These are small sets, with what was added
-first and what was removed after it, and similar sets must share an early shingle of them. All other pairs are those
-that share enough keys. Intersections are exact.
+further; a pair inside a component is linked already, so no component is lost. A key of more than ``MANY`` sets has a
+pivot for each range of sizes, with which all sets that may match one of that range are compared. Sets that were compared
+with the same pivot, such as hundreds of edited copies of one text, are matched on what they differ in from it: A and B
+differ in exactly those shingles in which their differences from the pivot differ. These are small sets, what was added
+before what was removed, rare ones first, and similar sets must share an early shingle of them. All other pairs are
+those that share enough keys. Intersections are exact.
 
 Defined cases: without words a document has size 0 and links with nothing; with fewer words than a shingle needs,
 all its words are its one shingle. A null ``doc_id`` links with nothing. Rows that share a ``doc_id`` but not a text
@@ -46,6 +47,8 @@ BINS = 1 << BIN_BITS
 LIST_COST = 4
 #: Sets above this size have so many subsets that no boundary above it is the cheapest.
 MOST_LIGHT = 512
+#: Pairs of sets are only enumerated for keys of at most this many.
+MANY = 32
 #: Documents a task holds at once.
 BATCH_ROWS = 512
 
@@ -106,22 +109,28 @@ def boundary(sizes: np.ndarray, percent: int) -> int:
     return at
 
 
-def signatures(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, int]:
-    """doc_id, n_shingles, two hashes of the whole set, and the set's keys; and the size of the largest light sets.
+def word_costs(bins: np.ndarray, shingle: int) -> np.ndarray:
+    """The frequency of the words of each bin on a logarithmic scale of whole numbers, so that sums are exact."""
+    bits = np.log2(bins + 1.0)
+    return np.round(bits * (65535 // shingle) / max(float(bits.max()), 1.0)).astype(np.uint16)
+
+
+def expected_frequency(words: np.ndarray, costs: np.ndarray, shingle: int) -> np.ndarray:
+    """For each shingle of the words, how frequent it may be; the same wherever the shingle stands."""
+    run = min(shingle, len(words))
+    total = np.concatenate(([0], np.cumsum(costs[_bins(words)], dtype=np.int64)))
+    return (total[run:] - total[: len(total) - run]).astype(np.uint64)
+
+
+def signatures(docs: DataFrame, shingle: int, percent: int, light: int, costs: np.ndarray) -> DataFrame:
+    """doc_id, n_shingles, two hashes of the whole set, and the set's keys.
 
     A set of one shingle is similar to an equal set only and has no keys.
     """
-    bins, sizes = corpus_statistics(docs, shingle)
-    light = boundary(sizes, percent)
-    # whole numbers, so that a shingle has the same rank wherever it stands
-    bits = np.log2(bins + 1.0)
-    bits = np.round(bits * (65535 // shingle) / max(float(bits.max()), 1.0)).astype(np.int64)
 
     def ranked(words: np.ndarray, shingles: np.ndarray) -> np.ndarray:
         """Distinct shingles in the order of the corpus: expected frequency, then hash."""
-        run = min(shingle, len(words))
-        total = np.concatenate(([0], np.cumsum(bits[_bins(words)])))
-        rank = (total[run:] - total[:-run]).astype(np.uint64)
+        rank = expected_frequency(words, costs, shingle)
         return np.unique((rank << np.uint64(48)) | (shingles & _LOW48))
 
     def keys(row: np.ndarray) -> np.ndarray:
@@ -155,14 +164,14 @@ def signatures(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame,
             )
 
     schema = "doc_id long, n_shingles long, hash_a long, hash_b long, keys array<long>"
-    return staged(_texts(docs).mapInArrow(sign, schema), "signatures"), light
+    return staged(_texts(docs).mapInArrow(sign, schema), "signatures")
 
 
-def _compared(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _compared(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int, costs: np.ndarray) -> DataFrame:
     """The pairs (a, b) with ``linked``, whether their whole texts are similar enough, and how b differs from a.
 
     ``d`` is the number of shingles that one of them lacks. Of these, ``index`` and ``probe`` are the first in the
-    order of a's group: those that a lacks, then those that b lacks. a is the side that occurs often.
+    order of a's group: those that a lacks, then those that b lacks, rare ones first. a is the side that occurs often.
     """
     pairs = staged(pairs, "pairs")
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
@@ -170,21 +179,30 @@ def _compared(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
 
+    def sets(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for words in word_hashes(texts):
+            shingles, first = np.unique(shingle_hashes(words, shingle), return_index=True)
+            yield shingles, expected_frequency(words, costs, shingle)[first] if len(words) else first
+
+    def lacking(some: tuple[np.ndarray, np.ndarray], other: np.ndarray) -> np.ndarray:
+        """What is in some and not in the other, rare ones first."""
+        alone = ~np.isin(some[0], other, assume_unique=True)
+        hashes, rank = some[0][alone], some[1][alone]
+        return hashes[np.lexsort((hashes, rank))]
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, own = None, None
         for batch in batches:
             rows = []
-            others = [np.unique(shingle_hashes(w, shingle)) for w in word_hashes(texts_of(batch, "text_b"))]
-            for text, other in zip(texts_of(batch, "text_a"), others, strict=True):
+            for text, other in zip(texts_of(batch, "text_a"), sets(texts_of(batch, "text_b")), strict=True):
                 if text != last:
-                    own, last = np.unique(shingle_hashes(word_hashes([text])[0], shingle)), text
-                both = len(np.intersect1d(own, other, assume_unique=True))
-                union = len(own) + len(other) - both
-                differ = np.concatenate(
-                    (np.setdiff1d(other, own, assume_unique=True), np.setdiff1d(own, other, assume_unique=True))
-                ).view(np.int64)
-                most = most_apart(len(other), percent)
-                rows.append((100 * both >= percent * union, union - both, len(other), differ[: most // 2 + 1], differ[: most + 1]))
+                    own, last = next(sets([text])), text
+                added, removed = lacking(other, own[0]), lacking(own, other[0])
+                both = len(other[0]) - len(added)
+                union = len(own[0]) + len(added)
+                differ = np.concatenate((added, removed)).view(np.int64)
+                most = most_apart(len(other[0]), percent)
+                rows.append((100 * both >= percent * union, len(differ), len(other[0]), differ[: most // 2 + 1], differ[: most + 1]))
             linked, d, n, index, probe = zip(*rows, strict=True) if rows else ([],) * 5
             yield pa.RecordBatch.from_arrays(
                 [
@@ -235,15 +253,15 @@ def _by_differences(tested: DataFrame, roots: DataFrame, percent: int, sizes_fit
     index = F.concat("index", F.when(F.col("d") <= _CLOSE, here).otherwise(close))
     barely = ~F.col("linked") & (F.col("d") <= F.expr(f"(100 - {percent}) * n div {percent}"))
     probe = F.concat("probe", F.when(barely, here).otherwise(close))
-    one = members.select(
-        "pivot", F.explode(index).alias("token"), F.col("x").alias("a"), F.col("n").alias("n_a"), F.col("d").alias("d_a"), F.col("root").alias("root_a")
-    )
-    two = members.select(
-        "pivot", F.explode(probe).alias("token"), F.col("x").alias("b"), F.col("n").alias("n_b"), F.col("d").alias("d_b"), F.col("root").alias("root_b")
-    )
+    sides = [
+        members.withColumn("token", F.explode(tokens)).selectExpr(
+            "pivot", "token", f"x AS {side}", f"n AS n_{side}", f"d AS d_{side}", f"root AS root_{side}"
+        )
+        for side, tokens in (("a", index), ("b", probe))
+    ]
     # null is the key of close pairs
     keyed = [
-        df.withColumns({"close": F.col("token").isNull(), "token": F.coalesce("token", F.lit(0).cast("bigint"))}) for df in (one, two)
+        df.withColumns({"close": F.col("token").isNull(), "token": F.coalesce("token", F.lit(0).cast("bigint"))}) for df in sides
     ]
     return (
         keyed[0]
@@ -255,77 +273,86 @@ def _by_differences(tested: DataFrame, roots: DataFrame, percent: int, sizes_fit
     )
 
 
+def size_ranges(percent: int) -> list[int]:
+    """First sizes of ranges such that a set can only match sets of its own range and the two beside it."""
+    firsts = [1]
+    while firsts[-1] < 1 << 40:
+        firsts.append(100 * firsts[-1] // percent + 1)
+    return firsts
+
+
 def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles and component_id, the smallest doc_id that links of at least ``percent`` reach."""
-    if not 50 < percent <= 100:
-        raise ValueError("percent must be over 50 and at most 100")
+    if not 50 < percent < 100:
+        raise ValueError("percent must be over 50 and under 100")
     small_batches(docs.sparkSession)
-    signed, light = signatures(docs, shingle, percent)
+    bins, sizes = corpus_statistics(docs, shingle)
+    light, costs = boundary(sizes, percent), word_costs(bins, shingle)
+    signed = signatures(docs, shingle, percent, light, costs)
     same = ["n_shingles", "hash_a", "hash_b"]
     classes = signed.where("n_shingles > 0 and doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("rep"))
     classes = staged(classes, "classes")
 
-    alone = signed.where("size(keys) > 0").alias("s").join(classes.alias("c"), same).where("doc_id = rep")
-    entries = alone.select("rep", "n_shingles", F.explode("keys").alias("key"))
-    counts = staged(entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "keys")
+    alone = signed.where("size(keys) > 0").join(classes, same).where("doc_id = rep")
+    entries = alone.select("rep", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
+    counts = staged(entries.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1"), "keys")
     shared = staged(entries.join(counts, "key"), "entries")
+    # of each set, how much it has in common with all others: much, if others are copies of it
+    common = staged(shared.groupBy("rep").agg(F.sum("sets").alias("common")), "common")
+    shared = staged(shared.join(common, "rep"), "entries")
+    leader = "max(struct({} AS home, common, -rep AS minus, rep, n)) AS pivot"
 
     sizes_fit = F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
     # how many shingles of both heads two similar sets share at least, if one of them is heavy
     both = f"ceil({percent} * (n_a + n_b) / {100 + percent})"
-    spare = " ,".join(f"({both} - ceil({percent} * {n} / 100) + 1)" for n in ("n_a", "n_b"))
+    spare = ", ".join(f"{both} - ceil({percent} * {n} / 100) + 1" for n in ("n_a", "n_b"))
     shares = F.expr(f"CASE WHEN greatest(n_a, n_b) > {light} THEN least({spare}) ELSE 1 END")
 
-    # the first comparison: each with the set of its keys that has most in common with all others, such as the text
-    # that others are copies of. A pair shares other keys as well, so half of the shared shingles will do here; what
-    # it misses is compared as a pair that shares keys.
-    common = staged(shared.groupBy("rep").agg(F.sum("n").alias("common")), "common")
-    leader = F.max(F.struct("common", (-F.col("rep")).alias("minus"), "rep", "n_shingles")).alias("pivot")
-    pivots = staged(shared.join(common, "rep").groupBy("key").agg(leader), "pivots")
-    met = shared.join(pivots, "key").select(
-        "key", F.col("pivot.rep").alias("a"), F.col("rep").alias("b"), F.col("pivot.n_shingles").alias("n_a"), F.col("n_shingles").alias("n_b")
-    )
-    close = (
-        met.where("a <> b")
-        .where(sizes_fit)
-        .groupBy("a", "b", "n_a", "n_b")
-        .agg(F.count("*").alias("n"))
-        .where(2 * F.col("n") >= shares)
-    )
-    tested = staged(_compared(close.select("a", "b").distinct(), docs, shingle, percent), "tested")
+    # keys of few sets: each with the leading one. A pair shares other keys as well, so half of the shared shingles
+    # will do here; what it misses is compared as a pair that shares keys.
+    few = shared.where(F.col("sets") <= MANY)
+    pivots = staged(few.groupBy("key").agg(F.expr(leader.format("true"))), "pivots")
+    met = few.join(pivots, "key").selectExpr("key", "pivot.rep AS a", "rep AS b", "pivot.n AS n_a", "n AS n_b")
+    close = met.where("a <> b").where(sizes_fit).groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("n"))
+    pairs = close.where(2 * F.col("n") >= shares).select("a", "b")
+
+    # keys of many: each with the leading one of its range of sizes and of the range above it
+    firsts = ", ".join(f"{n}L" for n in size_ranges(percent))
+    ranges = f"size(filter(array({firsts}), first -> first <= n))"
+    many = shared.where(F.col("sets") > MANY).withColumn("own", F.expr(ranges))
+    many = many.select("*", F.explode(F.expr("array(own, own + 1)")).alias("range"))
+    pivots = staged(many.groupBy("key", "range").agg(F.expr(leader.format("own = range"))).where("pivot.home"), "pivots")
+    ranged = many.join(pivots, ["key", "range"]).selectExpr("pivot.rep AS a", "rep AS b").where("a <> b")
+
+    tested = staged(_compared(pairs.union(ranged).distinct(), docs, shingle, percent, costs), "tested")
     links = tested.where("linked").select("a", "b")
     roots = components(links, "a", "b")
 
-    # the second: sets of different components, by their differences from a common pivot, or else by their keys
-    with_pivot = staged(tested.select("a", "b").distinct(), "with_pivot").withColumn("known", F.lit(True))
+    # sets of different components that share a key of few and weren't both compared with its pivot
+    with_pivot = staged(tested.select("a", "b"), "with_pivot").withColumn("known", F.lit(True))
     placed = (
         met.join(with_pivot, ["a", "b"], "left")
         .join(roots, met.b == roots.node, "left")
-        .select(
-            "key",
-            F.col("b").alias("rep"),
-            F.col("n_b").alias("n"),
-            F.coalesce("root", "b").alias("root"),
-            (F.coalesce("known", F.lit(False)) | (F.col("a") == F.col("b"))).alias("known"),
-        )
+        .selectExpr("key", "b AS rep", "n_b AS n", "coalesce(root, b) AS root", "coalesce(known, false) or a = b AS known")
     )
     rest = staged(placed, "placed")
-    open_keys = rest.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.bool_and("known").alias("all_known"))
-    open_keys = staged(open_keys.where("low < high and not all_known").select("key"), "open_keys")
+    open_keys = rest.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.bool_and("known").alias("done"))
+    open_keys = staged(open_keys.where("low < high and not done").select("key"), "open_keys")
     rest = staged(rest.join(open_keys, "key", "left_semi"), "rest")
-    one = rest.where("not known").select("key", F.col("rep").alias("x"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
-    two = rest.select("key", F.col("rep").alias("y"), F.col("n").alias("n_b"), F.col("root").alias("root_b"), "known")
+    one = rest.where("not known").selectExpr("key", "rep AS x", "n AS n_a", "root AS root_a")
+    two = rest.selectExpr("key", "rep AS y", "n AS n_b", "root AS root_b", "known")
     by_keys = (
         one.join(two, "key")
         .where("root_a <> root_b and (known or x < y)")
         .where(sizes_fit)
-        .groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.least("n_a", "n_b").alias("n_a"), F.greatest("n_a", "n_b").alias("n_b"))
+        .selectExpr("least(x, y) AS a", "greatest(x, y) AS b", "least(n_a, n_b) AS n_a", "greatest(n_a, n_b) AS n_b")
+        .groupBy("a", "b", "n_a", "n_b")
         .agg(F.count("*").alias("n"))
         .where(F.col("n") >= shares)
         .select("a", "b")
     )
     pairs = by_keys.union(_by_differences(tested, roots, percent, sizes_fit)).distinct()
-    more = staged(_compared(pairs, docs, shingle, percent).where("linked").select("a", "b"), "links")
+    more = staged(_compared(pairs, docs, shingle, percent, costs).where("linked").select("a", "b"), "links")
     roots = components(links.union(more), "a", "b")
 
     members = signed.join(classes, same, "left").select("doc_id", "n_shingles", "rep")

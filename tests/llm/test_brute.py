@@ -9,12 +9,12 @@ from itertools import product
 import numpy as np
 import pytest
 
-from obsforge.llm import embedding_dedup, substring_dedup
+from obsforge.llm import embedding_dedup, jaccard_join, substring_dedup
 from obsforge.llm.components import components
 from obsforge.llm.decontaminate import candidates, contaminated, simhash
 from obsforge.llm.embedding_dedup import near_groups
 from obsforge.llm.hashing import shingle_hashes, word_hashes
-from obsforge.llm.jaccard_join import boundary, head_length, similar_groups
+from obsforge.llm.jaccard_join import boundary, head_length, similar_groups, size_ranges
 from obsforge.llm.learning import fit_logistic
 from obsforge.llm.mixing import MAX_COPIES, route, targets
 from obsforge.llm.quality import score_quality
@@ -76,8 +76,9 @@ def linked(rows, size, percent):
         root = after
 
 
-@pytest.mark.parametrize(("size", "percent"), [(3, 90), (5, 80), (2, 60)])
-def test_similar_groups_of_edited_copies(edited, size, percent):
+@pytest.mark.parametrize(("size", "percent", "many"), [(3, 90, 32), (5, 80, 2), (2, 60, 2), (3, 70, 1000)])
+def test_similar_groups_of_edited_copies(edited, monkeypatch, size, percent, many):
+    monkeypatch.setattr(jaccard_join, "MANY", many)
     docs, rows = edited
     want, sets = linked(rows, size, percent)
     got = {r.doc_id: r for r in similar_groups(docs, size, percent).collect()}
@@ -97,6 +98,13 @@ def test_heads_share_shingles():
                 assert len(heads[0] & heads[1]) >= min(k, len(a & b))
 
 
+def test_sets_match_in_their_range_and_beside():
+    for percent in (51, 80, 90, 99):
+        firsts = size_ranges(percent)
+        place = lambda n: sum(f <= n for f in firsts)
+        assert all(place(100 * n // percent) - place(n) <= 1 for n in range(1, 3000))
+
+
 def test_boundary_weighs_subsets_against_entries():
     small, large = np.zeros(514, dtype=np.int64), np.zeros(514, dtype=np.int64)
     small[20], large[400] = 1000, 1000
