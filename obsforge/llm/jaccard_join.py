@@ -48,7 +48,7 @@ LIST_COST = 4
 #: Sets above this size have so many subsets that no boundary above it is the cheapest.
 MOST_LIGHT = 512
 #: Pairs of sets are only enumerated for keys of at most this many.
-MANY = 32
+MANY = 256
 #: Documents a task holds at once.
 BATCH_ROWS = 512
 
@@ -308,7 +308,7 @@ def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Data
     spare = ", ".join(f"{both} - ceil({percent} * {n} / 100) + 1" for n in ("n_a", "n_b"))
     shares = F.expr(f"CASE WHEN greatest(n_a, n_b) > {light} THEN least({spare}) ELSE 1 END")
 
-    # keys of few sets: each with the leading one. A pair shares other keys as well, so half of the shared shingles
+    # keys of fewer sets: each with the leading one. A pair shares other keys as well, so half of the shared shingles
     # will do here; what it misses is compared as a pair that shares keys.
     few = shared.where(F.col("sets") <= MANY)
     pivots = staged(few.groupBy("key").agg(F.expr(leader.format("true"))), "pivots")
