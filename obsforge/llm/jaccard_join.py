@@ -6,8 +6,10 @@ corpus. Of two sets that are similar enough, a short head of each shares at leas
 
 * Light sets are small: every subset of k = 2 shingles of the head is a key.
 * Heavy sets are large: every shingle of the head (k = 1) is an inverted list, which light sets join as far as
-  their size may match that of a heavy one. Lists are scanned by counting, for each pair, the lists it shares: the
-  head of a large set must share many.
+  their size may match that of a heavy one. Heads are a few shingles longer than they need be, and each set leaves
+  as many of its lists, the longest. Of all lists that two similar sets share the shortest is left to both, so
+  lists of chance, of shingles that turn out frequent, go. Lists are scanned by counting, for each pair, the lists it
+  shares: the head of a large set must share many.
 
 The size that parts them is the one with the least cost: the number of subsets of all light sets against the list
 entries of all heavy sets, each weighed with ``LIST_COST``.
@@ -33,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from obsforge.llm.components import components
@@ -47,6 +49,8 @@ BINS = 1 << BIN_BITS
 LIST_COST = 4
 #: Sets above this size have so many subsets that no boundary above it is the cheapest.
 MOST_LIGHT = 512
+#: Most lists that a set leaves, and shingles for each.
+MOST_LEFT, PER_LEFT = 8, 8
 #: Pairs of sets are only enumerated for keys of at most this many.
 MANY = 256
 #: Documents a task holds at once.
@@ -64,6 +68,11 @@ def head_length(size: int, percent: int, k: int) -> int:
     return size - -(-percent * size // 100) + k
 
 
+def lists_left(size: str) -> str:
+    """SQL: how many of its lists a set of this size leaves."""
+    return f"least({MOST_LEFT}, {size} div {PER_LEFT})"
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
 
@@ -123,7 +132,7 @@ def expected_frequency(words: np.ndarray, costs: np.ndarray, shingle: int) -> np
 
 
 def signatures(docs: DataFrame, shingle: int, percent: int, light: int, costs: np.ndarray) -> DataFrame:
-    """doc_id, n_shingles, two hashes of the whole set, and the set's keys.
+    """doc_id, n_shingles, two hashes of the whole set, and the set's keys: subsets and lists.
 
     A set of one shingle is similar to an equal set only and has no keys.
     """
@@ -133,23 +142,25 @@ def signatures(docs: DataFrame, shingle: int, percent: int, light: int, costs: n
         rank = expected_frequency(words, costs, shingle)
         return np.unique((rank << np.uint64(48)) | (shingles & _LOW48))
 
-    def keys(row: np.ndarray) -> np.ndarray:
+    def keys(row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = len(row)
-        found = []
-        if n <= light:
+        subsets = lists = row[:0]
+        if 1 < n <= light:
             head = row[: head_length(n, percent, 2)]
             i, j = np.triu_indices(len(head), 1)
-            found.append(mix(mix(head[i]) + head[j]))
-        if 100 * n > percent * light:
-            found.append(row[: head_length(n, percent, 1)])
-        return np.concatenate(found)
+            subsets = mix(mix(head[i]) + head[j])
+        if n > 1 and 100 * n > percent * light:
+            # as many more as the largest set that may be similar leaves
+            more = min(MOST_LEFT, -(-100 * n // percent) // PER_LEFT)
+            lists = row[: head_length(n, percent, 1 + more)]
+        return subsets, lists
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = word_hashes(texts_of(batch, "text"))
             runs = [shingle_hashes(w, shingle) for w in words]
             sets = [np.unique(x) for x in runs]
-            heads = [keys(ranked(w, x)) if len(own) > 1 else own[:0] for w, x, own in zip(words, runs, sets, strict=True)]
+            heads = [keys(ranked(w, x)) if len(own) > 1 else (own[:0], own[:0]) for w, x, own in zip(words, runs, sets, strict=True)]
             seeds = [(mix(x).sum(dtype=np.uint64), mix(x ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)) for x in sets]
             first, second = (pa.array(np.array([s[i] for s in seeds], dtype=np.uint64).view(np.int64)) for i in (0, 1))
             yield pa.RecordBatch.from_arrays(
@@ -158,12 +169,12 @@ def signatures(docs: DataFrame, shingle: int, percent: int, light: int, costs: n
                     pa.array([len(x) for x in sets], pa.int64()),
                     first,
                     second,
-                    pa.array([x.view(np.int64) for x in heads], pa.list_(pa.int64())),
+                    *(pa.array([x[i].view(np.int64) for x in heads], pa.list_(pa.int64())) for i in (0, 1)),
                 ],
-                names=["doc_id", "n_shingles", "hash_a", "hash_b", "keys"],
+                names=["doc_id", "n_shingles", "hash_a", "hash_b", "subsets", "lists"],
             )
 
-    schema = "doc_id long, n_shingles long, hash_a long, hash_b long, keys array<long>"
+    schema = "doc_id long, n_shingles long, hash_a long, hash_b long, subsets array<long>, lists array<long>"
     return staged(_texts(docs).mapInArrow(sign, schema), "signatures")
 
 
@@ -293,10 +304,15 @@ def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Data
     classes = signed.where("n_shingles > 0 and doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("rep"))
     classes = staged(classes, "classes")
 
-    alone = signed.where("size(keys) > 0").join(classes, same).where("doc_id = rep")
-    entries = alone.select("rep", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
+    alone = signed.where("size(subsets) + size(lists) > 0").join(classes, same).where("doc_id = rep")
+    kinds = [alone.selectExpr("rep", "n_shingles AS n", f"{listed} AS listed", f"explode({c}) AS key") for c, listed in (("subsets", False), ("lists", True))]
+    entries = kinds[0].union(kinds[1])
     counts = staged(entries.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1"), "keys")
-    shared = staged(entries.join(counts, "key"), "entries")
+    longest = Window.partitionBy("rep", "listed").orderBy(F.desc("sets"), "key")
+    entries = entries.join(counts, "key").withColumn("place", F.row_number().over(longest))
+    shared = staged(entries.where(f"not listed or place > {lists_left('n')}").drop("sets", "place"), "entries")
+    counts = staged(shared.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1"), "keys")
+    shared = staged(shared.join(counts, "key"), "entries")
     # of each set, how much it has in common with all others: much, if others are copies of it
     common = staged(shared.groupBy("rep").agg(F.sum("sets").alias("common")), "common")
     shared = staged(shared.join(common, "rep"), "entries")
@@ -305,8 +321,11 @@ def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Data
     sizes_fit = F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
     # how many shingles of both heads two similar sets share at least, if one of them is heavy
     both = f"ceil({percent} * (n_a + n_b) / {100 + percent})"
-    spare = ", ".join(f"{both} - ceil({percent} * {n} / 100) + 1" for n in ("n_a", "n_b"))
-    shares = F.expr(f"CASE WHEN greatest(n_a, n_b) > {light} THEN least({spare}) ELSE 1 END")
+    spare = ", ".join(
+        f"{both} - ceil({percent} * {n} / 100) + 1 + {lists_left(f'cast(ceil(100 * {n} / {percent}) as bigint)')}" for n in ("n_a", "n_b")
+    )
+    left = f"greatest({lists_left('n_a')}, {lists_left('n_b')})"
+    shares = F.expr(f"CASE WHEN greatest(n_a, n_b) > {light} THEN least({spare}) - {left} ELSE 1 END")
 
     # keys of fewer sets: each with the leading one. A pair shares other keys as well, so half of the shared shingles
     # will do here; what it misses is compared as a pair that shares keys.
