@@ -57,7 +57,9 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 10) -> DataFrame:
         "lines",
     )
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = lines.repartitionByRange(parts, "hash", "doc_id", "position").sortWithinPartitions("hash", "doc_id", "position")
+    order = ["hash", "doc_id", "position"]
+    # written in this order: the first row of a hash in a range is its first holder there
+    ranged = staged(lines.repartitionByRange(parts, *order).sortWithinPartitions(*order), "ranges")
     # staged, so that both sides of the join below are shuffled for it and a hot hash can be split
     repeated = staged(
         ranged.groupBy("hash")
@@ -68,7 +70,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     )
     bit = bit_of(F.col("position"))
     return (
-        lines.join(repeated, "hash")
+        ranged.join(repeated, "hash")
         .where("doc_id > first_doc")
         .groupBy("doc_id", "version", F.floor(F.col("position") / WORD_BITS).cast("int").alias("word"))
         .agg(F.bit_or(bit).alias("drop"))
