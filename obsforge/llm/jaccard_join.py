@@ -265,8 +265,8 @@ def _by_differences(tested: DataFrame, roots: DataFrame, percent: int, sizes_fit
     barely = ~F.col("linked") & (F.col("d") <= F.expr(f"(100 - {percent}) * n div {percent}"))
     probe = F.concat("probe", F.when(barely, here).otherwise(close))
     sides = [
-        members.withColumn("token", F.explode(tokens)).selectExpr(
-            "pivot", "token", f"x AS {side}", f"n AS n_{side}", f"d AS d_{side}", f"root AS root_{side}"
+        members.select("*", F.posexplode(tokens).alias("place", "token")).selectExpr(
+            "pivot", "token", f"place AS place_{side}", f"x AS {side}", f"n AS n_{side}", f"d AS d_{side}", f"root AS root_{side}"
         )
         for side, tokens in (("a", index), ("b", probe))
     ]
@@ -274,9 +274,13 @@ def _by_differences(tested: DataFrame, roots: DataFrame, percent: int, sizes_fit
     keyed = [
         df.withColumns({"close": F.col("token").isNull(), "token": F.coalesce("token", F.lit(0).cast("bigint"))}) for df in sides
     ]
+    # at the first shingle they share there must be enough left on both sides
+    apart = f"(n_a + n_b - 2 * ceil({percent} * (n_a + n_b) / {100 + percent}))"
+    enough = f"close or 2 * least(d_a - place_a, d_b - place_b) >= d_a + d_b - {apart}"
     return (
         keyed[0]
         .join(keyed[1], ["pivot", "token", "close"])
+        .where(enough)
         .where("root_a <> root_b and (d_a < d_b or d_a = d_b and a < b)")
         .where(sizes_fit)
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
