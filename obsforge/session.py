@@ -57,16 +57,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 _open: ContextVar[list[str] | None] = ContextVar("staged paths", default=None)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
     """Write ``df`` as parquet to the shared folder and read it back.
 
     Cuts the lineage with data that outlives any executor, keeps statistics,
-    and lets several later aggregations read just the columns they need.
+    and lets several later aggregations read just the columns they need. A
+    ``lasting`` table stays when a ``released`` block around it ends.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     paths = _open.get()
-    if paths is not None:
+    if paths is not None and not lasting:
         paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
