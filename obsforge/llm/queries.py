@@ -7,18 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
 import corpus_pipeline
 from obsforge.llm import sql
 from obsforge.llm.decontaminate import contaminated
 from obsforge.llm.embedding_dedup import near_groups
 from obsforge.llm.jaccard_join import similar_groups
 from obsforge.llm.language import identify_languages
+from obsforge.llm.lexical_search import rank_documents
 from obsforge.llm.line_dedup import dedup_lines
 from obsforge.llm.mixing import mix
 from obsforge.llm.quality import score_quality
 from obsforge.llm.span_dedup import drop_repeated_passages
 from obsforge.llm.substring_dedup import drop_repeated_substrings
+from obsforge.llm.token_counts import count_tokens
 from obsforge.llm.toxicity import score_toxicity
+from obsforge.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -101,3 +106,18 @@ def toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_substring_dedup", sql.SUBSTRING_DEDUP)
 def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return drop_repeated_substrings(table(spark, folder, "documents")).drop("spans")
+
+
+@query("op11_whitening")
+def whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(table(spark, folder, "embeddings"))
+
+
+@query("op12_token_counts")
+def token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return count_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op13_lexical_search", sql.LEXICAL_SEARCH)
+def lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return rank_documents(table(spark, folder, "benchmark"), table(spark, folder, "documents"))

@@ -110,3 +110,26 @@ SELECT d.doc_id, length(d.h) // 2 AS n_bytes, coalesce(n.n_removed, 0)::BIGINT A
 FROM d JOIN kept k USING (doc_id)
 LEFT JOIN (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id) n USING (doc_id)
 """
+
+LEXICAL_SEARCH = r"""
+WITH t AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+p AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term),
+d AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+s AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM d),
+w AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM p GROUP BY term), s),
+i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // terms))))::BIGINT AS score
+  FROM i JOIN p USING (term) JOIN w USING (term) JOIN d USING (doc_id), s GROUP BY item_id, doc_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
