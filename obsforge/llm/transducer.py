@@ -12,7 +12,6 @@ second is compiled as far as texts use it and starts anew when it has grown beyo
 from __future__ import annotations
 
 import json
-from bisect import bisect_left
 from collections.abc import Callable
 
 import numpy as np
@@ -123,80 +122,107 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in prints} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class _State(dict):
+    """Transitions by byte: the next state and the change in the number of tokens; a missing one is compiled."""
+
+    __slots__ = ("counter", "end", "prefixes")
+
+    def __init__(self, counter: PieceCounter, end: bytes, prefixes: tuple):
+        super().__init__()
+        self.counter, self.end, self.prefixes = counter, end, prefixes
+
+    def __missing__(self, byte: int) -> tuple[_State, int]:
+        step = self[byte] = self.counter.compiled(self.end, self.prefixes, byte)
+        return step
+
+
 class PieceCounter:
     """Counts the tokens of single pieces by a transducer that is compiled on demand.
 
-    A state is the longest end of what was read that a token begins with, and for each prefix inside that end its last
-    token and by how many tokens it is behind. ``merges`` are pairs of byte strings, best first.
+    A state is the longest end of what was read that a longer token begins with, and for each prefix that such a token can
+    still grow from its last token and by how many tokens it is behind. ``merges`` are pairs of byte strings, best first;
+    tokens are numbered by bytes, then merges.
     """
 
-    #: Transitions and compatible pairs that are kept at most.
+    #: Transitions and pairs of tokens that are kept at most.
     MOST = 1 << 19
-
-    def __init__(self, alphabet: list[bytes], merges: list[tuple[bytes, bytes]]):
-        self.rank = {pair: i for i, pair in reversed(list(enumerate(merges)))}
-        self.tokens = {*alphabet, *(a + b for a, b in merges)}
-        self.sorted = sorted(self.tokens)
+    START = -1
+
+    def __init__(self, merges: list[tuple[bytes, bytes]]):
+        names = [bytes((b,)) for b in range(256)] + [a + b for a, b in merges]
+        self.tokens = {name: i for i, name in reversed(list(enumerate(names)))}
+        #: the two tokens that each token of more than a byte was merged from
+        self.halves = [(i, i) for i in range(256)] + [(self.tokens[a], self.tokens[b]) for a, b in merges]
+        self.merged = {pair: i for i, pair in reversed(list(enumerate(self.halves))) if i >= 256}
+        #: tokens that the encoding of their own bytes is
+        self.whole = [True] * 256
+        for token, (left, right) in enumerate(self.halves[256:], 256):
+            self.whole.append(self.whole[left] and self.whole[right] and self._stay_apart(left, right, token))
+        self.tokens = {name: i for name, i in self.tokens.items() if self.whole[i]}
+        self.grows = {name[:k] for name in self.tokens for k in range(1, len(name))}
         self._reset()
 
     def _reset(self) -> None:
-        self.together: dict[tuple[bytes, bytes], bool] = {}
-        self.states: list[tuple[bytes, tuple]] = [(b"", ((b"", 0),))]
-        self.number: dict[tuple[bytes, tuple], int] = {self.states[0]: 0}
-        self.steps: dict[int, tuple[int, int]] = {}
-
-    def merged(self, parts: list[bytes]) -> list[bytes]:
-        """The tokens that merging, best pair first and leftmost among equals, makes of parts."""
-        while len(parts) > 1:
-            best, at = min((self.rank.get(pair, len(self.rank)), i) for i, pair in enumerate(zip(parts, parts[1:], strict=False)))
-            if best == len(self.rank):
-                break
-            parts = [*parts[:at], parts[at] + parts[at + 1], *parts[at + 2 :]]
-        return parts
-
-    def _follows(self, before: bytes, token: bytes) -> bool:
+        self.apart: dict[tuple[int, int], bool] = {}
+        self.start = _State(self, b"", ((self.START, 0),))
+        self.states: dict[tuple[bytes, tuple], _State] = {}
+        self.size = 0
+
+    def _stay_apart(self, left: int, right: int, before: int) -> bool:
+        """Whether no merge above rank ``before`` joins two neighbours across their border.
+
+        Merges are undone from the last one: while both are there, only a merge that comes before the one that ended this
+        could have joined them. Among equal ranks the left one comes first.
+        """
+        while True:
+            if self.merged.get((left, right), before) < before:
+                return False
+            if left < 256 and right < 256:
+                return True
+            if left > right:
+                left, before = self.halves[left][1], left
+            else:
+                right, before = self.halves[right][0], right + 1
+
+    def _follows(self, before: int, token: int) -> bool:
+        """Whether a token stays whole after that one."""
         pair = (before, token)
-        found = self.together.get(pair)
+        found = self.apart.get(pair)
         if found is None:
-            text = before + token
-            wanted = [before, token] if before else [token]
-            found = self.together[pair] = self.merged([text[i : i + 1] for i in range(len(text))]) == wanted
+            found = self.apart[pair] = before == self.START or self._stay_apart(before, token, len(self.halves))
         return found
 
-    def _begins_token(self, end: bytes) -> bool:
-        at = bisect_left(self.sorted, end)
-        return at < len(self.sorted) and self.sorted[at].startswith(end)
-
-    def _compile(self, state: int, byte: int) -> tuple[int, int]:
-        end, prefixes = self.states[state]
+    def compiled(self, end: bytes, prefixes: tuple, byte: int) -> tuple[_State, int]:
+        """The transition on a byte from the state with this end and these prefixes."""
         end += bytes((byte,))
-        for start in range(len(end)):  # prefixes[i] is the prefix that ends i bytes into the end
-            last, behind = prefixes[start]
-            if end[start:] in self.tokens and self._follows(last, end[start:]):
-                token, change = end[start:], 1 - behind
+        for start, held in enumerate(prefixes):  # the prefix that ends so many bytes into the end
+            if held is None:
+                continue
+            token = self.tokens.get(end[start:])
+            if token is not None and self._follows(held[0], token):
+                change = 1 - held[1]
                 break
         else:
             raise ValueError(f"no token for byte {byte}")
-        prefixes = (*((t, b + change) for t, b in prefixes), (token, 0))
-        cut = next(i for i in range(len(end) + 1) if self._begins_token(end[i:]))
-        key = (end[cut:], prefixes[cut:])
-        if key not in self.number:
-            self.number[key] = len(self.states)
-            self.states.append(key)
-        return self.number[key], change
+        kept = [(held[0], held[1] + change) if held and end[i:] in self.grows else None for i, held in enumerate(prefixes)]
+        kept.append((token, 0))
+        cut = 0
+        while kept[cut] is None:
+            cut += 1
+        key = (end[cut:], tuple(kept[cut:]))
+        state = self.states.get(key)
+        if state is None:
+            state = self.states[key] = _State(self, *key)
+        self.size += 1
+        return state, change
 
     def __call__(self, piece: bytes) -> int:
-        if len(self.steps) + len(self.together) > self.MOST:
+        if self.size + len(self.apart) > self.MOST:
             self._reset()
-        state = count = 0
-        steps = self.steps
+        state, count = self.start, 0
         for byte in piece:
-            key = state << 8 | byte
-            step = steps.get(key)
-            if step is None:
-                step = steps[key] = self._compile(state, byte)
-            state = step[0]
-            count += step[1]
+            state, change = state[byte]
+            count += change
         return count
 
 
@@ -220,7 +246,7 @@ class Compiled:
         letters = byte_alphabet()
         spelled = lambda text: bytes(letters[c] for c in text)
         pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
-        self.count = PieceCounter([bytes((b,)) for b in range(256)], [(spelled(a), spelled(b)) for a, b in pairs])
+        self.count = PieceCounter([(spelled(a), spelled(b)) for a, b in pairs])
         #: strings that are one token wherever they stand, longest first
         self.special = sorted((t["content"].encode() for t in added), key=len, reverse=True)
 
