@@ -11,6 +11,7 @@ from checks import sql as q
 from checks.registry import Data, query
 from obsforge.functions import clean, rules
 from obsforge.functions.pyvalue import float_text, text_value
+from obsforge.functions.user import user_check
 from obsforge.operators import validation
 
 _DAY = date.fromisoformat(q.AS_OF)
@@ -301,3 +302,35 @@ def rule_in_table(data: Data) -> DataFrame:
         data.dirty().select("record_index", F.col("age_group").alias("given")), "given", allowed
     )
     return flagged.select("record_index", "allowed")
+
+
+# A check of a user that raises for what it cannot read, and one of single values that tells why.
+_PRICE = r"regexp_matches(value, '^\d+\.\d\d$')"
+
+
+def _large(values):
+    def large(value: str) -> bool:
+        if not value.replace(".", "", 1).isdigit():
+            raise ValueError(f"cannot read {value}")
+        return float(value) >= 100000
+
+    return values.map(large)
+
+
+def _place(value: str) -> tuple[bool, str | None]:
+    return len(value) < 3 or int(value) > 6000, f"{value} is too small"
+
+
+@query(
+    "rule_user_raises",
+    "SELECT record_index, CASE WHEN value IS NULL OR value = '' THEN NULL "
+    f"WHEN NOT {_PRICE} THEN 'Validation error: cannot read ' || value WHEN value::DOUBLE < 100000 THEN 'small' END AS amount, "
+    "CASE WHEN fips_code IS NULL OR length(fips_code) < 3 THEN NULL WHEN TRY_CAST(fips_code AS INT) IS NULL "
+    "THEN 'Validation error: invalid literal for int() with base 10: ''' || fips_code || '''' "
+    f"WHEN fips_code::INT <= 6000 THEN fips_code || ' is too small' END AS place FROM ({q.DIRTY}) d",
+)
+def rule_user_raises(data: Data) -> DataFrame:
+    checks = [rules.Rule("value", user_check(_large), message="small"), rules.Rule("fips_code", user_check(_place, each=True))]
+    told = F.col("field_results")
+    checked = validation.validate(data.dirty(), checks, keep=("record_index",))
+    return checked.select("record_index", told["value"]["error"].alias("amount"), told["fips_code"]["error"].alias("place"))

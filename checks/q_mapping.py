@@ -9,6 +9,7 @@ from checks import sql as q
 from checks.registry import Data, query
 from obsforge.functions.predicates import filter_condition
 from obsforge.functions.pyvalue import float_text, text_value
+from obsforge.functions.user import user_transform
 from obsforge.operators import mapping
 from obsforge.sources.pages import scan
 
@@ -199,3 +200,24 @@ def enrich_metadata(data: Data) -> DataFrame:
         F.get_json_object(document, "$.name").alias("document_name"),
         F.col("metadata")["extra"].alias("extra"),
     )
+
+
+def _cents(values):
+    def cents(value: str) -> str:
+        whole, part = value.split(".")
+        return f"{int(whole)}{int(part):02}"
+
+    return values.map(cents)
+
+
+@query(
+    "transform_user_raises",
+    r"SELECT record_index, CASE WHEN regexp_matches(value, '^\d+\.\d\d$') THEN replace(value, '.', '') ELSE value END AS value, "
+    r"CASE WHEN regexp_matches(year, '^\d+$') THEN year::BIGINT - 1990 END AS year "
+    f"FROM (SELECT record_index, CASE WHEN value LIKE '-%' THEN 'minus' ELSE value END AS value, year FROM ({q.DIRTY}) d) d",
+)
+def transform_user_raises(data: Data) -> DataFrame:
+    rows = data.dirty().withColumn("value", F.when(F.col("value").startswith("-"), "minus").otherwise(F.col("value")))
+    transforms = {"value": user_transform(_cents), "year": user_transform(lambda year: int(year) - 1990, "bigint", each=True)}
+    aliases = {"value": ("value",), "year": ("year",)}
+    return mapping.map_fields(rows, aliases, transforms, keep=("record_index",), targets=["value", "year"])
