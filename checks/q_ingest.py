@@ -310,23 +310,28 @@ def latest_after_load(data: Data) -> DataFrame:
     return known.select("code", "name", "period_start", F.coalesce("value_known", F.lit(False)).alias("value_known"))
 
 
-# Places of all levels, of none and of one that cannot be loaded; every third order has no county.
+# Places of all levels, of none and of one that no member can have. A state's place may name a county, a metro is a
+# member for each record, and a nation with a state needs a nation that is there already.
 _LEVELS = (
-    "SELECT o_orderkey AS k, CASE o_orderkey % 6 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'state' WHEN 3 THEN 'county' "
-    "WHEN 4 THEN 'nation' ELSE 'metro' END AS geography_level, "
-    "CASE WHEN o_orderkey % 6 = 4 THEN NULL ELSE substring('ALAKAZARCACOCTDEFLGA', CAST(2 * (o_custkey % 10) + 1 AS INT), 2) END AS state, "
-    "CASE WHEN o_orderkey % 6 = 3 AND o_custkey % 3 > 0 THEN concat('County ', CAST(o_custkey % 7 AS STRING)) ELSE NULL END AS county, "
+    "SELECT o_orderkey AS k, CASE o_orderkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'state' WHEN 3 THEN 'county' "
+    "WHEN 4 THEN 'nation' WHEN 5 THEN 'metro' ELSE 'planet' END AS geography_level, "
+    "CASE WHEN o_orderkey % 7 = 4 AND o_custkey % 4 > 0 THEN NULL ELSE substring('ALAKAZARCACOCTDEFLGA', CAST(2 * (o_custkey % 10) + 1 AS INT), 2) END AS state, "
+    "CASE WHEN o_orderkey % 7 = 3 AND o_custkey % 3 > 0 THEN concat('County ', CAST(o_custkey % 7 AS STRING)) "
+    "WHEN o_orderkey % 7 = 2 AND o_custkey % 3 = 0 THEN 'Seat' ELSE NULL END AS county, "
     "CAST(o_orderdate AS DATE) AS day, o_totalprice AS price FROM orders"
 )
 
 
 @query(
     "load_levels",
-    f"WITH l AS ({_LEVELS}), n AS (SELECT count(*) AS total, count(*) FILTER (geography_level = 'metro') AS metro FROM l) "
-    "SELECT 'partial' AS status, total AS records_processed, total - metro AS records_inserted, metro AS records_failed, "
+    f"WITH l AS ({_LEVELS}), first_nation AS (SELECT min(k) AS k FROM l WHERE geography_level = 'nation' AND state IS NULL), "
+    "n AS (SELECT count(*) AS total, count(*) FILTER (geography_level = 'planet' OR (geography_level = 'nation' AND state IS NOT NULL "
+    "AND k < (SELECT k FROM first_nation))) AS lost FROM l) "
+    "SELECT 'partial' AS status, total AS records_processed, total - lost AS records_inserted, lost AS records_failed, "
     "(SELECT count(*) FROM (SELECT DISTINCT state FROM l WHERE coalesce(nullif(geography_level, ''), 'state') = 'state') s) AS states, "
     "(SELECT count(*) FROM (SELECT DISTINCT state, county FROM l WHERE geography_level = 'county' AND county IS NOT NULL) c) AS counties, "
-    "(SELECT CAST(sign(count(*)) AS BIGINT) FROM l WHERE geography_level = 'nation') AS nations, metro AS named FROM n",
+    "(SELECT CAST(sign(count(*)) AS BIGINT) FROM l WHERE geography_level = 'nation' AND state IS NULL) AS nations, "
+    "(SELECT count(*) FROM l WHERE geography_level = 'metro') AS metros, lost AS named FROM n",
 )
 def load_levels(data: Data) -> DataFrame:
     rows = data._sql(_LEVELS.replace("FROM orders", "FROM {orders}"), "orders")
@@ -343,11 +348,12 @@ def load_levels(data: Data) -> DataFrame:
         F.count_if(level == "state").alias("states"),
         F.count_if((level == "county") & F.col("county").isNotNull()).alias("counties"),
         F.count_if(level == "nation").alias("nations"),
+        F.count_if(level == "metro").alias("metros"),
     )
-    named = F.regexp_count(F.col("error_message"), F.lit("level metro with this place cannot be loaded"))
+    named = F.regexp_count(F.col("error_message"), F.lit("level (planet|nation) with this place cannot be loaded"))
     return done.select(
         "status", "records_processed", "records_inserted", "records_failed",
-        *(places.select(c).scalar().alias(c) for c in ("states", "counties", "nations")),
+        *(places.select(c).scalar().alias(c) for c in ("states", "counties", "nations", "metros")),
         # the message tells of the first ten
         F.when(named == F.least(F.lit(10), "records_failed"), F.col("records_failed")).otherwise(named).alias("named"),
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from obsforge.operators.constraints import check_observation
 from obsforge.operators.dimensions import new_id, pick_stratifier
-from obsforge.operators.geography import resolve_geography, well_formed
+from obsforge.operators.geography import has_a_form, resolve_geography
 from obsforge.schema import OBSERVATION
 
 FACT_KEY = ("indicator_id", "geography_id", "stratifier_key", "period_start", "period_end")
@@ -95,7 +95,7 @@ def check_resolved(resolved: DataFrame) -> DataFrame:
     checked = check_observation(resolved)
     lost = F.when(F.col("geography_id").isNotNull() & F.col("stratifier_lost"), F.lit("no stratifier"))
     unfit = F.when(
-        (F.col("reason") == "geography_id is null") & ~well_formed("geography_level"),
+        (F.col("reason") == "geography_id is null") & ~has_a_form("geography_level"),
         F.concat(F.lit("level "), F.coalesce("geography_level", F.lit("none")), F.lit(" with this place cannot be loaded")),
     )
     return checked.withColumn("reason", F.coalesce(unfit, "reason", lost)).drop("stratifier_lost")

@@ -1,21 +1,23 @@
 """Geography get-or-create as set operations.
 
 Loading record by record, each request looks for a member that agrees with
-everything it specifies, and failing that tries to insert one. The outcome
-depends on order, yet has an exact set form, because agreement is transitive:
+what its level lets it ask for, and failing that tries to insert one, which
+fails on a code that is taken. The outcome depends on order, yet has an exact
+set form:
 
 * what a request may match is fixed by one *lookup key* (its code if it has
   one, else its names), and
-* a request creates a member at most once, at its first insertable record.
+* a request creates a member at most once, at its first insertable record; only
+  a metro, which never looks for anything, inserts with each record.
 
-So members come from a few aggregations over distinct requests, and every
-record finds its member through one equi-join on the lookup key. ``born`` is
-the position of a member's first record; members already in the table are born
-before every record. A record sees only members born no later than itself.
+Whether a distinct request inserts depends on earlier ones alone. So all are
+taken to insert, and rounds of two joins over the distinct requests correct
+that from what the last round left, until a round changes nothing: decisions
+settle from the first record on, and rarely hang on more than one another.
 
-Requests have the form the mapper derives: a state-level request has a state,
-no county and at most a 2-digit code; a nation has neither state nor county.
-Requests of another form fail.
+Every record finds its member through one equi-join on the lookup key. ``born``
+is the position of a member's first record; members already in the table are
+born before every record. A record sees only members born no later than itself.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsforge.operators.constraints import geography_reason
+from obsforge.operators.constraints import LEVELS, geography_reason
 from obsforge.operators.dimensions import new_id
 from obsforge.schema import GEOGRAPHY
 from obsforge.session import staged
@@ -49,16 +51,14 @@ def requests_of(observations: DataFrame, order_by: str) -> DataFrame:
     )
 
 
-def well_formed(level: str = "level") -> Column:
-    """Whether a request is one that can be placed or inserted."""
+def has_a_form(level: str = "level") -> Column:
+    """Whether the level of a request goes with its place: a known one, a nation without and others with a state.
+
+    A county may leave its state to the member that it asks for.
+    """
     at = F.col(level)
-    short = F.col("fips_code").isNull() | (F.length("fips_code") == 2)
-    return F.coalesce(
-        ((at == "county") & F.coalesce("state", "county", "fips_code").isNotNull())
-        | ((at == "state") & F.col("state").isNotNull() & F.col("county").isNull() & short)
-        | ((at == "nation") & F.col("state").isNull() & F.col("county").isNull() & short),
-        F.lit(False),
-    )
+    named = (at == "county") | ((at == "nation") == F.col("state").isNull())
+    return F.coalesce(at.isin(*LEVELS) & named, F.lit(False))
 
 
 def _known_members(existing: DataFrame) -> DataFrame:
@@ -69,11 +69,13 @@ def _known_members(existing: DataFrame) -> DataFrame:
 
 
 def _candidates(requests: DataFrame) -> DataFrame:
-    """Distinct insertable requests with their first record."""
-    insertable = requests.where(well_formed() & geography_reason().isNull())
-    return insertable.groupBy(*_KEY).agg(
-        F.min("idx").alias("born"), F.min_by("state_name", "idx").alias("state_name")
-    )
+    """Distinct insertable requests with their first record and its state name.
+
+    Grouped with the name first: a name rarely varies, and smallest positions are kept in hashed rows.
+    """
+    insertable = requests.where(geography_reason().isNull())
+    named = insertable.groupBy(*_KEY, "state_name").agg(F.min("idx").alias("born"))
+    return named.groupBy(*_KEY).agg(F.min_by("state_name", "born").alias("state_name"), F.min("born").alias("born"))
 
 
 def _first_per(df: DataFrame, *keys: str) -> DataFrame:
@@ -92,51 +94,33 @@ def _unless_earlier(candidates: DataFrame, members: DataFrame, *keys: str) -> Da
 def new_geographies(requests: DataFrame, existing: DataFrame, at: Column) -> DataFrame:
     """Geography rows the requests add to ``existing``, with ``born``."""
     known = _known_members(existing)
-    # read by every branch below: keep the distinct requests, not the records
-    wanted = staged(_candidates(requests), "geography-candidates")
-    coded = wanted.where(F.col("fips_code").isNotNull())
-    held = existing.where(F.col("fips_code").isNotNull()).select("fips_code").distinct()
-    free = coded.join(held, "fips_code", "left_anti").select(*wanted.columns)
-
-    # a free code goes to its first request below the nation ...
-    takers = _first_per(free.where(F.col("level") != "nation"), "fips_code")
-
-    # ... unless the one nation that is created took it before
-    taken_at = takers.select("fips_code", F.col("born").alias("_taken"))
-    nations = free.where(F.col("level") == "nation").unionByName(
-        wanted.where((F.col("level") == "nation") & F.col("fips_code").isNull())
-    )
-    could_be = (
-        nations.join(taken_at, "fips_code", "left")
-        .where(F.col("_taken").isNull() | (F.col("born") < F.col("_taken")))
-        .select(*wanted.columns)
-    )
-    nation = _unless_earlier(_first_per(could_be, "level"), known, "level")
-    nation_code = nation.where(F.col("fips_code").isNotNull()).select("fips_code")
-    takers = takers.join(nation_code, "fips_code", "left_anti").select(*nation.columns)
-    members = known.unionByName(takers, allowMissingColumns=True).unionByName(
-        nation, allowMissingColumns=True
-    )
+    wanted = _candidates(requests).withColumn("inserts", F.lit(True))
+    while True:
+        # read by both joins of a round: keep the distinct requests, not the records
+        wanted = staged(wanted, "geography-candidates")
+        members = known.unionByName(wanted.where("inserts").drop("inserts"), allowMissingColumns=True)
+        earliest = staged(_lookup(members), "geography-earliest")
+        decided = _decide(wanted, earliest)
+        if decided.where(F.col("inserts") != F.col("before")).isEmpty():
+            break
+        wanted = decided.drop("before")
+    free_metro = (F.col("level") == "metro") & F.col("fips_code").isNull()
+    each = requests.where(free_metro & geography_reason().isNull()).withColumnRenamed("idx", "born")
+    columns = [*_KEY, "state_name", "born"]
+    created = wanted.where(F.col("inserts") & ~free_metro).select(*columns).unionByName(each.select(*columns))
+    return _as_rows(created, existing, at)
 
-    # requests without a code: new only if nothing of that name is there yet
-    uncoded = wanted.where(F.col("fips_code").isNull()).select(*nation.columns)
-    states = _unless_earlier(
-        uncoded.where(F.col("level") == "state"),
-        members.where(F.col("level") == "state"),
-        "state",
-    )
-    in_county = F.col("level") == "county"
-    counties = _unless_earlier(
-        uncoded.where(in_county & F.col("county").isNotNull()), members, "state", "county"
-    )
-    named = takers.unionByName(nation).unionByName(states).unionByName(counties)
-    # a county request that gives only its state settles for any member of it
-    anywhere = _unless_earlier(
-        uncoded.where(in_county & F.col("county").isNull()),
-        known.unionByName(named, allowMissingColumns=True),
-        "state",
+
+def _decide(wanted: DataFrame, earliest: DataFrame) -> DataFrame:
+    """Whether each distinct request inserts, given the earliest members under every key; ``before`` is the last answer."""
+    found = resolve_geography(wanted, earliest.where("geo_kind <> 'own'"), "born", keep_member=True)
+    holders = earliest.where("geo_kind = 'code'").select(
+        F.col("geo_first").alias("_code"), F.col("geo_member.born").alias("_taken")
     )
-    return _as_rows(named.unionByName(anywhere), existing, at)
+    joined = found.withColumnRenamed("inserts", "before").join(holders, F.col("fips_code") == F.col("_code"), "left")
+    served = F.coalesce(F.col("geo_member.born") < F.col("born"), F.lit(False))
+    taken = F.coalesce(F.col("_taken") < F.col("born"), F.lit(False))
+    return joined.select(*_KEY, "state_name", "born", "before", (~served & ~taken).alias("inserts"))
 
 
 def _as_rows(members: DataFrame, existing: DataFrame, at: Column) -> DataFrame:
@@ -167,29 +151,40 @@ def _lookup_key(kind: str, first: Column | None = None, second: Column | None =
     )
 
 
-def request_key(level_name: str = "level") -> Column:
+def _short_code() -> Column:
+    """A state's request asks only for codes of two characters."""
+    return F.coalesce(F.length("fips_code") == 2, F.lit(False))
+
+
+def request_key(order_by: str, level_name: str = "level") -> Column:
     """Lookup key of a request; NULL when it specifies nothing to look for."""
     level, state = F.col(level_name), F.col("state")
     county, code = F.col("county"), F.col("fips_code")
-    return F.when(
-        well_formed(level_name),
+    return (
         F.when(level == "nation", _lookup_key("nation"))
-        .when(code.isNotNull(), _lookup_key("code", code))
-        .when(level == "state", _lookup_key("state", state))
-        .when(state.isNotNull() & county.isNotNull(), _lookup_key("county", state, county))
-        .when(county.isNotNull(), _lookup_key("name", county))
-        .otherwise(_lookup_key("within", state)),
+        .when(level == "metro", _lookup_key("own", F.col(order_by).cast("string")))
+        .when(
+            level == "state",
+            F.when(_short_code(), _lookup_key("code", code)).when(state.isNotNull(), _lookup_key("state", state)),
+        )
+        .when(
+            level == "county",
+            F.when(code.isNotNull(), _lookup_key("code", code))
+            .when(state.isNotNull() & county.isNotNull(), _lookup_key("county", state, county))
+            .when(county.isNotNull(), _lookup_key("name", county))
+            .when(state.isNotNull(), _lookup_key("within", state)),
+        )
     )
 
 
-def geography_lookup(existing: DataFrame, created: DataFrame) -> DataFrame:
+def _lookup(members: DataFrame) -> DataFrame:
     """Earliest member under every lookup key, a few rows per member."""
-    members = _known_members(existing).unionByName(created.select(*_MEMBER))
     level, state = F.col("level"), F.col("state")
-    county, code = F.col("county"), F.col("fips_code")
+    county, code, born = F.col("county"), F.col("fips_code"), F.col("born")
     keys = F.array_compact(
         F.array(
             F.when((level == "nation") & state.isNull(), _lookup_key("nation")),
+            F.when((level == "metro") & (born >= 0), _lookup_key("own", born.cast("string"))),
             F.when(code.isNotNull(), _lookup_key("code", code)),
             F.when((level == "state") & state.isNotNull(), _lookup_key("state", state)),
             F.when(state.isNotNull() & county.isNotNull(), _lookup_key("county", state, county)),
@@ -209,15 +204,21 @@ def geography_lookup(existing: DataFrame, created: DataFrame) -> DataFrame:
     )
 
 
+def geography_lookup(existing: DataFrame, created: DataFrame) -> DataFrame:
+    """Earliest member under every lookup key, of those there were and those the load adds."""
+    return _lookup(_known_members(existing).unionByName(created.select(*_MEMBER)))
+
+
 def resolve_geography(
-    requests: DataFrame, lookup: DataFrame, order_by: str = "idx", level: str = "level"
+    requests: DataFrame, lookup: DataFrame, order_by: str = "idx", level: str = "level", keep_member: bool = False
 ) -> DataFrame:
     """Add ``geography_id`` to every request; NULL where no member can serve it.
 
     One equi-join. Spark broadcasts the lookup when it measures it small and
-    else shuffles both sides, splitting hot keys.
+    else shuffles both sides, splitting hot keys. ``keep_member`` adds the member
+    itself as ``geo_member``.
     """
-    key = request_key(level)
+    key = request_key(order_by, level)
     keyed = requests.select(
         "*",
         F.coalesce(key["kind"], F.lit("none")).alias("geo_kind"),
@@ -227,14 +228,14 @@ def resolve_geography(
     )
     joined = keyed.join(lookup, ["geo_kind", "geo_first", "geo_second"], "left")
     member = F.col("geo_member")
-    by_code = F.col("geo_kind") == "code"
-    level_fits = (F.col(level) != "state") | (member["level"] == "state")
-    state_fits = F.col("state").isNull() | (F.col("state") == member["state"])
-    county_fits = F.col("county").isNull() | (F.col("county") == member["county"])
+    by_code, own = F.col("geo_kind") == "code", F.col(level)
+    given_state = F.col("state").isNotNull()
+    level_fits = (own != "state") | ~given_state | (member["level"] == "state")
+    state_fits = ~given_state | (F.col("state") == member["state"])
+    county_fits = (own != "county") | F.col("county").isNull() | (F.col("county") == member["county"])
     serves = (~by_code | (level_fits & state_fits & county_fits)) & (member["born"] <= F.col(order_by))
-    return joined.select(
-        *requests.columns, F.when(serves, member["id"]).alias("geography_id")
-    )
+    kept = [F.when(serves, member).alias("geo_member")] if keep_member else []
+    return joined.select(*requests.columns, F.when(serves, member["id"]).alias("geography_id"), *kept)
 
 
 def new_geographies_strict(requests: DataFrame, existing: DataFrame, at: Column) -> DataFrame:

@@ -28,9 +28,11 @@ def one_by_one(requests, existing, strict=False):
             if level == "nation":
                 return m["level"] == "nation"
             if level == "state":
-                return m["level"] == "state" and m["state"] == state and (
-                    code is None or m["fips_code"] == code
-                )
+                short = code is not None and len(code) == 2
+                named = state is None or (m["level"] == "state" and m["state"] == state)
+                return (state is not None or short) and named and (not short or m["fips_code"] == code)
+            if level != "county" or (state, county, code) == (None, None, None):
+                return False
             return (
                 (state is None or m["state"] == state)
                 and (county is None or m["county"] == county)
@@ -40,7 +42,10 @@ def one_by_one(requests, existing, strict=False):
         match = next((m for m in members if agrees(m)), None)
         if match is None:
             taken = code is not None and any(m["fips_code"] == code for m in members)
-            fits = (level == "nation") == (state is None) and len(r["state_name"] or "") <= 100
+            fits = (
+                level in ("nation", "state", "county", "metro")
+                and (level == "nation") == (state is None) and len(r["state_name"] or "") <= 100
+            )
             if taken or not fits:
                 found[r["idx"]] = None
                 continue
@@ -136,14 +141,52 @@ def test_strict_match(spark):
     assert got == want
 
 
-def test_requests_of_another_form_fail(spark):
-    requests = [
-        {"idx": 0, "level": "metro", "state": "CA", "state_name": None, "county": None, "fips_code": None},
-        {"idx": 1, "level": "state", "state": "CA", "state_name": None, "county": None, "fips_code": "06037"},
-        {"idx": 2, "level": "state", "state": None, "state_name": None, "county": None, "fips_code": None},
-    ]
+def any_request(rng, states, counties, codes, levels):
+    return {
+        "level": rng.choice(levels), "state": rng.choice([*states, None]), "county": rng.choice([*counties, None, None]),
+        "fips_code": rng.choice([*codes, None, None]), "state_name": "n" * 101 if rng.random() < 0.1 else "name",
+    }
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_requests_of_any_form(spark, seed):
+    """Every level with any of the fields, hundreds of worlds at once, and one with nations."""
+    rng = random.Random(200 + seed)
+    requests, existing = [], []
+    for world in range(300):
+        mark = chr(0x4E00 + world)
+        states, counties, codes = [f"{mark}A", f"{mark}B"], [f"c{world}", f"d{world}"], [f"{mark}1", f"{mark}2", f"{mark}6037"]
+        levels = ["state", "state", "county", "county", "metro", "planet", None]
+        requests += [any_request(rng, states, counties, codes, levels) for _ in range(rng.randint(1, 12))]
+        if rng.random() < 0.3:
+            existing.append({"id": len(existing) + 1, "level": rng.choice(["state", "county", "metro"]), "state": states[0],
+                             "county": rng.choice([counties[0], None]), "fips_code": rng.choice([codes[0], None])})
+    requests += [any_request(rng, ["CA"], ["Kings"], ["06", "06037"], ["nation", "nation", "state", "county", "metro"]) for _ in range(15)]
+    rng.shuffle(requests)
+    for position, request in enumerate(requests):
+        request["idx"] = position * 2
+    compare(spark, requests, existing)
+
+
+def test_decisions_that_hang_on_one_another(spark):
+    """Each request is served only if the one before it could not take its code: five rounds and more."""
+    requests = []
+    for i in range(12):
+        # the state's own request takes code i+1 away from the next state, unless code i was taken from it
+        requests.append({"level": "state", "state": f"S{i}"[:2], "county": None, "fips_code": f"{i:05}", "state_name": None})
+        requests.append({"level": "county", "state": f"S{i}"[:2], "county": None, "fips_code": None, "state_name": None})
+        requests.append({"level": "county", "state": f"S{i}"[:2], "county": "x", "fips_code": f"{i + 1:05}", "state_name": None})
+    for position, request in enumerate(requests):
+        request["idx"] = position
+    compare(spark, requests, [])
+
+
+def test_metros_insert_with_each_record(spark):
+    metro = {"level": "metro", "state": "CA", "state_name": None, "county": None, "fips_code": None}
+    requests = [{**metro, "idx": 0}, {**metro, "idx": 1}, {**metro, "idx": 2, "fips_code": "31080"}, {**metro, "idx": 3, "fips_code": "31080"},
+                {**metro, "idx": 4, "state": None}]
+    compare(spark, requests, [])
     asked, held = frames(spark, requests, [])
     made = geography.new_geographies(asked, held, F.lit(datetime(2024, 1, 1)))
-    assert made.count() == 0
-    placed = geography.resolve_geography(asked, geography.geography_lookup(held, made))
-    assert [r.geography_id for r in placed.collect()] == [None, None, None]
+    placed = geography.resolve_geography(asked, geography.geography_lookup(held, made)).orderBy("idx")
+    assert [r.geography_id for r in placed.collect()] == [1, 2, 3, None, None]
