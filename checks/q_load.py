@@ -275,7 +275,7 @@ _DEDUPED = (
 
 @query("dedupe_batch", _fact_ctes() + _DEDUPED)
 def dedupe_batch(data: Data) -> DataFrame:
-    good = _checked(data).where(F.col("reason").isNull())
+    good = staged(_checked(data).where(F.col("reason").isNull()), "checked")
     once = facts.dedupe_batch(good, IDX)
     return once.select(*facts.FACT_KEY, "value", "first_idx")
 
@@ -302,7 +302,7 @@ _OLD = (
     "AND n.stratifier_key = o.stratifier_key AND n.period_start = o.period_start AND n.period_end = o.period_end, past",
 )
 def upsert_observations(data: Data) -> DataFrame:
-    good = _checked(data).where(F.col("reason").isNull())
+    good = staged(_checked(data).where(F.col("reason").isNull()), "checked")
     once = staged(
         facts.dedupe_batch(good, IDX).withColumn("data_source", F.lit("new")), "deduplicated"
     )

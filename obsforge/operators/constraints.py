@@ -60,31 +60,43 @@ def amount(value: Column) -> Column:
     return value.try_cast("decimal(15,4)")
 
 
+_AMOUNTS = ("value", "value_lower_bound", "value_upper_bound")
+
+
+def typed_measures() -> dict[str, Column]:
+    """The numeric columns with their types in the fact table, unreadable numbers as NULL."""
+    return {**{c: amount(F.col(c)) for c in _AMOUNTS}, "sample_size": F.col("sample_size").try_cast("int")}
+
+
+def measure_reason(columns: list[str]) -> Column:
+    """First constraint that the period, the measures and the texts of a canonical observation break."""
+    typed = typed_measures()
+    return _first(
+        [
+            *_nulls("period_start", "period_end", "value"),
+            *((F.col(c).isNotNull() & t.isNull(), f"{c} is not a valid number") for c, t in typed.items()),
+            (F.col("period_end") < F.col("period_start"), "period ends before it starts"),
+            (typed["value"] < 0, "value is negative"),
+            *_lengths(OBSERVATION_LENGTHS, columns),
+        ]
+    )
+
+
+def key_reason() -> Column:
+    """First key that is not resolved."""
+    return _first(_nulls("indicator_id", "geography_id"))
+
+
 def check_observation(df: DataFrame, reason: str = "reason") -> DataFrame:
     """Type the fact columns and name the first constraint each row breaks.
 
     Expects the resolved keys next to the canonical observation columns; the
     numeric columns come back typed, with unreadable numbers as NULL.
     """
-    typed = {
-        **{c: amount(F.col(c)) for c in ("value", "value_lower_bound", "value_upper_bound")},
-        "sample_size": F.col("sample_size").try_cast("int"),
-    }
-    unreadable = [
-        (F.col(c).isNotNull() & F.col(f"_typed_{c}").isNull(), f"{c} is not a valid number")
-        for c in typed
-    ]
-    reasons = [
-        *_nulls("indicator_id", "geography_id", "period_start", "period_end", "value"),
-        *unreadable,
-        (F.col("period_end") < F.col("period_start"), "period ends before it starts"),
-        (F.col("_typed_value") < 0, "value is negative"),
-        *_lengths(OBSERVATION_LENGTHS, df.columns),
-    ]
-    wide = df.withColumns({f"_typed_{c}": e for c, e in typed.items()})
-    return wide.select(
-        *(F.col(f"_typed_{c}").alias(c) if c in typed else F.col(c) for c in df.columns),
-        _first(reasons).alias(reason),
+    typed = typed_measures()
+    return df.select(
+        *(typed[c].alias(c) if c in typed else F.col(c) for c in df.columns),
+        F.coalesce(key_reason(), measure_reason(df.columns)).alias(reason),
     )
 
 

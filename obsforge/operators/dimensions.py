@@ -3,7 +3,8 @@
 New members get ``base + first + 1`` as id, where ``first`` is the position of
 the record that introduced them and ``base`` the highest id in use. That is
 unique, rises in creation order like an identity column, leaves gaps like one
-too, and needs no global sort.
+too, and needs no global sort. A caller who keeps account of the ids gives
+``base``; else it is the highest in the table.
 """
 
 from __future__ import annotations
@@ -22,8 +23,9 @@ def highest_id(table: DataFrame) -> Column:
     return table.agg(F.coalesce(F.max("id"), F.lit(0).cast("bigint")).alias("m")).select("m").scalar()
 
 
-def new_id(table: DataFrame, first: Column) -> Column:
-    return highest_id(table) + first + F.lit(1).cast("bigint")
+def new_id(table: DataFrame, first: Column, base: int | None = None) -> Column:
+    highest = highest_id(table) if base is None else F.lit(base).cast("bigint")
+    return highest + first + F.lit(1).cast("bigint")
 
 
 def _given(requests: DataFrame, **kinds: str) -> DataFrame:
@@ -32,7 +34,9 @@ def _given(requests: DataFrame, **kinds: str) -> DataFrame:
     return requests.withColumns(absent) if absent else requests
 
 
-def new_indicators(requests: DataFrame, existing: DataFrame, order_by: str, at: Column) -> DataFrame:
+def new_indicators(
+    requests: DataFrame, existing: DataFrame, order_by: str, at: Column, base: int | None = None
+) -> DataFrame:
     """Indicator rows to add for codes not yet known.
 
     ``requests`` holds code, name, unit and description per record, and category
@@ -51,7 +55,7 @@ def new_indicators(requests: DataFrame, existing: DataFrame, order_by: str, at:
     )
     missing = fresh.join(existing.select("code"), "code", "left_anti")
     return missing.where(indicator_reason().isNull()).select(
-        new_id(existing, F.col("_first")).alias("id"),
+        new_id(existing, F.col("_first"), base).alias("id"),
         "code",
         "name",
         "description",
@@ -73,7 +77,7 @@ def pick_stratifier(age_group: Column, gender: Column, race: Column) -> tuple[Co
 
 
 def new_stratifiers(
-    requests: DataFrame, existing: DataFrame, order_by: str, at: Column
+    requests: DataFrame, existing: DataFrame, order_by: str, at: Column, base: int | None = None
 ) -> DataFrame:
     """Stratifier rows to add; ``requests`` holds dimension and value per record.
 
@@ -86,7 +90,7 @@ def new_stratifiers(
     first = wanted.groupBy("dimension", "value").agg(F.min(order_by).alias("_first"), rest)
     missing = first.join(existing.select("dimension", "value"), ["dimension", "value"], "left_anti")
     return missing.where(stratifier_reason().isNull()).select(
-        new_id(existing, F.col("_first")).alias("id"),
+        new_id(existing, F.col("_first"), base).alias("id"),
         "dimension",
         "value",
         "_row.display_order",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsforge.operators.constraints import check_observation
+from obsforge.operators.constraints import check_observation, key_reason, measure_reason, typed_measures
 from obsforge.operators.dimensions import new_id, pick_stratifier
 from obsforge.operators.geography import has_a_form, resolve_geography
 from obsforge.schema import OBSERVATION
@@ -90,48 +90,106 @@ def resolve_keys(
     return assign_indicator(stratified, order_by, indicators, indicator_code, indicator_from)
 
 
+def _with_own_reasons(reason: Column) -> Column:
+    """A reason, with more about a missing place, and about a stratifier that is not there."""
+    lost = F.when(F.col("geography_id").isNotNull() & F.col("stratifier_lost"), F.lit("no stratifier"))
+    unfit = F.when((reason == "geography_id is null"), F.col("unfit"))
+    return F.coalesce(unfit, reason, lost)
+
+
+def _unfit() -> Column:
+    level = F.coalesce("geography_level", F.lit("none"))
+    told = F.concat(F.lit("level "), level, F.lit(" with this place cannot be loaded"))
+    return F.when(~has_a_form("geography_level"), told)
+
+
 def check_resolved(resolved: DataFrame) -> DataFrame:
     """Typed fact rows with the reason why a row cannot be loaded, if any."""
-    checked = check_observation(resolved)
-    lost = F.when(F.col("geography_id").isNotNull() & F.col("stratifier_lost"), F.lit("no stratifier"))
-    unfit = F.when(
-        (F.col("reason") == "geography_id is null") & ~has_a_form("geography_level"),
-        F.concat(F.lit("level "), F.coalesce("geography_level", F.lit("none")), F.lit(" with this place cannot be loaded")),
-    )
-    return checked.withColumn("reason", F.coalesce(unfit, "reason", lost)).drop("stratifier_lost")
+    checked = check_observation(resolved).withColumn("unfit", _unfit())
+    return checked.withColumn("reason", _with_own_reasons(F.col("reason"))).drop("stratifier_lost", "unfit")
 
 
-def dedupe_batch(rows: DataFrame, order_by: str) -> DataFrame:
-    """One row per fact key: measures of its last record, origin of its first.
+def key_rows(observations: DataFrame, order_by: str) -> DataFrame:
+    """What resolving and checking need of each observation, a few short columns.
 
-    Structs travel as units, so a NULL in the last record is kept, not skipped.
-    Partial aggregation runs before the shuffle: a key held by a third of all
-    rows leaves each task as one row.
+    The constraints on its measures are checked on the way; ``measures`` is the first that is broken.
     """
-    keyed = rows.withColumn("stratifier_key", stratifier_key(F.col("stratifier_id")))
+    texts = ("state", "county", "fips_code", "indicator_code")
+    placed = with_stratum(observations).withColumns({c: F.nullif(F.col(c), F.lit("")) for c in texts})
+    return placed.select(
+        order_by, "geography_level", *texts, "dimension", "stratum", "period_start", "period_end",
+        measure_reason(observations.columns).alias("measures"), _unfit().alias("unfit"),
+    )
+
+
+def place_keys(keys: DataFrame, order_by: str, lookup: DataFrame) -> DataFrame:
+    """Key rows with ``geography_id`` in place of the place."""
+    placed = resolve_geography(keys, lookup, order_by, "geography_level")
+    return placed.drop("geography_level", "state", "county", "fips_code")
+
+
+def check_keys(resolved: DataFrame, order_by: str) -> DataFrame:
+    """Position, keys and period of each observation with the reason why it cannot be loaded, if any."""
+    reason = F.coalesce(key_reason(), F.col("measures"))
+    return resolved.select(
+        order_by, "indicator_id", "geography_id", "stratifier_id", "period_start", "period_end",
+        _with_own_reasons(reason).alias("reason"),
+    )
+
+
+def measure_rows(observations: DataFrame, order_by: str) -> DataFrame:
+    """Position, typed measures and origin of each observation."""
+    typed = typed_measures()
+    return observations.select(order_by, *(typed[c].alias(c) if c in typed else c for c in (*UPDATED, *KEPT)))
+
+
+def last_and_first(keys: DataFrame, order_by: str) -> DataFrame:
+    """For each fact key the positions of its last and its first record.
+
+    Positions are plain numbers, so tasks combine them in hashed rows before the
+    shuffle: a key held by a third of all rows leaves each task as one row.
+    """
+    keyed = keys.withColumn("stratifier_key", stratifier_key(F.col("stratifier_id")))
     position = F.col(order_by)
+    return keyed.groupBy(*FACT_KEY).agg(F.max(position).alias("last_idx"), F.min(position).alias("first_idx"))
+
+
+def with_measures(chosen: DataFrame, rows: DataFrame, order_by: str) -> DataFrame:
+    """One row per fact key: measures of its last record, origin of its first.
+
+    The records meet their keys in one join on the position, of which there are
+    two at most for a key. Structs travel as units, so a NULL in the last record
+    is kept, not skipped.
+    """
+    wanted = chosen.withColumn(order_by, F.explode(F.array_distinct(F.array("last_idx", "first_idx"))))
+    held = rows.select(order_by, F.struct(*UPDATED).alias("_measures"), F.struct(*KEPT).alias("_origin"))
+    found = wanted.join(held, order_by)
+    last, first = F.col(order_by) == F.col("last_idx"), F.col(order_by) == F.col("first_idx")
     return (
-        keyed.groupBy(*FACT_KEY)
+        found.groupBy(*FACT_KEY)
         .agg(
-            F.max_by(F.struct(*UPDATED), position).alias("_last"),
-            F.min_by(F.struct(*KEPT), position).alias("_first"),
-            F.min(position).alias("first_idx"),
+            F.first(F.when(last, F.col("_measures")), ignorenulls=True).alias("_last"),
+            F.first(F.when(first, F.col("_origin")), ignorenulls=True).alias("_first"),
+            F.min("first_idx").alias("first_idx"),
         )
         .select(*FACT_KEY, "_last.*", "_first.*", "first_idx")
     )
 
 
+def dedupe_batch(rows: DataFrame, order_by: str) -> DataFrame:
+    """One row per fact key of typed fact rows, which are read twice: for their keys, and for what is kept of them."""
+    return with_measures(last_and_first(rows, order_by), rows, order_by)
+
+
 def upsert_observations(
-    batch: DataFrame, target: DataFrame, at: Column, whole: DataFrame | None = None
+    batch: DataFrame, target: DataFrame, at: Column, base: int | None = None
 ) -> DataFrame:
     """The fact table after merging a deduplicated batch.
 
     Known keys take the batch's measures and a new ``updated_at`` and keep id,
-    origin and ``ingested_at``; new keys get an id past the highest. Group-by
-    and join share their keys, so each side is shuffled once. ``target`` may be
-    just the part of the ``whole`` table that can hold keys of the batch.
+    origin and ``ingested_at``; new keys get an id past ``base``, or else past the
+    highest. ``target`` may be just the part of the table that can hold keys of the batch.
     """
-    table = target if whole is None else whole
     old = target.withColumn("stratifier_key", stratifier_key(F.col("stratifier_id")))
     old = old.select(
         *FACT_KEY,
@@ -142,7 +200,7 @@ def upsert_observations(
     known, touched = F.col("old").isNotNull(), F.col("new").isNotNull()
     key = F.col("stratifier_key")
     columns = {
-        "id": F.when(known, F.col("old.id")).otherwise(new_id(table, F.col("new.first_idx"))),
+        "id": F.when(known, F.col("old.id")).otherwise(new_id(target, F.col("new.first_idx"), base)),
         "indicator_id": F.col("indicator_id"),
         "geography_id": F.col("geography_id"),
         "stratifier_id": F.nullif(key, F.lit(NO_STRATIFIER).cast("bigint")),

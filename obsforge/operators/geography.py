@@ -10,8 +10,8 @@ set form:
 * a request creates a member at most once, at its first insertable record; only
   a metro, which never looks for anything, inserts with each record.
 
-Whether a distinct request inserts depends on earlier ones alone. So all are
-taken to insert, and rounds of two joins over the distinct requests correct
+Whether a distinct request inserts depends on earlier ones alone. So all that
+the table doesn't serve are taken to insert, and rounds of two joins over the distinct requests correct
 that from what the last round left, until a round changes nothing: decisions
 settle from the first record on, and rarely hang on more than one another.
 
@@ -91,10 +91,13 @@ def _unless_earlier(candidates: DataFrame, members: DataFrame, *keys: str) -> Da
     return fresh.select(*candidates.columns)
 
 
-def new_geographies(requests: DataFrame, existing: DataFrame, at: Column) -> DataFrame:
+def new_geographies(
+    requests: DataFrame, existing: DataFrame, at: Column, base: int | None = None
+) -> DataFrame:
     """Geography rows the requests add to ``existing``, with ``born``."""
     known = _known_members(existing)
-    wanted = _candidates(requests).withColumn("inserts", F.lit(True))
+    # at first all insert that nothing in the table serves
+    wanted = _decide(_candidates(requests).withColumn("inserts", F.lit(True)), _lookup(known)).drop("before")
     while True:
         # read by both joins of a round: keep the distinct requests, not the records
         wanted = staged(wanted, "geography-candidates")
@@ -108,7 +111,7 @@ def new_geographies(requests: DataFrame, existing: DataFrame, at: Column) -> Dat
     each = requests.where(free_metro & geography_reason().isNull()).withColumnRenamed("idx", "born")
     columns = [*_KEY, "state_name", "born"]
     created = wanted.where(F.col("inserts") & ~free_metro).select(*columns).unionByName(each.select(*columns))
-    return _as_rows(created, existing, at)
+    return _as_rows(created, existing, at, base)
 
 
 def _decide(wanted: DataFrame, earliest: DataFrame) -> DataFrame:
@@ -123,9 +126,9 @@ def _decide(wanted: DataFrame, earliest: DataFrame) -> DataFrame:
     return joined.select(*_KEY, "state_name", "born", "before", (~served & ~taken).alias("inserts"))
 
 
-def _as_rows(members: DataFrame, existing: DataFrame, at: Column) -> DataFrame:
+def _as_rows(members: DataFrame, existing: DataFrame, at: Column, base: int | None = None) -> DataFrame:
     rows = members.select(
-        new_id(existing, F.col("born")).alias("id"),
+        new_id(existing, F.col("born"), base).alias("id"),
         F.lit("USA").alias("country"),
         "state",
         "state_name",

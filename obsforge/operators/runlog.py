@@ -67,11 +67,11 @@ def run_outcome(checked: DataFrame, order_by: str) -> DataFrame:
     )
 
 
-def start_runs(log: DataFrame, starts: DataFrame) -> DataFrame:
+def start_runs(log: DataFrame, starts: DataFrame, base: int | None = None) -> DataFrame:
     """The log after starting runs: one row (run_id, data_source, started_at, position) each.
 
-    ``position`` numbers the runs of one call from 0; it orders their new ids. A known run id is reset to running with zero counts and keeps its source,
-    completion time and error message.
+    ``position`` numbers the runs of one call from 0; it orders their new ids past ``base``. A known run id is reset to
+    running with zero counts and keeps its source, completion time and error message.
     """
     fresh = starts.select(
         F.col("run_id"),
@@ -81,7 +81,7 @@ def start_runs(log: DataFrame, starts: DataFrame) -> DataFrame:
     both = old.join(fresh, "run_id", "full_outer")
     known, begun = F.col("o").isNotNull(), F.col("s").isNotNull()
     columns = {
-        "id": F.when(known, F.col("o.id")).otherwise(new_id(log, F.col("s.position"))),
+        "id": F.when(known, F.col("o.id")).otherwise(new_id(log, F.col("s.position"), base)),
         "run_id": F.col("run_id"),
         "data_source": F.when(known, F.col("o.data_source")).otherwise(F.col("s.data_source")),
         "status": F.when(begun, F.lit("running")).otherwise(F.col("o.status")),

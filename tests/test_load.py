@@ -6,15 +6,18 @@ from decimal import Decimal
 from pathlib import Path
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obsforge.operators.facts import dedupe_batch, upsert_observations
+from obsforge.functions.rules import Rule
+from obsforge.functions.user import user_check, user_transform
+from obsforge.operators.facts import last_and_first, upsert_observations, with_measures
 from obsforge.plans import star_queries
 from obsforge.plans.end_to_end import run_dataset
 from obsforge.plans.loading import load_batch, start_run
 from obsforge.schema import CANONICAL
-from obsforge.session import scratch_path, scratch_root
+from obsforge.session import scratch_path, scratch_root, staged
 from obsforge.sources import pages
 from obsforge.sources.warehouse import Warehouse
 
@@ -101,11 +104,77 @@ def test_untouched_partitions_stay(spark, warehouse):
     kept = {(r.period_start.year, float(r.value)) for r in warehouse.table("observation").collect()}
     assert kept == {(2023, 6.0), (2023, 250.0), (2020, 5.0)}
     assert warehouse.table("observation").select("id").distinct().count() == 3
-    touched = warehouse.touched_facts(warehouse.table("observation").where(F.year("period_start") == 2020))
-    plan = touched._jdf.queryExecution().executedPlan().toString()
-    # the scan itself is limited to the range of the batch
-    assert re.search(r"PartitionFilters: \[[^]]*part_indicator#\d+L >= \d+", plan)
-    assert touched.count() == 1
+    touched = warehouse.touched(warehouse.table("observation").where(F.year("period_start") == 2020))
+    assert [(p.part_year, p.load) for p in touched] == [(2020, 2)]
+    assert warehouse.observations(touched).count() == 1
+
+
+def test_only_touched_partitions_are_read(spark, warehouse):
+    """Two indicators far apart, and all the others between them."""
+    codes = [f"I{i:03}" for i in range(40)]
+    load(warehouse, [{**row("CA", date(2020, 1, 1 + i % 9), 1.0 + i), "indicator_code": c} for i, c in enumerate(codes)], code=None, indicator_from="row")
+    batch = warehouse.table("observation").where(F.col("indicator_id").isin(1, 40))
+    touched = warehouse.touched(batch)
+    files = warehouse.observations(touched).inputFiles()
+    assert len(touched) == 2 and {re.search(r"part_indicator=(\d+)", f)[1] for f in files} == {"1", "40"}
+
+
+def size_below(path):
+    return sum(f.stat().st_size for f in Path(path).rglob("*.parquet"))
+
+
+def test_a_load_writes_its_facts_once(spark, warehouse):
+    load(warehouse, BATCH)
+    written = []
+    plain = DataFrameWriter.parquet
+
+    def parquet(self, path, *args, **options):
+        plain(self, path, *args, **options)
+        written.append((path, size_below(path), spark.read.parquet(path).columns))
+
+    before = size_below(warehouse.path("observation"))
+    DataFrameWriter.parquet = parquet
+    try:
+        load(warehouse, BATCH, "r2", LATER)
+    finally:
+        DataFrameWriter.parquet = plain
+    facts = [w for w in written if w[0].startswith(warehouse.path("observation/load="))]
+    assert len(facts) == 1 and size_below(warehouse.path("observation")) - before == facts[0][1]
+    # on the way only narrow rows are staged: none has the measures
+    assert not [w for w in written if w not in facts and "value_notes" in w[2]]
+
+
+def test_a_broken_load_changes_nothing_and_old_rows_go(spark, warehouse, monkeypatch):
+    load(warehouse, BATCH)
+    reader = warehouse.table("observation")
+    before = reader.orderBy("id").collect()
+    changed = [{**BATCH[0], "value": 9.0}, row("CA", date(2021, 1, 1), 1.0)]
+
+    with monkeypatch.context() as m:
+        m.setattr(Warehouse, "touched", lambda self, batch: [1 / 0])
+        with pytest.raises(ZeroDivisionError):
+            load(warehouse, changed, "r2", LATER)
+    assert warehouse.table("observation").orderBy("id").collect() == before
+    load(warehouse, changed, "r3", LATER)
+    # who began to read before the load reads what was there
+    assert reader.orderBy("id").collect() == before
+    now = {float(r.value) for r in warehouse.table("observation").collect()}
+    assert now == {9.0, 250.0, 1.0}
+    assert warehouse.vacuum() == 1 and warehouse.vacuum() == 0
+    assert {float(r.value) for r in warehouse.table("observation").collect()} == now
+
+
+def test_ids_come_from_the_log(spark, warehouse, monkeypatch):
+    """No load looks for the highest id in a table, and no id is given twice."""
+    monkeypatch.setattr("obsforge.operators.dimensions.highest_id", lambda table: 1 / 0)
+    load(warehouse, BATCH)
+    assert warehouse.highest_id() == 2
+    load(warehouse, [row("TX", date(2023, 1, 15), 1.0), row("NY", date(2023, 1, 16), 2.0), row("OH", date(2023, 1, 16), 2.0)], "r2", LATER)
+    assert warehouse.highest_id() == 5
+    for table in ("observation", "geography", "indicator", "ingestion_log"):
+        ids = [r.id for r in warehouse.table(table).collect()]
+        assert len(set(ids)) == len(ids) and max(ids) <= 5
+    assert [r.state for r in warehouse.table("geography").orderBy("id").collect()] == ["CA", "NY", "TX", "OH"]
 
 
 def test_star_queries_prune_partitions(spark, warehouse):
@@ -164,18 +233,25 @@ def test_restarted_run_keeps_its_end(spark, warehouse):
         "running", "Test Dataset", AT, LATER, 0)
 
 
-def test_upsert_shuffles_each_side_once(spark, warehouse):
+def test_merge_shuffles_each_side_once_by_key(spark, warehouse):
     load(warehouse, BATCH)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         facts = warehouse.table("observation").withColumn("idx", F.col("id"))
-        merged = upsert_observations(dedupe_batch(facts, "idx"), warehouse.table("observation"), F.lit(AT))
+        chosen = staged(last_and_first(facts, "idx"), "chosen")
+        rows = with_measures(chosen, facts, "idx")
+        merged = upsert_observations(rows, warehouse.table("observation"), F.lit(AT), 10)
         plan = merged._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange hashpartitioning(indicator_id") == 2
+        assert "SortAggregate" not in chosen_plan(last_and_first(facts, "idx"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def chosen_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def page_frame(spark, bodies):
     return spark.createDataFrame(list(enumerate(bodies)), "page_no BIGINT, body STRING")
 
@@ -264,3 +340,65 @@ def test_run_with_filter_and_limit(spark, warehouse):
     warehouse.register()
     counted = spark.sql("SELECT count(*) AS n FROM observation o JOIN indicator i ON o.indicator_id = i.id WHERE i.code = 'IND'")
     assert counted.first().n == 2
+
+
+BODY = '[{"state":"CA","date":"2020-01-01","value":1},{"state":"NY","date":"2020-01-02","value":"2"}]'
+
+
+def test_errors_of_any_stage_are_results(spark, warehouse):
+    root = landed(spark, [BODY])
+    raising = lambda v: F.raise_error(F.lit("no such check")).cast("string")
+    done = run_dataset(warehouse, root, "d1", "D", "IND", rules=[Rule("value", raising)], run_id="v", at=AT)
+    assert (done.status, done.records_loaded) == ("failed", 0) and "no such check" in done.message
+    assert [(r.stage, r.status, r.records_failed) for r in done.stages.collect()] == [("ingestion", "success", 0), ("validation", "failed", 2)]
+    done = run_dataset(warehouse, root, "d1", "D", "IND", transforms={"value": raising}, run_id="t", at=AT)
+    assert done.status == "failed" and "no such check" in done.message and done.quarantine.count() == 0
+    assert [(r.stage, r.status) for r in done.stages.collect()][-1] == ("transformation", "failed")
+    log = {r.run_id: r for r in warehouse.table("ingestion_log").collect()}
+    assert {r.status for r in log.values()} == {"failed"} and all("no such check" in r.error_message for r in log.values())
+    assert warehouse.table("observation").count() == 0
+
+
+def test_a_failed_run_goes_on_from_its_last_stage(spark, warehouse, monkeypatch):
+    root = landed(spark, [BODY])
+    with monkeypatch.context() as m:
+        m.setattr(Warehouse, "publish_facts", lambda *a: 1 / 0)
+        done = run_dataset(warehouse, root, "d1", "D", "IND", run_id="on-" + root[-8:], at=AT)
+    assert done.status == "failed" and "division by zero" in done.message
+    assert [(r.stage, r.status) for r in done.stages.collect()][-1] == ("loading", "failed")
+    for stage in ("extract", "validate", "transform_batch"):
+        monkeypatch.setattr(f"obsforge.plans.end_to_end.{stage}", lambda *a, **k: 1 / 0)
+    again = run_dataset(warehouse, root, "d1", "D", "IND", run_id="on-" + root[-8:], at=AT, resume=True)
+    assert (again.status, again.records_loaded) == ("completed", 2) and again.stages.count() == 4
+    assert warehouse.table("ingestion_log").first().status == "completed"
+    fresh = run_dataset(warehouse, root, "d1", "D", "IND", run_id="on-" + root[-8:], at=AT)
+    assert fresh.status == "failed"  # without resuming nothing is taken over
+
+
+def test_a_run_stages_three_wide_tables(spark, warehouse):
+    written = []
+    plain = DataFrameWriter.parquet
+
+    def parquet(self, path, *args, **options):
+        plain(self, path, *args, **options)
+        written.append((path, spark.read.parquet(path).columns))
+
+    root = landed(spark, [BODY])
+    DataFrameWriter.parquet = parquet
+    try:
+        assert run_dataset(warehouse, root, "d1", "D", "IND").status == "completed"
+    finally:
+        DataFrameWriter.parquet = plain
+    wide = [path for path, columns in written if {"record", "value_notes"} & set(columns) and "/observation/" not in path]
+    # pages as records, validated records, observations
+    assert len(wide) == 3
+
+
+def test_a_raising_user_function_costs_one_record(spark, warehouse):
+    body = '[{"state":"CA","date":"2020-01-01","value":"1"},{"state":"NY","date":"2020-01-02","value":"x"},{"state":"TX","date":"2020-01-02","value":"0"}]'
+    rules = [Rule("value", user_check(lambda s: s.map(lambda v: int(v) >= 0)))]
+    transforms = {"value": user_transform(lambda v: 10.0 / int(v), "double", each=True)}
+    done = run_dataset(warehouse, landed(spark, [body]), "d1", "D", "IND", rules=rules, transforms=transforms)
+    assert (done.status, done.records_loaded) == ("completed", 2)
+    assert [r.message for r in done.top_errors.collect()] == ["value: Validation error: invalid literal for int() with base 10: 'x'"]
+    assert sorted(float(r.value) for r in warehouse.table("observation").collect()) == [0.0, 10.0]
