@@ -97,16 +97,16 @@ def new_geographies(
     """Geography rows the requests add to ``existing``, with ``born``."""
     known = _known_members(existing)
     # at first all insert that nothing in the table serves
-    wanted = _decide(_candidates(requests).withColumn("inserts", F.lit(True)), _lookup(known)).drop("before")
+    start = _candidates(requests).withColumn("inserts", F.lit(True))
+    # read many times by a round: keep the distinct requests, not the records
+    wanted = staged(_decide(start, _lookup(known)).drop("before"), "geography-candidates")
     while True:
-        # read by both joins of a round: keep the distinct requests, not the records
-        wanted = staged(wanted, "geography-candidates")
-        members = known.unionByName(wanted.where("inserts").drop("inserts"), allowMissingColumns=True)
-        earliest = staged(_lookup(members), "geography-earliest")
-        decided = _decide(wanted, earliest)
+        # two rounds at a time: each staged table costs more than a round
+        first = _decide(wanted, _lookup(_members(known, wanted))).drop("before")
+        decided = staged(_decide(first, _lookup(_members(known, first))), "geography-candidates")
+        wanted = decided.drop("before")
         if decided.where(F.col("inserts") != F.col("before")).isEmpty():
             break
-        wanted = decided.drop("before")
     free_metro = (F.col("level") == "metro") & F.col("fips_code").isNull()
     each = requests.where(free_metro & geography_reason().isNull()).withColumnRenamed("idx", "born")
     columns = [*_KEY, "state_name", "born"]
@@ -114,6 +114,10 @@ def new_geographies(
     return _as_rows(created, existing, at, base)
 
 
+def _members(known: DataFrame, wanted: DataFrame) -> DataFrame:
+    return known.unionByName(wanted.where("inserts").drop("inserts"), allowMissingColumns=True)
+
+
 def _decide(wanted: DataFrame, earliest: DataFrame) -> DataFrame:
     """Whether each distinct request inserts, given the earliest members under every key; ``before`` is the last answer."""
     found = resolve_geography(wanted, earliest.where("geo_kind <> 'own'"), "born", keep_member=True)

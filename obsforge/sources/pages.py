@@ -28,6 +28,8 @@ SOURCE = "cdc_open_data_api"
 
 # subfolder of packed pages
 _PACKED = "packed"
+# no dataset has as many
+MOST_RECORDS = 1 << 60
 # pages per block of the two-level running sum
 _BLOCK = 4096
 
@@ -39,8 +41,19 @@ def page_folder(root: str, dataset_id: str, use_resource_endpoint: bool = False)
 
 
 def land_pages(pages: DataFrame, folder: str) -> None:
-    """Write (page_no, body) rows packed, many pages to a file."""
-    pages.select(F.col("page_no").cast("bigint").alias("page_no"), "body").write.parquet(f"{folder}/{_PACKED}")
+    """Write (page_no, body) rows packed, many pages to a file, with the number of elements of each page.
+
+    Pages lie in the order of their number, over as many files as shuffles have
+    partitions, so that a reader who wants some of them skips the others.
+    ``elements`` is NULL for a body that is not JSON.
+    """
+    files = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # counted before the pages are dealt out, and of all pages only the numbers are kept
+    counted = parse_pages(pages.withColumn("page_no", F.col("page_no").cast("bigint")), "body").select(
+        "page_no", "body", F.when(F.col("shape") != "malformed", F.col("n")).alias("elements")
+    )
+    ordered = counted.repartitionByRange(files, "page_no").sortWithinPartitions("page_no")
+    ordered.write.parquet(f"{folder}/{_PACKED}")
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -50,6 +63,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)
 
 
+def page_sizes(spark: SparkSession, folder: str) -> DataFrame | None:
+    """(page_no, elements) of packed pages without their bodies; None if the landing doesn't tell."""
+    if not path_exists(spark, f"{folder}/{_PACKED}"):
+        return None
+    sizes = spark.read.schema("page_no BIGINT, elements BIGINT").parquet(f"{folder}/{_PACKED}")
+    # pages packed before elements were counted have none
+    return None if sizes.where("elements is not null").isEmpty() else sizes
+
+
 def read_pages(spark: SparkSession, folder: str) -> DataFrame:
     """(page_no, body) of every landed page.
 
@@ -65,7 +87,7 @@ def read_pages(spark: SparkSession, folder: str) -> DataFrame:
     return files.select(number.try_cast("bigint").alias("page_no"), F.col("value").alias("body"))
 
 
-def parse_pages(pages: DataFrame) -> DataFrame:
+def parse_pages(pages: DataFrame, *keep: str) -> DataFrame:
     """Add the response shape, its items and their number to (page_no, body).
 
     The first element decides: objects with a ``row`` key are unwrapped, other
@@ -73,7 +95,7 @@ def parse_pages(pages: DataFrame) -> DataFrame:
     that is not JSON has the shape ``malformed``.
     """
     doc = F.try_parse_json("body")
-    parsed = pages.select("page_no", doc.alias("doc"))
+    parsed = pages.select(*keep, "page_no", doc.alias("doc"))
     first = F.try_variant_get("doc", "$[0]", "variant")
     is_object = F.schema_of_variant(first).startswith("OBJECT")
     shape = (
@@ -87,7 +109,7 @@ def parse_pages(pages: DataFrame) -> DataFrame:
         F.col("shape").isin("rows", "records"), F.try_variant_get("doc", "$", "array<variant>")
     )
     return shaped.select(
-        "page_no", "shape", items.alias("items"), F.coalesce(F.size(items), F.lit(0)).alias("n")
+        *keep, "page_no", "shape", items.alias("items"), F.coalesce(F.size(items), F.lit(0)).alias("n")
     ).withColumn("n", F.greatest(F.col("n"), F.lit(0)).cast("bigint"))
 
 
@@ -200,7 +222,9 @@ def scan_dataset(pages: DataFrame, filters: Mapping[str, Any] | None = None) ->
     report = PageReport(
         facts["pages"], facts["span"] - facts["numbers"], facts["with_number"] - facts["numbers"], short, facts["broken"]
     )
-    kept = opened.where("hit").join(page_offsets(by_page.select("page", "page_no", "n")), "page")
+    # staged, so that Spark knows its size: the records are shuffled only if the pages are too many to broadcast
+    offsets = staged(page_offsets(by_page.select("page", "page_no", "n")), "page-offsets")
+    kept = opened.where("hit").join(offsets, "page")
     if wanted is None:
         place = F.col("pos")
     else:
@@ -210,6 +234,56 @@ def scan_dataset(pages: DataFrame, filters: Mapping[str, Any] | None = None) ->
     return Scan(kept.select(index.alias("record_index"), "record"), facts["kept"], report)
 
 
+def page_range(sizes: DataFrame, skip: int, take: int) -> tuple[int, int, int] | None:
+    """First and last page number that hold the given elements of all, and how many lie before the first.
+
+    None if there are none. From the counts alone: running sums in two levels, of which two rows are asked for.
+    """
+    known = sizes.where(F.col("page_no").isNotNull()).groupBy("page_no").agg(F.coalesce(F.sum("elements"), F.lit(0)).alias("n"))
+    counts = known.withColumn("page", F.col("page_no"))
+    placed = counts.join(page_offsets(counts), "page")
+    held = placed.where((F.col("offset") < skip + take) & (F.col("offset") + F.col("n") > skip))
+    found = held.agg(F.min("page_no").alias("first"), F.max("page_no").alias("last"), F.min("offset").alias("before")).first()
+    return None if found["first"] is None else (found["first"], found["last"], found["before"])
+
+
+def scan_some(
+    spark: SparkSession, folder: str, filters: Mapping[str, Any] | None, limit: int, offset: int = 0
+) -> Scan:
+    """The records ``offset`` to ``offset + limit`` of those that pass the filters, numbered as in a full scan.
+
+    Reads no more pages than it needs, by the counts of packed pages: without a
+    filter just those that hold these records, else twice as many from the first
+    on until enough records pass. Broken pages beyond them are not met. Loose
+    files are all read.
+    """
+    pages, sizes = read_pages(spark, folder), page_sizes(spark, folder)
+    if sizes is None:
+        found = scan_dataset(pages, filters)
+        return _cut(found, limit, offset, 0)
+    if not filters:
+        edges = page_range(sizes, offset, limit)
+        if edges is None:  # nothing there; the pages around tell whether all are sound
+            return _cut(scan_dataset(pages), limit, offset, 0)
+        first, last, before = edges
+        return _cut(scan_dataset(pages.where(F.col("page_no").between(first, last))), limit, offset, before)
+    take = offset + limit
+    while True:
+        edges = page_range(sizes, take, 1)  # the page after enough elements, if there is one
+        near = pages if edges is None else pages.where(F.col("page_no") <= edges[1])
+        found = scan_dataset(near, filters)
+        if edges is None or found.broken or found.kept >= offset + limit:
+            return _cut(found, limit, offset, 0)
+        take *= 2
+
+
+def _cut(found: Scan, limit: int, offset: int, before: int) -> Scan:
+    """Some of the records of a scan that began ``before`` records after the first."""
+    records = found.records.withColumn("record_index", F.col("record_index") + before) if before else found.records
+    kept = max(0, min(found.kept + before, offset + limit) - offset)
+    return Scan(records.where(F.col("record_index").between(offset, offset + limit - 1)), kept, found.report)
+
+
 def paged_scan(pages: DataFrame) -> DataFrame:
     """(record_index, record) of a whole dataset, numbered from 0 in page order."""
     return scan_dataset(pages).records
@@ -318,11 +392,13 @@ def extract(
     limit: int | None = None,
     filters: Mapping[str, Any] | None = None,
     use_resource_endpoint: bool = False,
+    offset: int = 0,
 ) -> tuple[DataFrame, DataFrame]:
     """Records with lineage, and one row of information about the extraction.
 
     The filters apply first; what passes is numbered densely from 0, and a
-    limit keeps the lowest numbers. Whatever goes wrong, such as a page that is
+    limit keeps the lowest numbers from ``offset`` on, of packed pages without
+    reading more of them than that needs. Whatever goes wrong, such as a page that is
     not JSON, an element that is not an object, or a folder that is not there,
     fails the extraction as a whole: status ``failed``, the error, no records.
     """
@@ -333,11 +409,14 @@ def extract(
         described = metadata_path(root, dataset_id)
         if path_exists(spark, described):
             metadata = spark.read.text(described, wholetext=True).first()[0]
-        found = scan_dataset(read_pages(spark, page_folder(root, dataset_id, use_resource_endpoint)), filters)
+        folder = page_folder(root, dataset_id, use_resource_endpoint)
+        if limit or offset:
+            found = scan_some(spark, folder, filters, limit or MOST_RECORDS, offset)
+        else:
+            found = scan_dataset(read_pages(spark, folder), filters)
         report, error = found.report, found.report.error()
         if error is None:
-            records = found.records.where(F.col("record_index") < limit) if limit else found.records
-            kept = min(found.kept, limit) if limit else found.kept
+            records, kept = found.records, found.kept
     except PySparkException as failure:
         error = str(failure)
     if records is None:

@@ -402,3 +402,54 @@ def test_a_raising_user_function_costs_one_record(spark, warehouse):
     assert (done.status, done.records_loaded) == ("completed", 2)
     assert [r.message for r in done.top_errors.collect()] == ["value: Validation error: invalid literal for int() with base 10: 'x'"]
     assert sorted(float(r.value) for r in warehouse.table("observation").collect()) == [0.0, 10.0]
+
+
+@pytest.fixture(scope="module")
+def packed(spark):
+    """A hundred pages of one to five records each, numbered through, and one that is not JSON."""
+    root = scratch_path(spark, "landing")
+    sizes = [1 + i * 7 % 5 for i in range(100)]
+    starts = [sum(sizes[:i]) for i in range(100)]
+    bodies = ["[" + ",".join(f'{{"a":{start + j}}}' for j in range(size)) + "]" for start, size in zip(starts, sizes, strict=True)]
+    pages.land_pages(page_frame(spark, [*bodies, "broken"]), pages.page_folder(root, "d1"))
+    return root, sizes, starts
+
+
+def test_a_limit_reads_the_pages_it_needs(spark, packed):
+    root, sizes, starts = packed
+    total = sum(sizes)
+    for limit, offset in ((10, 0), (1, 0), (3, starts[50]), (7, starts[20] - 1), (50, total - 10), (5, total + 3)):
+        records, info = pages.extract(spark, root, "d1", "r", AT, limit=limit, offset=offset)
+        found = sorted((r.record_index, r.v) for r in records.select("record_index", F.try_variant_get("record", "$.a", "long").alias("v")).collect())
+        wanted = range(offset, min(total, offset + limit))
+        needed = [i for i in range(100) if starts[i] < offset + limit and starts[i] + sizes[i] > offset]
+        report = info.first()
+        if offset + limit <= total:
+            assert found == [(i, i) for i in wanted] and report.records_extracted == len(wanted)
+            assert (report.pages, report.status) == (len(needed), "success")
+        else:  # it goes to the end, where a page is broken
+            assert report.status == "failed" and f"1 of {report.pages} pages" in report.error
+    assert pages.extract(spark, root, "d1", "r", AT)[1].first().status == "failed"
+
+
+def test_a_page_is_read_from_its_file_alone(spark, packed):
+    folder = pages.page_folder(packed[0], "d1")
+    some = pages.read_pages(spark, folder).where(F.col("page_no").between(40, 41))
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(page_no,40), LessThanOrEqual(page_no,41)" in plan
+    # ranges of pages do not overlap, so the footers of all other files say that they hold none
+    spans = sorted(tuple(r) for r in spark.read.parquet(f"{folder}/packed").groupBy(F.input_file_name()).agg(F.min("page_no"), F.max("page_no")).drop("input_file_name()").collect())
+    assert len(spans) == 4 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    assert "body" not in pages.page_sizes(spark, folder)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_limit_after_a_filter_widens_until_enough_pass(spark, packed):
+    root, _, _ = packed
+    for wanted, limit, offset, most in (([5, 20, 21], 2, 1, 20), ([250], 1, 0, 101)):
+        records, info = pages.extract(spark, root, "d1", "r", AT, limit=limit, filters={"a": wanted}, offset=offset)
+        report = info.first()
+        found = sorted((r.record_index, r.v) for r in records.select("record_index", F.try_variant_get("record", "$.a", "long").alias("v")).collect())
+        if report.status == "success":
+            assert found == list(enumerate(wanted))[offset : offset + limit] and report.pages <= most
+        else:
+            assert report.pages == 101  # it had to go to the end, where a page is broken
