@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from obsforge.plans import star_queries as star
 from obsforge.plans.end_to_end import RunResult, run_dataset
 from obsforge.plans.loading import load_batch
 from obsforge.schema import CANONICAL
-from obsforge.session import scratch_path
+from obsforge.session import scratch_path, staged
 from obsforge.sources import pages
 from obsforge.sources.warehouse import Warehouse
 
@@ -304,12 +304,64 @@ def stage_stats(data: Data) -> DataFrame:
 )
 def latest_after_load(data: Data) -> DataFrame:
     warehouse, _ = loaded(data)
-    latest = star.latest_per_indicator(warehouse.table("observation"), warehouse.table("indicator"))
+    latest = star.latest_per_indicator(warehouse.newest_observations(), warehouse.table("indicator"))
     facts = _facts(warehouse).select("period_start", "value").distinct().withColumn("value_known", F.lit(True))
     known = latest.join(facts, ["period_start", "value"], "left")
     return known.select("code", "name", "period_start", F.coalesce("value_known", F.lit(False)).alias("value_known"))
 
 
+# Facts of three loads with parts as indicators: the lines of orders, of which those with the same number count as one.
+_LINES = (
+    "SELECT l_orderkey * 8 + l_linenumber AS k, concat('PART_', CAST(min(l_partkey) % 20 AS STRING)) AS indicator_code, "
+    "substring('ALAKAZARCACOCTDEFLGA', CAST(2 * (min(l_suppkey) % 10) + 1 AS INT), 2) AS state, CAST(min(l_shipdate) AS DATE) AS day, "
+    "CAST(min(l_extendedprice) AS DOUBLE) AS price, l_orderkey % 3 AS batch FROM lineitem GROUP BY l_orderkey, l_linenumber"
+)
+
+
+def three_loads(data: Data) -> Warehouse:
+    """A warehouse after loading the lines of every third order in turn, a day apart."""
+    rows = staged(data._sql(_LINES.replace("FROM lineitem", "FROM {lineitem}"), "lineitem"), "lines")
+    given = {
+        "indicator_code": F.col("indicator_code"), "state": F.col("state"), "geography_level": F.lit("state"),
+        "period_start": F.col("day"), "period_end": F.col("day"), "value": F.col("price"), "data_source": F.lit("Lines"),
+    }
+    columns = [given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in CANONICAL.fields]
+    warehouse = Warehouse(data.spark, scratch_path(data.spark, "warehouse")).create()
+    for batch in range(3):
+        observations = rows.where(F.col("batch") == batch).select("k", *columns)
+        load_batch(warehouse, observations, "k", "Lines", f"run-{batch}", AT + timedelta(days=batch), indicator_from="row")
+    return warehouse
+
+
+# a fact is as old as the first load with its key, and has the value of the last record of the last such load
+_FACTS = (
+    f"WITH l AS ({_LINES}), f AS (SELECT indicator_code AS code, state, day, min(batch) AS came, arg_max(price, batch * 1000000000000 + k) AS price, "
+    "arg_min(k, batch * 1000000000000 + k) AS first_k FROM l GROUP BY 1, 2, 3), "
+    "base AS (SELECT batch, coalesce(sum(top) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ids "
+    "FROM (SELECT batch, max(k) + 1 AS top FROM l GROUP BY batch) t), "
+    "o AS (SELECT f.*, CAST(price AS DECIMAL(15,4)) AS value, CAST(ids + first_k + 1 AS BIGINT) AS id FROM f JOIN base ON batch = came) "
+)
+
+
+@query(
+    "latest_of_warehouse",
+    _FACTS + "SELECT code, code AS name, value, day AS period_start FROM "
+    "(SELECT *, row_number() OVER (PARTITION BY code ORDER BY day DESC, id) AS rn FROM o) r WHERE rn = 1",
+)
+def latest_of_warehouse(data: Data) -> DataFrame:
+    warehouse = three_loads(data)
+    return star.latest_per_indicator(warehouse.newest_observations(), warehouse.table("indicator"))
+
+
+@query(
+    "recent_of_warehouse",
+    _FACTS + "SELECT id, code AS indicator_code, code AS indicator_name, state, CAST(NULL AS VARCHAR) AS county, day AS period_start, value, "
+    "'Lines' AS data_source FROM o ORDER BY came DESC, id DESC LIMIT 10",
+)
+def recent_of_warehouse(data: Data) -> DataFrame:
+    return star.recent_of_warehouse(three_loads(data))
+
+
 # Places of all levels, of none and of one that no member can have. A state's place may name a county, a metro is a
 # member for each record, and a nation with a state needs a nation that is there already.
 _LEVELS = (

@@ -8,10 +8,13 @@ threshold. Every limited result is ordered by a total key.
 from __future__ import annotations
 
 from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from obsforge.sources.warehouse import Warehouse
+
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Row count of each table."""
@@ -69,6 +72,28 @@ def recent_observations(
     )
 
 
+def recent_of_warehouse(warehouse: Warehouse, limit: int = 10) -> DataFrame:
+    """``recent_observations`` of a warehouse, from the partitions that its newest runs wrote.
+
+    Facts keep the moment they came in, and the log says when runs began. So the
+    scan asks for what came in since the newest run, the newest two, four and so
+    on, until there are enough facts with a place and an indicator.
+    """
+    spark = warehouse.spark
+    indicator, geography = warehouse.table("indicator"), warehouse.table("geography")
+    begun = warehouse.table("ingestion_log").select("started_at").distinct().orderBy(F.desc("started_at"))
+    runs = 1
+    while True:
+        moments = [r.started_at for r in begun.limit(runs).collect()]
+        whole = len(moments) < runs
+        facts = warehouse.observations() if whole else warehouse.recent_observations(moments[-1])
+        found = recent_observations(facts, indicator, geography, limit)
+        rows = found.collect()  # limit rows at most
+        if whole or len(rows) == limit:
+            return spark.createDataFrame(rows, found.schema)
+        runs *= 2
+
+
 def list_indicators(indicator: DataFrame) -> DataFrame:
     return indicator.select("code", "name", "unit", "category").orderBy("code")
 
@@ -122,24 +147,35 @@ def state_series(
     )
 
 
+# more than any id; latest days first, and of one day the lowest id
+_IDS = Decimal(10**19)
+
+
 def latest_per_indicator(observation: DataFrame, indicator: DataFrame) -> DataFrame:
     """Latest observation of each indicator.
 
     Aggregated on the surrogate key before the join: each task hands on one row
-    per indicator, so an indicator with a third of all facts is no hot spot.
+    per indicator, so an indicator with a third of all facts is no hot spot. Day
+    and id are packed into one number, which keeps the aggregate hashed. Given
+    ``Warehouse.newest_observations()`` it reads one partition per indicator.
     """
-    newest = observation.groupBy("indicator_id").agg(
-        F.max_by(F.struct("value", "period_start"), F.struct("period_start", -F.col("id"))).alias(
-            "latest"
-        )
+    days = F.datediff("period_start", F.lit("1970-01-01").cast("date")).cast("decimal(10,0)")
+    rank = days * F.lit(_IDS) + (F.lit(_IDS - 1) - F.col("id").cast("decimal(19,0)"))
+    newest = (
+        observation.select("indicator_id", "value", rank.cast("decimal(38,0)").alias("rank"))
+        .groupBy("indicator_id")
+        .agg(F.max_by("value", "rank").alias("value"), F.max("rank").alias("rank"))
     )
+    # the remainder is never negative, so the quotient rounds down before 1970 as well
+    left = F.pmod("rank", F.lit(_IDS))
+    day = ((F.col("rank") - left) / F.lit(_IDS)).cast("int")
     return (
         _named(newest, indicator)
         .select(
             F.col("indicator_code").alias("code"),
             F.col("indicator_name").alias("name"),
-            "latest.value",
-            "latest.period_start",
+            "value",
+            F.date_add(F.lit("1970-01-01").cast("date"), day).alias("period_start"),
         )
         .orderBy("code")
     )

@@ -453,3 +453,27 @@ def test_a_limit_after_a_filter_widens_until_enough_pass(spark, packed):
             assert found == list(enumerate(wanted))[offset : offset + limit] and report.pages <= most
         else:
             assert report.pages == 101  # it had to go to the end, where a page is broken
+
+
+def test_latest_reads_the_newest_year_of_each_indicator(spark, warehouse):
+    load(warehouse, [row("CA", date(2019, 5, 5), 1.0), row("NY", date(2021, 1, 2), 2.0), row("CA", date(2021, 1, 2), 3.0), row("CA", date(1969, 12, 31), 8.0)])
+    load(warehouse, [row("CA", date(1960, 5, 5), 4.0), row("CA", date(1959, 5, 5), 5.0)], "r2", LATER, code="OLD")
+    facts = warehouse.newest_observations()
+    assert {re.search(r"part_indicator=\d+/part_year=\d+", f)[0] for f in facts.inputFiles()} == {"part_indicator=1/part_year=2021", "part_indicator=5/part_year=1960"}
+    for source in (facts, warehouse.table("observation")):
+        found = star_queries.latest_per_indicator(source, warehouse.table("indicator"))
+        assert [(r.code, float(r.value), r.period_start) for r in found.collect()] == [("OLD", 4.0, date(1960, 5, 5)), ("TEST_INDICATOR", 2.0, date(2021, 1, 2))]
+        assert "SortAggregate" not in chosen_plan(found)
+
+
+def test_recent_facts_come_from_recent_runs(spark, warehouse):
+    for day in range(1, 6):
+        load(warehouse, [row("CA", date(2000 + day, 1, i + 1), 1.0 * i) for i in range(3)], f"r{day}", datetime(2024, 1, day))
+    load(warehouse, [row("CA", date(2001, 1, 1), 9.0)], "r6", datetime(2024, 1, 6))  # adds nothing new
+    since = warehouse.recent_observations(datetime(2024, 1, 4))
+    assert since.count() == 6
+    assert {re.search(r"part_year=(\d+)", f)[1] for f in since.inputFiles()} == {"2001", "2004", "2005"}
+    assert "GreaterThanOrEqual(ingested_at" in chosen_plan(since)
+    plain = star_queries.recent_observations(warehouse.table("observation"), warehouse.table("indicator"), warehouse.table("geography"), 7)
+    assert star_queries.recent_of_warehouse(warehouse, 7).collect() == plain.collect()
+    assert star_queries.recent_of_warehouse(warehouse, 99).count() == 15
