@@ -5,14 +5,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from obsforge.llm.text import crc_fold
+from obsforge.session import released, staged
 
 
-#: Classes that a model learns at most, the most frequent ones.
-MOST_CLASSES = 256
+#: Labelled documents of all classes together that a sample has at most, if there are fewer classes.
+MOST_ROWS = 10_000
 
 
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
@@ -20,33 +22,60 @@ def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     return F.coalesce(crc_fold(doc_id, folds) == fold, F.lit(False))
 
 
+def first_by_hash(known: DataFrame, classes: dict[object, int], each: int) -> DataFrame:
+    """doc_id and label of the ``each`` documents of each class that come first by a hash of their id, fewer if there are.
+
+    Only documents with a hash below what that many of the class need are ranked, so a class with most rows is no group
+    that one task must sort.
+    """
+    spark, place = known.sparkSession, F.xxhash64("doc_id")
+    share = place.cast("double") / float(1 << 64) + 0.5
+    rank = F.row_number().over(Window.partitionBy("label").orderBy(place, "doc_id"))
+    room = 1
+    while True:
+        enough = room * (each + 8 * each**0.5 + 16)
+        cuts = spark.createDataFrame(
+            [(value, enough / n) for value, n in classes.items()], StructType([known.schema["label"], StructField("cut", DoubleType())])
+        )
+        near = known.join(cuts, "label").where(share < F.col("cut")).withColumn("rank", rank).where(F.col("rank") <= each)
+        drawn = staged(near.select("doc_id", "label"), "drawn")
+        got = {r.label: r.n for r in drawn.groupBy("label").agg(F.count("*").alias("n")).collect()}  # a row for each class
+        if all(got.get(value, 0) == min(each, n) for value, n in classes.items()):
+            return drawn
+        room *= 2
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int, per_class: int, max_bytes: int
 ) -> tuple[list[tuple[bytes, object]], dict[object, int]]:
     """Whole texts with their label, at most ``per_class`` of each class, and how many labels each class has.
 
-    All of them lie outside the held-out fold.
+    All of them lie outside the held-out fold, and all classes together have at most ``MOST_ROWS``, or one for each.
 
     Documents come in the order of a hash of their id, so a run repeats. Texts of more than ``max_bytes`` are left
-    out, which bounds what the driver gets. Of several labels of a document the largest counts.
+    out, which bounds what the driver gets. Of several labels of a document the largest counts, of several texts the
+    first by hash. Labels are read once and texts once, however many classes there are.
     """
-    known = (
-        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).alias("label"))
-        .where("doc_id is not null and label is not null")
-        .where(~held_out(F.col("doc_id"), folds, fold))
-        .groupBy("doc_id")
-        .agg(F.max("label").alias("label"))
-    )
-    sizes = known.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label").limit(MOST_CLASSES)
-    classes = {r.label: r.n for r in sizes.collect()}
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
-    found = []
-    for value in classes:
-        drawn = known.where(F.col("label") == F.lit(value)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
-        # per_class rows at most
-        rows = texts.join(F.broadcast(drawn.select("doc_id")), "doc_id").where(F.octet_length("text").between(1, max_bytes))
-        found += [(bytes(r.text), value) for r in sorted(rows.dropDuplicates(["doc_id"]).collect(), key=lambda r: r.doc_id)]
-    return found, classes
+    with released(docs.sparkSession):
+        known = staged(
+            labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).alias("label"))
+            .where("doc_id is not null and label is not null")
+            .where(~held_out(F.col("doc_id"), folds, fold))
+            .groupBy("doc_id")
+            .agg(F.max("label").alias("label")),
+            "labels",
+        )
+        sizes = known.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label")
+        classes = {r.label: r.n for r in sizes.collect()}  # a row for each class
+        if not classes:
+            return [], {}
+        drawn = first_by_hash(known, classes, max(1, min(per_class, MOST_ROWS // len(classes))))
+        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
+        sound = texts.where(F.octet_length("text").between(1, max_bytes)).join(drawn, "doc_id")
+        once = sound.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first"))
+        rows = once.select("doc_id", "label", "first.text").collect()
+    order = {value: turn for turn, value in enumerate(classes)}
+    return [(bytes(r.text), r.label) for r in sorted(rows, key=lambda r: (order[r.label], r.doc_id))], classes
 
 
 @dataclass

@@ -11,6 +11,7 @@ Positions in the seeded order are running sums in two levels, within and over ``
 source with a third of all documents is no single task's.
 
 Defined cases: null and empty texts have size 0, and a null source is a source of its own, last in order. A document
+without sources, with an empty or a null array, is not taken. A document
 of size 0 counts as in a stretch like any other but adds nothing, so it takes 0 words. Rows that share a ``doc_id``
 are documents of their own. The input row comes along in ``row``, so its columns may have any name. An empty table
 gives an empty table. The same rows and seed give the same result.
@@ -68,7 +69,8 @@ def route(sizes: dict[tuple, int], quotas: dict[str | None, int]) -> dict[tuple,
     """
     flow: dict[tuple, dict[str | None, int]] = {p: dict.fromkeys(p, 0) for p in sizes}
     free = dict(quotas)
-    givers: dict[str | None, set[tuple]] = {s: set() for s in quotas}
+    # in the order in which they began to give, so that equal inputs have equal flows
+    givers: dict[str | None, dict[tuple, None]] = {s: {} for s in quotas}
     for _ in range(MAX_COPIES):
         for pattern, capacity in sizes.items():
             while capacity > 0:
@@ -100,13 +102,13 @@ def route(sizes: dict[tuple, int], quotas: dict[str | None, int]) -> dict[tuple,
                 while came[s]:
                     other, before = came[s]
                     flow[other][s] += amount
-                    givers[s].add(other)
+                    givers[s][other] = None
                     flow[other][before] -= amount
                     if not flow[other][before]:
-                        givers[before].discard(other)
+                        givers[before].pop(other, None)
                     s = before
                 flow[pattern][s] += amount
-                givers[s].add(pattern)
+                givers[s][pattern] = None
     return flow
 
 
@@ -116,9 +118,10 @@ def mix(docs: DataFrame, members: Column, seed: int = 0, weights: tuple[int, ...
     ``members`` is an array of source names over the columns of ``docs``; sources has their sizes and targets.
     """
     spark = docs.sparkSession
+    known = F.coalesce(members, F.array().cast("array<string>"))
     order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string")))
     sized = (
-        packed(docs.withColumn("obsforge_members", F.array_sort(F.array_distinct(members))))
+        packed(docs.withColumn("obsforge_members", F.array_sort(F.array_distinct(known))))
         .select("doc_id", "text", "row.obsforge_members", F.col("row").dropFields("obsforge_members").alias("row"))
         .withColumnRenamed("obsforge_members", "members")
         .withColumns({"size": word_count(F.col("text")), "pattern": F.to_json("members"), "place": order})
@@ -158,7 +161,8 @@ def mix(docs: DataFrame, members: Column, seed: int = 0, weights: tuple[int, ...
     turns = f"filter(sequence(0, {MAX_COPIES - 1}), k -> {middle} >= 2 * c.low and {middle} < 2 * c.high)"
     return (
         sized.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-        .join(bases.join(routes, "pattern"), ["pattern", "bucket"])
+        .join(bases, ["pattern", "bucket"])
+        .join(routes, "pattern")
         .withColumn("start", F.col("base") + F.col("inside"))
         .withColumn(
             "routes",
