@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,3 +52,17 @@ def _digest(edges: DataFrame) -> tuple:
     """Number and checksum of the edges: one row."""
     sums = [F.sum(F.xxhash64("child", "parent", F.lit(seed)).cast("decimal(20,0)")) for seed in (1, 2)]
     return tuple(edges.agg(F.count("*"), *sums).first())
+
+
+def least_labels(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """For each of n nodes in a task the smallest node that it reaches over the edges."""
+    labels = np.arange(n)
+    while True:
+        low = np.minimum(labels[left], labels[right])
+        after = labels.copy()
+        np.minimum.at(after, left, low)
+        np.minimum.at(after, right, low)
+        after = after[after]
+        if (after == labels).all():
+            return labels
+        labels = after

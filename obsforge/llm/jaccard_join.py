@@ -19,9 +19,10 @@ compared with one pivot per key, then links join into components, and only sets
 further; a pair inside a component is linked already, so no component is lost. A key of more than ``MANY`` sets has a
 pivot for each range of sizes, with which all sets that may match one of that range are compared. Sets that were compared
 with the same pivot, such as hundreds of edited copies of one text, are matched on what they differ in from it: A and B
-differ in exactly those shingles in which their differences from the pivot differ. These are small sets, what was added
-before what was removed, rare ones first, and similar sets must share an early shingle of them. All other pairs are
-those that share enough keys. Intersections are exact.
+differ in exactly those shingles in which their differences from the pivot differ. So blocks of these differences are
+multiplied, as rows of zeros and ones, which gives the similarity of each pair exactly and without its texts. A block
+product hands on a root for each set that it links, never its pairs. All other pairs are those that share enough keys.
+Intersections are exact.
 
 Defined cases: without words a document has size 0 and links with nothing; with fewer words than a shingle needs,
 all its words are its one shingle. A null ``doc_id`` links with nothing. Rows that share a ``doc_id`` but not a text
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from obsforge.llm.components import components
+from obsforge.llm.components import components, least_labels
 from obsforge.llm.hashing import mix, shingle_hashes, texts_of, word_hashes
 from obsforge.session import staged
 
@@ -53,6 +54,10 @@ MOST_LIGHT = 512
 MOST_LEFT, PER_LEFT = 8, 8
 #: Pairs of sets are only enumerated for keys of at most this many.
 MANY = 256
+#: Sets of a block whose differences from a pivot are compared at once, and shingles of one product.
+BLOCK, TOKENS = 128, 4096
+#: Differing shingles that a task hands on at once.
+DIFFERENCES = 1 << 20
 #: Documents a task holds at once.
 BATCH_ROWS = 512
 
@@ -178,11 +183,10 @@ def signatures(docs: DataFrame, shingle: int, percent: int, light: int, costs: n
     return staged(_texts(docs).mapInArrow(sign, schema), "signatures")
 
 
-def _compared(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int, costs: np.ndarray) -> DataFrame:
+def _compared(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs (a, b) with ``linked``, whether their whole texts are similar enough, and how b differs from a.
 
-    ``d`` is the number of shingles that one of them lacks. Of these, ``index`` and ``probe`` are the first in the
-    order of a's group: those that a lacks, then those that b lacks, rare ones first. a is the side that occurs often.
+    ``differ`` are the shingles that one of them lacks, ``n_b`` the size of b. a is the side that occurs often.
     """
     pairs = staged(pairs, "pairs")
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
@@ -190,103 +194,113 @@ def _compared(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int, cos
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
 
-    def sets(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def sets(texts: list[bytes]) -> Iterator[np.ndarray]:
         for words in word_hashes(texts):
-            shingles, first = np.unique(shingle_hashes(words, shingle), return_index=True)
-            yield shingles, expected_frequency(words, costs, shingle)[first] if len(words) else first
-
-    def lacking(some: tuple[np.ndarray, np.ndarray], other: np.ndarray) -> np.ndarray:
-        """What is in some and not in the other, rare ones first."""
-        alone = ~np.isin(some[0], other, assume_unique=True)
-        hashes, rank = some[0][alone], some[1][alone]
-        return hashes[np.lexsort((hashes, rank))]
+            yield np.unique(shingle_hashes(words, shingle))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, own = None, None
+        names = ["a", "b", "linked", "n_b", "differ"]
         for batch in batches:
-            rows = []
-            for text, other in zip(texts_of(batch, "text_a"), sets(texts_of(batch, "text_b")), strict=True):
+            at, size, rows = 0, 0, []
+            for turn, (text, other) in enumerate(zip(texts_of(batch, "text_a"), sets(texts_of(batch, "text_b")), strict=True), 1):
                 if text != last:
                     own, last = next(sets([text])), text
-                added, removed = lacking(other, own[0]), lacking(own, other[0])
-                both = len(other[0]) - len(added)
-                union = len(own[0]) + len(added)
-                differ = np.concatenate((added, removed)).view(np.int64)
-                most = most_apart(len(other[0]), percent)
-                rows.append((100 * both >= percent * union, len(differ), len(other[0]), differ[: most // 2 + 1], differ[: most + 1]))
-            linked, d, n, index, probe = zip(*rows, strict=True) if rows else ([],) * 5
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("a"),
-                    batch.column("b"),
-                    pa.array(linked, pa.bool_()),
-                    pa.array(d, pa.int64()),
-                    pa.array(n, pa.int64()),
-                    pa.array(index, pa.list_(pa.int64())),
-                    pa.array(probe, pa.list_(pa.int64())),
-                ],
-                names=["a", "b", "linked", "d", "n_b", "index", "probe"],
-            )
-
-    schema = "a long, b long, linked boolean, d long, n_b long, index array<long>, probe array<long>"
+                differ = np.setxor1d(own, other, assume_unique=True)
+                union = (len(own) + len(other) + len(differ)) // 2
+                rows.append((100 * (union - len(differ)) >= percent * union, len(other), differ.view(np.int64)))
+                size += len(differ)
+                if size >= DIFFERENCES or turn == batch.num_rows:
+                    linked, n, lists = zip(*rows, strict=True)
+                    ids = [batch.column(c).slice(at, len(rows)) for c in ("a", "b")]
+                    columns = [*ids, pa.array(linked, pa.bool_()), pa.array(n, pa.int64()), pa.array(lists, pa.list_(pa.int64()))]
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
+                    at, size, rows = turn, 0, []
+
+    schema = "a long, b long, linked boolean, n_b long, differ array<long>"
     return pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(compare, schema)
 
 
-def most_apart(size: int, percent: int) -> int:
-    """Most shingles that a set of this size and a similar one don't share."""
-    return (100 - percent) * size // percent
-
-
-#: Of two sets that are not linked through their pivot, but closer to it than they need be to each other, one differs
-#: from it in at most this many shingles: rounding of the bounds leaves no more room.
-_CLOSE = 3
-
-
-def _by_differences(tested: DataFrame, roots: DataFrame, percent: int, sizes_fit: Column) -> DataFrame:
-    """Pairs (a, b) of different components that were compared with the same pivot and may be similar.
-
-    Sets that differ from it in d_a and d_b shingles, and from each other in at most h, share (d_a + d_b - h) / 2 of
-    these. With d_a <= d_b one of the first h / 2 + 1 of a is one of the first h + 1 of b. If d_a + d_b <= h nothing
-    need be shared; then d_a is at most ``_CLOSE``, and such pairs meet under a key of their own.
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set on the left shares with each on the right."""
+
+    def flat(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+
+    sides = [flat(left), flat(right)]
+    shared = np.intersect1d(sides[0][0], sides[1][0])
+    total = np.zeros((len(left), len(right)), dtype=np.int64)
+    for first in range(0, len(shared), TOKENS):
+        some = shared[first : first + TOKENS]
+        rows = []
+        for (tokens, whose), many in zip(sides, (len(left), len(right)), strict=True):
+            place = np.minimum(np.searchsorted(some, tokens), len(some) - 1)
+            held = some[place] == tokens
+            ones = np.zeros((many, len(some)), dtype=np.float32)  # exact: no product has more than TOKENS terms
+            ones[whose[held], place[held]] = 1
+            rows.append(ones)
+        total += (rows[0] @ rows[1].T).astype(np.int64)
+    return total
+
+
+def block_links(table: pa.Table, percent: int) -> pa.Table:
+    """a and b: each set that links with one of another component, and the smallest set it reaches in this pair of blocks."""
+    table = table.take(pa.array(np.argsort(table.column("x").to_numpy(), kind="stable")))
+    ids, n, root, block, home = (table.column(c).to_numpy() for c in ("x", "n", "root", "block", "home"))
+    sets = [np.asarray(x, dtype=np.int64) for x in table.column("differ").to_numpy()]
+    apart = np.array([len(x) for x in sets])
+    low, high = (table.column(c)[0].as_py() for c in ("low", "high"))
+    left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+    linked = np.zeros((0, 0), dtype=bool)
+    if len(left) and len(right):
+        differ = apart[left][:, None] + apart[right] - 2 * _common([sets[i] for i in left], [sets[i] for i in right])
+        union = (n[left][:, None] + n[right] + differ) // 2
+        linked = 100 * (union - differ) >= percent * union
+        linked &= (root[left][:, None] != root[right]) & (home[left][:, None] | home[right])
+    i, j = np.nonzero(linked)
+    labels = least_labels(len(ids), left[i], right[j])
+    found = np.unique(np.concatenate((left[i], right[j])))
+    return pa.table({"a": ids[labels[found]], "b": ids[found]})
+
+
+def _by_differences(tested: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join different components among the sets that were compared with the same pivot.
+
+    In ranges of sizes, as for keys of many; of each range, blocks of ``BLOCK`` sets meet in pairs.
     """
     placed = staged(
         tested.join(roots, tested.b == roots.node, "left").select(
-            F.col("a").alias("pivot"), F.col("b").alias("x"), F.col("n_b").alias("n"), "d", "linked", "index", "probe",
-            F.coalesce("root", "b").alias("root"),
+            F.col("a").alias("pivot"), F.col("b").alias("x"), F.col("n_b").alias("n"), "differ", F.coalesce("root", "b").alias("root")
         ),
         "differences",
+    )
+    ranged = placed.withColumn("own", F.expr(_range_of(percent))).withColumn("range", F.explode(F.expr("array(own, own + 1)")))
+    key = ["pivot", "range"]
+    several = ranged.groupBy(*key).agg(
+        F.min("root").alias("least"), F.max("root").alias("most"), F.bool_or(F.col("own") == F.col("range")).alias("homes"),
+        F.expr(f"cast(ceil(count(*) / {BLOCK}) as int)").alias("blocks"),
     )
-    several = placed.groupBy("pivot").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    several = staged(several.select("pivot"), "pivots")
-    members = placed.join(several, "pivot", "left_semi")
-    close = F.array().cast("array<bigint>")
-    here = F.array(F.lit(None).cast("bigint"))
-    index = F.concat("index", F.when(F.col("d") <= _CLOSE, here).otherwise(close))
-    barely = ~F.col("linked") & (F.col("d") <= F.expr(f"(100 - {percent}) * n div {percent}"))
-    probe = F.concat("probe", F.when(barely, here).otherwise(close))
-    sides = [
-        members.select("*", F.posexplode(tokens).alias("place", "token")).selectExpr(
-            "pivot", "token", f"place AS place_{side}", f"x AS {side}", f"n AS n_{side}", f"d AS d_{side}", f"root AS root_{side}"
-        )
-        for side, tokens in (("a", index), ("b", probe))
-    ]
-    # null is the key of close pairs
-    keyed = [
-        df.withColumns({"close": F.col("token").isNull(), "token": F.coalesce("token", F.lit(0).cast("bigint"))}) for df in sides
-    ]
-    # at the first shingle they share there must be enough left on both sides
-    apart = f"(n_a + n_b - 2 * ceil({percent} * (n_a + n_b) / {100 + percent}))"
-    enough = f"close or 2 * least(d_a - place_a, d_b - place_b) >= d_a + d_b - {apart}"
-    return (
-        keyed[0]
-        .join(keyed[1], ["pivot", "token", "close"])
-        .where(enough)
-        .where("root_a <> root_b and (d_a < d_b or d_a = d_b and a < b)")
-        .where(sizes_fit)
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
+    several = staged(several.where("least < most and homes").select(*key, "blocks"), "pivots")
+    seats = ranged.join(several, key).select(
+        *key, "x", "n", "root", "differ", "blocks", (F.col("own") == F.col("range")).alias("home"),
+        F.expr("cast(pmod(xxhash64(x), blocks) as int)").alias("block"),
+    )
+    other = F.explode(F.expr("sequence(0, blocks - 1)"))
+    pairs = seats.withColumn("other", other).select(
+        *key, "x", "n", "root", "differ", "home", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
     )
 
+    def match(table: pa.Table) -> pa.Table:
+        return block_links(table, percent)
+
+    return pairs.groupBy(*key, "low", "high").applyInArrow(match, "a long, b long")
+
+
+def _range_of(percent: int) -> str:
+    """SQL: the number of the range that a set of size n falls into."""
+    firsts = ", ".join(f"{n}L" for n in size_ranges(percent))
+    return f"size(filter(array({firsts}), first -> first <= n))"
+
 
 def size_ranges(percent: int) -> list[int]:
     """First sizes of ranges such that a set can only match sets of its own range and the two beside it."""
@@ -340,14 +354,12 @@ def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Data
     pairs = close.where(2 * F.col("n") >= shares).select("a", "b")
 
     # keys of many: each with the leading one of its range of sizes and of the range above it
-    firsts = ", ".join(f"{n}L" for n in size_ranges(percent))
-    ranges = f"size(filter(array({firsts}), first -> first <= n))"
-    many = shared.where(F.col("sets") > MANY).withColumn("own", F.expr(ranges))
+    many = shared.where(F.col("sets") > MANY).withColumn("own", F.expr(_range_of(percent)))
     many = many.select("*", F.explode(F.expr("array(own, own + 1)")).alias("range"))
     pivots = staged(many.groupBy("key", "range").agg(F.expr(leader.format("own = range"))).where("pivot.home"), "pivots")
     ranged = many.join(pivots, ["key", "range"]).selectExpr("pivot.rep AS a", "rep AS b").where("a <> b")
 
-    tested = staged(_compared(pairs.union(ranged).distinct(), docs, shingle, percent, costs), "tested")
+    tested = staged(_compared(pairs.union(ranged).distinct(), docs, shingle, percent), "tested")
     links = tested.where("linked").select("a", "b")
     roots = components(links, "a", "b")
 
@@ -364,7 +376,7 @@ def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Data
     rest = staged(rest.join(open_keys, "key", "left_semi"), "rest")
     one = rest.where("not known").selectExpr("key", "rep AS x", "n AS n_a", "root AS root_a")
     two = rest.selectExpr("key", "rep AS y", "n AS n_b", "root AS root_b", "known")
-    by_keys = (
+    pairs = (
         one.join(two, "key")
         .where("root_a <> root_b and (known or x < y)")
         .where(sizes_fit)
@@ -374,9 +386,9 @@ def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Data
         .where(F.col("n") >= shares)
         .select("a", "b")
     )
-    pairs = by_keys.union(_by_differences(tested, roots, percent, sizes_fit)).distinct()
-    more = staged(_compared(pairs, docs, shingle, percent, costs).where("linked").select("a", "b"), "links")
-    roots = components(links.union(more), "a", "b")
+    more = staged(_compared(pairs, docs, shingle, percent).where("linked").select("a", "b"), "links")
+    same_pivot = staged(_by_differences(tested, roots, percent), "links")
+    roots = components(links.union(more).union(same_pivot), "a", "b")
 
     members = signed.join(classes, same, "left").select("doc_id", "n_shingles", "rep")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "rep", "doc_id"))
