@@ -1,8 +1,9 @@
 """Exact line deduplication over the whole corpus, as keep bitmaps.
 
-Line hashes are range-partitioned with a secondary sort by document and position, so a line that a third of all
-documents hold spreads over as many partitions as its rows need. Each sorted partition streams its first holder
-of a hash; the partitions' first holders merge into one row per hash. The result names lines by bit, not by text.
+Line hashes are range-partitioned with a secondary sort by document and position, and each sorted range is streamed:
+the first document of a hash holds it, lines of later ones go. A line that a third of all documents hold is cut into
+slices of consecutive places, which lie in as many ranges as they need; only the first holders of these slices are
+merged afterwards, by hash. The result names lines by bit, not by text.
 
 Defined cases: null or empty text is one empty line, which is too short to be dropped. A null ``doc_id`` neither
 drops nor causes drops. Rows that share a ``doc_id`` are one document to the rule, and each keeps a bitmap of its own.
@@ -11,13 +12,18 @@ Only ``doc_id`` and ``text`` are read, so other columns may have any name. An em
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from obsforge.llm.text import BLANKS, lower_ascii, packed
 from obsforge.session import staged
 
 WORD_BITS = 64
+#: Lines of a range that are looked at for hot hashes, and those of one hash that make a slice.
+SAMPLED, SLICE = 256, 32
+_SCALE = 1 << 30
 
 
 def lines_of(text: Column) -> Column:
@@ -37,6 +43,23 @@ def bit_of(position: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), position % WORD_BITS)
 
 
+def _hot_hashes(lines: DataFrame, parts: int) -> DataFrame:
+    """(hash, cuts): the places (doc_id, position) at which hashes with much of a range are cut into slices.
+
+    Found in a sample of about ``SAMPLED`` lines a range, so at most ``SAMPLED / SLICE`` cuts a range come out. Where
+    lines are cut decides which task reads them, and never the result.
+    """
+    share = math.ceil(_SCALE * min(1.0, SAMPLED * parts / max(lines.count(), 1)))
+    return staged(
+        lines.where(F.pmod(F.xxhash64("doc_id", "position"), F.lit(_SCALE)) < share)
+        .groupBy("hash")
+        .agg(F.sort_array(F.collect_list(F.struct("doc_id", "position"))).alias("places"))
+        .where(F.size("places") > SLICE)
+        .select("hash", F.filter("places", lambda _, i: i % SLICE == 0).alias("cuts")),
+        "hot-lines",
+    )
+
+
 def keep_bitmaps(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     """One row per document that loses lines: doc_id, version, n_dropped and keep.
 
@@ -57,21 +80,29 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 10) -> DataFrame:
         "lines",
     )
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = ["hash", "doc_id", "position"]
-    # written in this order: the first row of a hash in a range is its first holder there
-    ranged = staged(lines.repartitionByRange(parts, *order).sortWithinPartitions(*order), "ranges")
-    # staged, so that both sides of the join below are shuffled for it and a hot hash can be split
-    repeated = staged(
-        ranged.groupBy("hash")
-        .agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
-        .where("first_doc < last_doc")
-        .select("hash", "first_doc"),
-        "repeated",
+    place = F.struct("doc_id", "position")
+    slice_ = F.when(F.col("cuts").isNull(), 0).otherwise(1 + F.size(F.filter("cuts", lambda cut: cut <= place)))
+    # one range exchange: its ranges keep each (hash, slice) together, so the window below only sorts and streams
+    ranged = (
+        lines.join(_hot_hashes(lines, parts), "hash", "left")
+        .select("hash", slice_.alias("slice"), "doc_id", "position", "version")
+        .repartitionByRange(parts, "hash", "slice")
+    )
+    so_far = (
+        Window.partitionBy("hash", "slice").orderBy("doc_id", "position").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    streamed = ranged.withColumn("later", F.col("doc_id") > F.first("doc_id").over(so_far))
+    found = staged(streamed.where("later or slice > 0"), "later-lines")
+    # first holders in the slices of a split hash: only the hash's own first one stays
+    heads = found.where("slice > 0 and not later")
+    firsts = staged(heads.groupBy("hash").agg(F.min("doc_id").alias("first_doc")), "split-lines")
+    across = heads.join(firsts, "hash").where("doc_id > first_doc")
+    dropped = ["doc_id", "version", "position"]
     bit = bit_of(F.col("position"))
     return (
-        ranged.join(repeated, "hash")
-        .where("doc_id > first_doc")
+        found.where("later")
+        .select(*dropped)
+        .union(across.select(*dropped))
         .groupBy("doc_id", "version", F.floor(F.col("position") / WORD_BITS).cast("int").alias("word"))
         .agg(F.bit_or(bit).alias("drop"))
         .groupBy("doc_id", "version")

@@ -123,11 +123,11 @@ class LabelModel:
 
     @classmethod
     def fit(cls, votes: np.ndarray, guess: np.ndarray, each: np.ndarray, prior: float) -> LabelModel:
-        """``guess`` is a first belief in each text's label and stays in the estimates; ``each`` weighs the texts."""
+        """``guess`` is a first belief in each text's label: EM starts there and then sees votes alone. ``each`` weighs texts."""
         k, total = votes.shape[1], each.sum()
         model, p = cls(np.zeros(k), np.zeros(k), (0.5, 0.5), prior, np.zeros((k, k))), guess
         for _ in range(EM_ROUNDS):
-            yes, no = each * (p + guess), each * (2 - p - guess)
+            yes, no = each * p, each * (1 - p)
             model.on_toxic = (yes @ votes + 0.5) / (yes.sum() + 1.0)
             model.on_clean = (no @ votes + 0.05) / (no.sum() + 1.0)
             none = (votes.sum(axis=1) == 0).astype(np.float64)
