@@ -1,9 +1,10 @@
 """Removing repeated passages: runs of consecutive sentences that occur before, anywhere in the corpus.
 
-Every sentence starts a run and every sentence ends one: the fewest consecutive sentences that hold ``min_words``
-words, so a run is several sentences unless one alone is that long. All runs are hashed, the hashes joined over the
-whole corpus, and a sentence goes if any run over it has an earlier equal one; earlier is by doc_id, then position.
-A passage of at least ``min_words`` words is covered whole: by runs from its first sentences and to its last ones.
+Every sentence starts a run and every sentence ends one: the fewest consecutive sentences, ``sentences`` at least,
+that hold ``min_words`` words. A text of fewer sentences is one run, if it has the words. All runs are hashed, the
+hashes joined over the whole corpus, and a sentence goes if any run over it has an earlier equal one; earlier is by
+doc_id, then position. A passage of that many sentences and words is covered whole: by runs from its first sentences
+and to its last ones. A single long sentence that repeats between other ones stays.
 
 A sentence is a run of words that ends with a word on ``.``, ``!`` or ``?`` or before a line break; the blanks after
 it are its own. Runs are equal if their words are, A-Z lower-cased. Hashes are 128 bits wide.
@@ -27,8 +28,8 @@ from obsforge.llm.jaccard_join import small_batches
 from obsforge.llm.line_dedup import text_version
 from obsforge.session import staged
 
-#: Words of a run.
-MIN_WORDS = 25
+#: Words and sentences that a run has at least.
+MIN_WORDS, SENTENCES = 25, 2
 
 _SECOND = np.uint64(0xD1342543DE82EF95)
 _ENDS = np.zeros(256, dtype=bool)
@@ -44,30 +45,31 @@ def sentence_starts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> n
     return np.concatenate(([0], np.flatnonzero(closes) + 1))
 
 
-def runs_of(text: bytes, words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def runs_of(
+    text: bytes, words: np.ndarray, min_words: int, sentences: int = SENTENCES
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """First and last sentence of each run, and its two hashes."""
     data = np.frombuffer(text, dtype=np.uint8)
     firsts = sentence_starts(data, *word_spans(data))
     n = len(firsts)
+    more = min(sentences, n) - 1  # sentences of a run besides its first
     bounds = np.append(firsts, len(words))  # words before each sentence, and all
-    # the sentence that a run from i ends with, and the one that a run to j starts with
-    last = np.searchsorted(bounds, bounds[:-1] + min_words) - 1
-    first = np.searchsorted(bounds, bounds[1:] - min_words, side="right") - 1
     at = np.arange(n)
-    pairs = np.concatenate(
-        (np.stack([at, last], 1)[bounds[:-1] + min_words <= len(words)], np.stack([first, at], 1)[bounds[1:] >= min_words])
-    )
+    # the sentence that a run from i ends with, and the one that a run to j starts with
+    last = np.maximum(np.searchsorted(bounds, bounds[:-1] + min_words) - 1, at + more)
+    first = np.minimum(np.searchsorted(bounds, bounds[1:] - min_words, side="right") - 1, at - more)
+    pairs = np.concatenate((np.stack([at, last], 1)[last < n], np.stack([first, at], 1)[first >= 0]))
     pairs = np.unique(pairs, axis=0) if len(pairs) else pairs.reshape(0, 2)
     low, high = bounds[pairs[:, 0]], bounds[pairs[:, 1] + 1]
     one, two = (span_hash(prefix_hash(mix(words ^ seed)), low, high) for seed in (np.uint64(0), _SECOND))
     return pairs[:, 0], pairs[:, 1], one, two
 
 
-def _runs(docs: DataFrame, min_words: int) -> DataFrame:
+def _runs(docs: DataFrame, min_words: int, sentences: int) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = texts_of(batch, "text")
-            found = [runs_of(t, w, min_words) for t, w in zip(texts, word_hashes(texts), strict=True)]
+            found = [runs_of(t, w, min_words, sentences) for t, w in zip(texts, word_hashes(texts), strict=True)]
             if not found:
                 continue
             row = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
@@ -88,7 +90,7 @@ def _runs(docs: DataFrame, min_words: int) -> DataFrame:
     return docs.where("doc_id is not null").mapInArrow(emit, schema)
 
 
-def drop_repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def drop_repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, sentences: int = SENTENCES) -> DataFrame:
     """doc_id, n_sentences, n_removed, n_spans (maximal runs of removed sentences) and kept, the text that stays."""
     small_batches(docs.sparkSession)
     texts = docs.select(
@@ -96,7 +98,7 @@ def drop_repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataF
         text_version(F.col("text").cast("string")).alias("version"),
         F.col("text").cast("string").cast("binary").alias("text"),
     )
-    runs = _runs(texts, min_words)
+    runs = _runs(texts, min_words, sentences)
     repeated = staged(runs.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "hashes")
     rows = staged(runs.join(repeated, "hash", "left_semi"), "runs")
     earliest = F.min(F.struct("doc_id", "version", "first")).alias("origin")

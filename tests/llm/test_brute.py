@@ -180,7 +180,7 @@ def test_passages(documents):
                 total = 0
                 for j in range(i, end, step):
                     total += len(sentences[j][1])
-                    if total >= 25:
+                    if total >= 25 and abs(j - i) + 1 >= min(2, len(sentences)):
                         runs.add((min(i, j), max(i, j)))
                         break
         for i, j in runs:
