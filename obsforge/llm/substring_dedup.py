@@ -41,6 +41,8 @@ from obsforge.session import staged
 LENGTH, GRAM, BLOCK = 400, 160, 32
 #: Kinds of block of one core that meet in a chunk, and bytes that a chunk is meant to hold.
 MOST, CHUNK_BYTES = 2048, 1 << 19
+#: A kind of more rows than this share of a shuffle partition is matched without a shuffle.
+SHARES = 8
 #: Starts handled at once.
 PIECE = 1 << 20
 
@@ -149,6 +151,19 @@ def _with_text(texts: DataFrame, places: DataFrame, *columns: str) -> DataFrame:
     return texts.dropDuplicates(["id", "version"]).join(listed, ["id", "version"])
 
 
+def _alike(rows: DataFrame, kinds: DataFrame, group: str) -> DataFrame:
+    """The rows whose kind occurs more than once; ``kinds`` counts the rows of each kind.
+
+    Kinds that hold more than a share of the rows are broadcast, so that their rows aren't gathered. They are fewer than
+    ``SHARES`` for each shuffle partition, however many rows there are.
+    """
+    key = [group, "kind"]
+    limit = rows.count() // (SHARES * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))) + 1
+    hot = F.broadcast(kinds.where(F.col("n") > limit).select(*key))
+    few = kinds.where((F.col("n") > 1) & (F.col("n") <= limit)).select(*key)
+    return rows.join(hot, key, "left_semi").union(rows.join(hot, key, "left_anti").join(few, key, "left_semi"))
+
+
 def repeated_starts_of(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
     """(id, version, first, last): stretches of starts of strings that also start elsewhere; and the texts with any."""
     small_batches(docs.sparkSession)
@@ -164,7 +179,7 @@ def repeated_starts_of(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame
     one = F.min(F.struct("id", "version", "first", "offset", "starts")).alias("one")
     kinds = staged(segments.groupBy("anchor", "kind").agg(F.count("*").alias("n"), one), "kinds")
     stretch = ["id", "version", "first", (F.col("first") + F.col("starts") - 1).alias("last")]
-    whole = segments.join(kinds.where("n > 1").select("anchor", "kind"), ["anchor", "kind"], "left_semi").select(*stretch)
+    whole = _alike(segments, kinds, "anchor").select(*stretch)
 
     texts = staged(
         _texts(docs).drop("doc_id").join(segments.select("id", "version").distinct(), ["id", "version"], "left_semi"), "texts"
@@ -188,7 +203,7 @@ def repeated_starts_of(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame
     blocks = staged(blocks.join(again, "core", "left_semi"), "blocks")
     one = F.min(F.struct("id", "version", "first", "starts")).alias("one")
     kinds = staged(blocks.groupBy("core", "kind").agg(F.count("*").alias("n"), F.max("n").alias("most"), one), "block_kinds")
-    alike = blocks.join(kinds.where("n > 1").select("core", "kind"), ["core", "kind"], "left_semi").select(*stretch)
+    alike = _alike(blocks, kinds, "core").select(*stretch)
 
     single = (F.col("n") == 1) & (F.col("most") == 1)
     mixed = kinds.groupBy("core").agg(F.count("*").alias("kinds"), F.count_if(single).alias("open"))
