@@ -17,7 +17,7 @@ from obsforge.llm.jaccard_join import similar_groups
 from obsforge.llm.line_dedup import dedup_lines
 from obsforge.llm.mixing import mix
 from obsforge.llm.quality import score_quality
-from obsforge.session import staged
+from obsforge.session import released, staged
 
 #: The classifier is fitted, the quotas are routed and the order is seeded, so there is no SQL for the whole.
 ORACLE_SQL = None
@@ -78,6 +78,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the documents of a folder, each written and read again for the next."""
     docs = _table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    with released(spark):
+        for name, stage in STAGES:
+            docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}", lasting=name == STAGES[-1][0])
     return docs
