@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from obsforge.llm.line_dedup import text_version
 from obsforge.llm.text import computed, words
-from obsforge.session import staged
+from obsforge.session import released, staged
 
 #: Bits of a fingerprint and blocks they fall into.
 BITS, BLOCKS = 60, 4
@@ -101,6 +101,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, simila
 
     The window is given by ``start`` (its first word, from 0) and ``n_words``; of equally similar ones the first.
     """
+    with released(docs.sparkSession):
+        return staged(_verified(docs, benchmark, shingle, similarity), "contaminated", lasting=True)
+
+
+def _verified(docs: DataFrame, benchmark: DataFrame, shingle: int, similarity: float) -> DataFrame:
     of_items = computed(
         benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")),
         "n_words",

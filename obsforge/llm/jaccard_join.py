@@ -41,7 +41,8 @@ from pyspark.sql import functions as F
 
 from obsforge.llm.components import components, least_labels
 from obsforge.llm.hashing import mix, shingle_hashes, texts_of, word_hashes
-from obsforge.session import staged
+from obsforge.llm.text import batches_of
+from obsforge.session import released, staged
 
 #: Bins in which all words of the corpus are counted.
 BIN_BITS = 17
@@ -314,7 +315,12 @@ def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Data
     """doc_id, n_shingles and component_id, the smallest doc_id that links of at least ``percent`` reach."""
     if not 50 < percent < 100:
         raise ValueError("percent must be over 50 and under 100")
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    with batches_of(spark, BATCH_ROWS), released(spark):
+        return staged(_groups(docs, shingle, percent), "groups", lasting=True)
+
+
+def _groups(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     bins, sizes = corpus_statistics(docs, shingle)
     light, costs = boundary(sizes, percent), word_costs(bins, shingle)
     signed = signatures(docs, shingle, percent, light, costs)

@@ -23,8 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsforge.llm.jaccard_join import small_batches
+from obsforge.llm.jaccard_join import BATCH_ROWS
 from obsforge.llm.learning import held_out, labelled_sample
+from obsforge.llm.text import batches_of
+from obsforge.session import staged
 
 #: Labelled documents of a language that the fit takes at most, and bytes of one.
 PER_CLASS, MAX_BYTES = 500, 32768
@@ -124,7 +126,6 @@ def fit_languages(docs: DataFrame) -> LanguageModel:
 
 def identify_languages(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred and score."""
-    small_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(fit_languages(docs))  # n-gram table: languages * 128 KB
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,4 +146,5 @@ def identify_languages(docs: DataFrame) -> DataFrame:
         held_out(F.col("doc_id"), FOLDS, HELD_OUT).alias("held_out"),
         F.col("text").cast("string").cast("binary").alias("text"),
     )
-    return texts.mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double")
+    with batches_of(docs.sparkSession, BATCH_ROWS):
+        return staged(texts.mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double"), "languages")

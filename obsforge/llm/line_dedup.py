@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from obsforge.llm.text import BLANKS, lower_ascii, packed
-from obsforge.session import staged
+from obsforge.session import released, staged
 
 WORD_BITS = 64
 #: Lines of a range that are looked at for hot hashes, and those of one hash that make a slice.
@@ -66,6 +66,11 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     ``keep`` lists (word, bits) only for words of 64 lines that lose a line; bit i of word w stands for line
     64 * w + i and is 1 where the line stays. Words that are not listed keep all their lines.
     """
+    with released(docs.sparkSession):
+        return staged(_streamed_bitmaps(docs, min_chars), "bitmaps", lasting=True)
+
+
+def _streamed_bitmaps(docs: DataFrame, min_chars: int) -> DataFrame:
     spark = docs.sparkSession
     lines = staged(
         docs.select(

@@ -26,8 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsforge.llm.jaccard_join import small_batches
+from obsforge.llm.jaccard_join import BATCH_ROWS
 from obsforge.llm.learning import Logistic, fit_logistic, held_out, labelled_sample
+from obsforge.llm.text import batches_of
+from obsforge.session import staged
 
 #: Labelled documents of a class that the fit takes at most, and bytes of one.
 PER_CLASS, MAX_BYTES = 2500, 32768
@@ -218,7 +220,6 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted."""
-    small_batches(docs.sparkSession)
     model = fit_toxicity(docs, labels)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,5 +235,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
         held_out(F.col("doc_id"), FOLDS, HELD_OUT).alias("held_out"),
         F.col("text").cast("string").alias("text"),
     )
-    scored = texts.mapInArrow(score, "doc_id long, held_out boolean, score double")
+    with batches_of(docs.sparkSession, BATCH_ROWS):
+        scored = staged(texts.mapInArrow(score, "doc_id long, held_out boolean, score double"), "toxicity")
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
